@@ -7,12 +7,10 @@ a keyed table.  All are lazy: the caller decides where the result is written
 
 Scale notes
 -----------
-* ``latest_by_key(ties="keep")`` is ``rank() == 1``, which Spark plans with a
-  partial ``WindowGroupLimit`` before the shuffle: each map task forwards only
-  its top-ranked rows per key, so a key holding a third of the feed does not
-  reach one reducer whole.
-* ``latest_by_key(ties="one")`` is a ``max(struct(seq, ...))`` hash aggregate,
-  whose map-side partial aggregation collapses every key to one row per task.
+* ``latest_by_key`` never sends all rows of one key to one task: the
+  keep-ties form pre-aggregates the per-key maximum and joins on (key, seq);
+  the one-row form limits each key to one row per map task before the shuffle
+  (see the function's docstring).
 * Merges are one left-anti join of the target against the source keys plus a
   union.  Null key parts never match (as in SQL MERGE).  AQE splits skewed
   left-side partitions of the anti join.
@@ -25,6 +23,7 @@ from typing import Iterable, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow import config as C
 from ledgerflow.functions.dates import with_date_parts
@@ -55,24 +54,41 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], sequence: str,
     """Newest row(s) per key by ``sequence``.
 
     Rows with a null sequence never win; rows with null key parts form their
-    own group per distinct key value (null included).  ``ties="keep"`` returns
-    every row tied on the newest sequence (the source job's behaviour);
+    own group per distinct key value (null included).
+
+    ``ties="keep"`` returns every row tied on the newest sequence (the source
+    job's behaviour).  Plan: ``max(sequence)`` per key as a hash aggregate
+    (partial aggregation before the shuffle collapses hot keys), then a
+    left-semi join on (key, sequence = max).  Because the join is partitioned
+    by key *and* sequence, the rows of a hot key spread over many tasks; only
+    its winning rows meet in one.  The per-key maxima are the hash-join build
+    side, one small row per key per partition.
+
     ``ties="one"`` returns exactly one row per key, choosing by ``tie_break``
-    columns (descending, nulls last) and then by all remaining columns, so the
-    choice is deterministic.
+    columns and then by all remaining orderable columns (descending, nulls
+    last), so the choice is deterministic.  ``row_number() == 1`` plans with a
+    partial ``WindowGroupLimit``: every map task keeps one row per key before
+    the shuffle, so no key reaches a reducer with more rows than there are
+    map tasks.
     """
     keys = _keys(keys)
     live = df.where(F.col(sequence).isNotNull())
     if ties == "keep":
-        w = Window.partitionBy(*keys).orderBy(F.col(sequence).desc())
-        out = live.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1).drop("_rank")
+        alias = {k: f"_latest_key_{i}" for i, k in enumerate(keys)}
+        newest = (live.groupBy(*keys).agg(F.max(sequence).alias("_latest_seq"))
+                  .select(*[F.col(k).alias(a) for k, a in alias.items()], "_latest_seq"))
+        cond = reduce(lambda a, b: a & b,
+                      [F.col(k).eqNullSafe(F.col(a)) for k, a in alias.items()])
+        cond = cond & (F.col(sequence) == F.col("_latest_seq"))
+        out = live.join(newest.hint("shuffle_hash"), cond, "left_semi")
     elif ties == "one":
-        rest = [c for c in df.columns if c not in keys and c != sequence and c not in tie_break]
-        order = [sequence, *tie_break, *rest]
-        newest = F.max(F.struct(*[F.col(c) for c in order])).alias("_newest")
-        out = (live.groupBy(*keys).agg(newest)
-               .select(*keys, *[F.col(f"_newest.{c}").alias(c) for c in order])
-               .select(*df.columns))
+        orderable = {f.name for f in df.schema.fields
+                     if not isinstance(f.dataType, (T.MapType, T.VariantType))}
+        rest = [c for c in df.columns
+                if c not in keys and c != sequence and c not in tie_break and c in orderable]
+        w = Window.partitionBy(*keys).orderBy(
+            F.col(sequence).desc(), *[F.col(c).desc_nulls_last() for c in (*tie_break, *rest)])
+        out = live.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     else:
         raise ValueError(f"ties must be 'keep' or 'one', not {ties!r}")
     return out.drop(sequence) if drop_sequence else out

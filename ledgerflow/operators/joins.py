@@ -18,11 +18,17 @@ from pyspark.sql import functions as F
 # few MB per executor.
 DEFAULT_MAX_BROADCAST_ROWS = 50_000
 
+# Outcome of the size check per (application, plan, input files): the check
+# runs once per session for each distinct mapping input.  Written files have
+# unique names, so new data means a new key.
+_CHECKED: dict[tuple, bool] = {}
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       force: Optional[bool] = None) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
+    The check is remembered per session, plan and input file set.
     ``force=True``/``False`` skips the check (the caller vouches for the size or
     wants a shuffled join).
     """
@@ -30,6 +36,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
         return F.broadcast(df)
     if force is False:
         return df
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+           tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _CHECKED[key] else df
