@@ -34,9 +34,10 @@ def newer_than(source: DataFrame, target: DataFrame, column: str,
     or not the target was empty.
     """
     mark = high_water_mark(target, column, fmt).select(F.struct("mark", "n")).scalar()
-    ts = parse_timestamp(source, column, fmt)
+    parsed = source.withColumn(column, parse_timestamp(source, column, fmt))
+    ts = F.col(column)
     newer = ts >= mark.getField("mark") if inclusive else ts > mark.getField("mark")
-    return source.withColumn(column, ts).where((mark.getField("n") == 0) | newer)
+    return parsed.where((mark.getField("n") == 0) | newer)
 
 
 def since(df: DataFrame, column: str, as_of: AsOf = None,

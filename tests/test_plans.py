@@ -1,0 +1,59 @@
+"""Plan-shape checks: the operators keep the shapes their docstrings promise."""
+
+import pytest
+
+from ledgerflow.plans import catalog as Q
+from tests.conftest import SF_SMALL
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_python_udf_or_cartesian_product_anywhere(spark):
+    for name, fn in Q.QUERIES.items():
+        text = plan(fn(spark, SF_SMALL))
+        assert "PythonUDF" not in text and "BatchEvalPython" not in text, name
+        assert "ArrowEvalPython" not in text, name
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def count_scans(text: str, table: str) -> int:
+    return text.count(f"{table}.parquet")
+
+
+def test_post_ledger_single_pass(spark):
+    text = plan(Q.post_ledger(spark, SF_SMALL))
+    assert count_scans(text, "events") == 1
+    assert "Union" in text and "Generate" in text
+    assert "BroadcastHashJoin" in text
+    assert "SortMergeJoin" not in text
+
+
+def test_unmapped_is_anti_join(spark):
+    text = plan(Q.unmapped_entries(spark, SF_SMALL))
+    assert "LeftAnti" in text and count_scans(text, "events") == 1
+
+
+def test_reprocess_is_semi_join(spark):
+    text = plan(Q.reprocess_candidates(spark, SF_SMALL))
+    assert "LeftSemi" in text
+
+
+def test_latest_by_key_preaggregates(spark):
+    text = plan(Q.latest_by_key(spark, SF_SMALL))
+    assert "partial_max" in text and "LeftSemi" in text
+    text = plan(Q.latest_by_key_one(spark, SF_SMALL))
+    assert "WindowGroupLimit" in text
+
+
+def test_high_water_mark_is_an_aggregate_not_a_sort(spark):
+    text = plan(Q.incremental_since(spark, SF_SMALL))
+    assert "TakeOrderedAndProject" not in text
+    assert "Subquery" in text
+
+
+def test_filters_reach_the_scan(spark):
+    df = Q.history_transactions(spark, SF_SMALL)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in text
