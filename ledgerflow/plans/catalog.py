@@ -115,7 +115,7 @@ def date_parts_padded(spark, sf_dir):
 
 
 @query
-def pseudonymise_columns(spark, sf_dir):
+def pseudonymise_q(spark, sf_dir):
     return pseudonymise(Fixtures(spark, sf_dir).companies, ["legal_name", "tax_id"], SECRET)
 
 
@@ -220,6 +220,18 @@ def all_transactions(spark, sf_dir):
 
 # --- ledger -----------------------------------------------------------------
 
+@query
+def latest_snapshot(spark, sf_dir):
+    """Newest sheet rows per (code, class) over the whole load history."""
+    return L.latest_snapshot(Fixtures(spark, sf_dir).sheet_history, FX_MAP)
+
+
+@query
+def latest_snapshot_concat(spark, sf_dir):
+    """The same under the legacy concatenated date key (collisions kept)."""
+    return L.latest_snapshot(Fixtures(spark, sf_dir).sheet_history, FX_MAP, order="concat")
+
+
 @query
 def mirror_entries(spark, sf_dir):
     return L.mirror(_tx(Fixtures(spark, sf_dir)))
@@ -373,6 +385,12 @@ def history_clients(spark, sf_dir):
                                  CLIENT_HISTORY_START)
 
 
+@query
+def history_since_q(spark, sf_dir):
+    """Sign-split transactions inserted since the history start."""
+    return promote.history_since(_tx(Fixtures(spark, sf_dir)), C.INSERT_DATE)
+
+
 @query
 def history_transactions(spark, sf_dir):
     return promote.history_since(_ledger(Fixtures(spark, sf_dir)), C.INSERT_DATE)

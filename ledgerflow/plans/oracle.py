@@ -123,6 +123,8 @@ SELECT {_TX_COLS}, amount_c AS amount_d, amount_d AS amount_c, year, month, day
     "o_map": _latest_map("fx_concept_map", _CAL),
     "o_map_concat": _latest_map("fx_concept_map", _CAT),
     "o_map_v1": _latest_map("fx_concept_map_v1", _CAL),
+    "o_sheet_latest": _latest_map("fx_sheet_history", _CAL),
+    "o_sheet_latest_concat": _latest_map("fx_sheet_history", _CAT),
     **_ledger_steps("", "o_map"),
     **_ledger_steps("_concat", "o_map_concat"),
     **_unmapped_steps("o_unmapped", "o_map"),
@@ -181,7 +183,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER B
       FROM {{fx_cdc}} WHERE seq IS NOT NULL) t
 WHERE rn = 1""",
     "date_parts_padded": f"SELECT *, {_PADDED_PARTS_OF.format(c='change_ts')} FROM {{fx_cdc}}",
-    "pseudonymise_columns": f"""
+    "pseudonymise": f"""
 SELECT country, customer_id, contract_id,
        sha256('{Q.SECRET}' || coalesce(legal_name, '')) AS legal_name,
        sha256('{Q.SECRET}' || coalesce(tax_id, '')) AS tax_id,
@@ -220,6 +222,8 @@ SELECT * FROM {o_unmapped_v1} t WHERE NOT EXISTS (SELECT 1 FROM {o_ledger} l WHE
     "all_transactions": "SELECT * FROM {o_tx}",
     "mirror_entries": "SELECT * FROM {o_mirrored}",
     "map_concepts": "SELECT * FROM {o_joined}",
+    "latest_snapshot": "SELECT * FROM {o_sheet_latest}",
+    "latest_snapshot_concat": "SELECT * FROM {o_sheet_latest_concat}",
     "post_normal": "SELECT * FROM {o_normal}",
     "post_correcting": "SELECT * FROM {o_correcting}",
     "absolute_amounts": "SELECT * FROM {o_absolute}",
@@ -276,6 +280,8 @@ FROM {{o_clients}} c JOIN {{o_prev_clients}} p ON c.client_id = p.client_id
 WHERE c.company_name <> p.company_name OR c.tax_id <> p.tax_id""",
     "history_clients": f"""
 SELECT * FROM {{o_clients}} WHERE created_at >= TIMESTAMP '{Q.CLIENT_HISTORY_START}'""",
+    "history_since": """
+SELECT * FROM {o_tx} WHERE insert_date >= TIMESTAMP '2023-01-01 00:00:00.000'""",
     "history_transactions": """
 SELECT * FROM {o_ledger} WHERE insert_date >= TIMESTAMP '2023-01-01 00:00:00.000'""",
 }

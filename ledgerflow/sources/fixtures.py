@@ -65,6 +65,18 @@ SELECT * FROM (VALUES
  ('purchase','Correctora','EC','purch rev',  'D600',CAST(NULL AS string),'2023','12','31'),
  ('error',   'Normal',    'OP','wrong type', 'D700','C700','2023','12','31')
 ) AS t(code, posting_class, register_type, map_descr, debit_account, credit_account, y, m, d)""",
+    # A long history of sheet loads, one per order: (priority, class) keys with
+    # many load dates each, unpadded date parts, real calendar collisions under
+    # the concatenated key.  Exercises snapshot selection at table scale.
+    "fx_sheet_history": """
+SELECT o_orderpriority AS code,
+       CASE WHEN o_orderstatus = 'F' THEN 'Correctora' ELSE 'Normal' END AS posting_class,
+       'OP' AS register_type, concat('load ', o_orderstatus) AS map_descr,
+       concat('D', CAST(o_custkey % 10 AS string)) AS debit_account,
+       concat('C', CAST(o_custkey % 10 AS string)) AS credit_account,
+       CAST(year(o_orderdate) AS string) AS y, CAST(month(o_orderdate) AS string) AS m,
+       CAST(dayofmonth(o_orderdate) AS string) AS d
+FROM {orders}""",
     "fx_concept_map_v1": """
 SELECT * FROM {fx_concept_map} WHERE code NOT IN ('click', '3-MEDIUM')""",
     "fx_cdc": """
@@ -172,6 +184,10 @@ class Fixtures:
     def concept_map_v1(self) -> DataFrame:
         return self.view("fx_concept_map_v1")
 
+    @cached_property
+    def sheet_history(self) -> DataFrame:
+        return self.view("fx_sheet_history")
+
     @cached_property
     def cdc(self) -> DataFrame:
         return self.view("fx_cdc")
