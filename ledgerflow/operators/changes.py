@@ -94,23 +94,28 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], sequence: str,
     return out.drop(sequence) if drop_sequence else out
 
 
-def duplicate_key_guard(source: DataFrame, keys: Sequence[str], like: DataFrame) -> DataFrame:
+def _key_counts(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Non-null source keys with their row count (partial aggregation first,
+    so a hot key costs one row per map task)."""
+    return (source.where(all_not_null(keys)).groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("_n")))
+
+
+def duplicate_key_guard(source: DataFrame, keys: Sequence[str], like: DataFrame,
+                        counts: Optional[DataFrame] = None) -> DataFrame:
     """An always-empty frame shaped like ``like`` that fails the job if
     ``source`` holds a non-null key more than once.
 
-    The check is a hash aggregate on the keys (partial aggregation first, so a
-    hot key costs one row per map task) and the failure sits in a filter, so
-    it fires for any action, ``count()`` included.  The raising predicate is
-    conditional on the count, so the optimizer cannot push it below the
-    aggregate onto every source row.
+    The failure sits in a filter, so it fires for any action, ``count()``
+    included.  The raising predicate is conditional on the count, so the
+    optimizer cannot push it below the aggregate onto every source row.
     """
     keys = _keys(keys)
+    counts = counts if counts is not None else _key_counts(source, keys)
     n = F.col("_n")
-    dup = (source.where(all_not_null(keys)).groupBy(*keys)
-           .agg(F.count(F.lit(1)).alias("_n")).where(n > 1))
     message = F.concat(F.lit("merge source holds a key more than once: "),
                        F.to_json(F.struct(*keys)))
-    return (dup.where(F.when(n > 1, F.raise_error(message)).isNull())
+    return (counts.where(n > 1).where(F.when(n > 1, F.raise_error(message)).isNull())
             .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields]))
 
 
@@ -127,14 +132,21 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | str,
     source are added (null for untouched rows); column order is the target's,
     then the new ones.  ``check_unique`` fails the job when a source key
     occurs twice (a MERGE would be ambiguous).
+
+    The anti join's key side and the duplicate guard are both read from one
+    per-key count aggregate, so the source is aggregated once (the guard
+    reuses the aggregate's shuffle) and scanned once more for the insert.
     """
     keys = _keys(keys)
-    src_keys = source.where(all_not_null(keys)).select(*keys)
-    kept = target.join(src_keys, keys, "left_anti")
+    counts = _key_counts(source, keys)
+    # The filter on the count keeps the aggregate in the anti join's key side
+    # (without it the optimizer drops the aggregate there and the guard's
+    # aggregate could not reuse the shuffle).
+    kept = target.join(counts.where(F.col("_n") >= 1).select(*keys), keys, "left_anti")
     merged = kept.unionByName(source, allowMissingColumns=True)
     merged = merged.select(*_merge_columns(target, source))
     if check_unique:
-        merged = merged.unionByName(duplicate_key_guard(source, keys, merged))
+        merged = merged.unionByName(duplicate_key_guard(source, keys, merged, counts))
     return merged
 
 

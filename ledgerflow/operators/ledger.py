@@ -239,7 +239,9 @@ def classify(df: DataFrame) -> DataFrame:
     Normal if either side is >= 0, Correctora if either is < 0.  A row with both
     kinds of side appears once per class, a row with no amount not at all."""
     labels = class_labels(F.col(C.AMOUNT_D), F.col(C.AMOUNT_C))
-    return df.withColumn(C.POSTING_CLASS, F.explode(labels))
+    cols = [c for c in df.columns if c != C.POSTING_CLASS]
+    return (df.select(*cols, F.explode(labels).alias(C.POSTING_CLASS))
+            .where(F.col(C.POSTING_CLASS).isNotNull()))
 
 
 def unmapped(df: DataFrame, mapping: DataFrame,
