@@ -36,8 +36,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
         return F.broadcast(df)
     if force is False:
         return df
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
-           tuple(sorted(df.inputFiles())), max_rows)
+    try:
+        app = df.sparkSession.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        app = id(df.sparkSession)
+    key = (app, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
     if key not in _CHECKED:
         _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if _CHECKED[key] else df
