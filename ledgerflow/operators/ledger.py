@@ -277,7 +277,8 @@ def unmapped_class(df: DataFrame, mapping: DataFrame, posting_class: str,
 def matching_rows(df: DataFrame, other: DataFrame, cutoff: Optional[str] = C.REPROCESS_CUTOFF_DATE,
                   keys: tuple[str, ...] = (C.UUID, C.INVOICE)) -> DataFrame:
     """Rows of ``df`` whose (uuid, invoice) also occurs in ``other`` and whose
-    business date is after ``cutoff`` (compared as dates, not text).
+    business date is after ``cutoff`` (compared as dates, not text; text that
+    is not a date never passes).
 
     ``other``'s keys are de-duplicated before the shuffle (partial aggregation
     collapses hot keys map-side), then a left-semi join keeps each row of
@@ -286,7 +287,7 @@ def matching_rows(df: DataFrame, other: DataFrame, cutoff: Optional[str] = C.REP
     key_rows = other.select(*keys).distinct()
     out = df.join(key_rows, list(keys), "left_semi")
     if cutoff is not None:
-        out = out.where(F.col(C.DATE).cast("date") > F.lit(cutoff).cast("date"))
+        out = out.where(F.col(C.DATE).try_cast("date") > F.lit(cutoff).cast("date"))
     return out.select(*df.columns)
 
 
