@@ -27,7 +27,7 @@ from ledgerflow.sources.fixtures import FX_CDC, FX_MAP, Fixtures  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 
 def sink(df) -> None:

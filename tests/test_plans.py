@@ -53,7 +53,15 @@ def test_high_water_mark_is_an_aggregate_not_a_sort(spark):
     assert "Subquery" in text
 
 
-def test_filters_reach_the_scan(spark):
-    df = Q.history_transactions(spark, SF_SMALL)
-    text = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in text
+def test_date_filters_reach_the_scan(spark):
+    text = plan(Q.history_transactions(spark, SF_SMALL))
+    assert "GreaterThanOrEqual(ts,2023-01-01T00:00)" in text
+    assert "GreaterThanOrEqual(o_orderdate,2023-01-01T00:00)" in text
+    text = plan(Q.since_yesterday(spark, SF_SMALL))
+    assert "GreaterThanOrEqual(ts,2024-01-30T00:00)" in text
+
+
+def test_columns_are_pruned_at_the_scan(spark):
+    text = plan(Q.post_ledger(spark, SF_SMALL))
+    # events has a props column the ledger never reads
+    assert "props" not in text
