@@ -23,8 +23,8 @@ from ledgerflow.operators.reports import unmapped_invoices
 from ledgerflow.plans import silver
 from ledgerflow.sinks.reports import (write_full_load, write_report,
                                       write_report_by_country)
-from ledgerflow.sources.tables import (read_landing_csv, read_or_empty, read_table,
-                                       upsert_table, write_snapshot)
+from ledgerflow.sources.tables import (materialise, read_landing_csv, read_or_empty,
+                                       read_table, upsert_table, write_snapshot)
 from ledgerflow.streaming.ingest import ingest_available_now, merge_batch
 
 Sources = Union[DataFrame, Mapping[str, DataFrame]]
@@ -134,7 +134,7 @@ def reprocess(spark: SparkSession, tables: Tables, as_of: AsOf = None,
         return False
     if pending.isEmpty():
         return False
-    again = reprocess_candidates(ledger, pending, as_of, restamp_parts=restamp_parts)
+    again = materialise(reprocess_candidates(ledger, pending, as_of, restamp_parts=restamp_parts))
     write_snapshot(upsert(ledger, again, C.LEDGER_KEY), tables.silver_table(TRANSACTIONS))
     ledger = read_table(spark, tables.silver_table(TRANSACTIONS))
     gone = matching_rows(pending, ledger)
@@ -149,7 +149,7 @@ def _promote_new(spark: SparkSession, tables: Tables, name: str, column: str,
     current = read_table(spark, tables.silver_table(name))
     gold_path = tables.gold_table(name)
     gold = read_or_empty(spark, gold_path, current.schema)
-    fresh = newer_than(current, gold, column)
+    fresh = materialise(newer_than(current, gold, column))
     write_snapshot(upsert(gold, fresh, keys), gold_path)
     return read_table(spark, gold_path)
 
@@ -173,7 +173,7 @@ def updated_clients(spark: SparkSession, tables: Tables) -> bool:
     current = read_table(spark, tables.silver_table(ACTIVE_CLIENTS))
     gold_path = tables.gold_table(ACTIVE_CLIENTS)
     gold = read_or_empty(spark, gold_path, current.schema)
-    changed = changed_rows(current, gold, C.CLIENT_ID)
+    changed = materialise(changed_rows(current, gold, C.CLIENT_ID))
     written = write_report(changed.drop(*C.DATE_PARTS), tables.report("updated_clients"))
     write_snapshot(upsert(gold, changed, C.CLIENT_KEY), gold_path)
     return written

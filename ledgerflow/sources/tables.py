@@ -91,10 +91,25 @@ def write_snapshot(df: DataFrame, path: str,
     return target
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the session's shared checkpoint folder and
+    return a frame reading it back (lineage cut; survives executor loss)."""
+    from ledgerflow.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def upsert_table(spark: SparkSession, path: str, source: DataFrame,
                  keys: Sequence[str] | str,
-                 partition_by: Optional[Sequence[str]] = None) -> str:
-    """Merge ``source`` into the table at ``path`` (created when missing)."""
+                 partition_by: Optional[Sequence[str]] = None,
+                 materialise_source: bool = True) -> str:
+    """Merge ``source`` into the table at ``path`` (created when missing).
+
+    The merge reads its source more than once (insert rows, key set,
+    duplicate guard); ``materialise_source`` computes it once first."""
+    if materialise_source:
+        source = materialise(source)
     target = read_or_empty(spark, path, source.schema)
     return write_snapshot(upsert(target, source, keys), path, partition_by)
 
