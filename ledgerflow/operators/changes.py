@@ -28,6 +28,11 @@ from pyspark.sql import types as T
 from ledgerflow import config as C
 from ledgerflow.functions.dates import with_date_parts
 from ledgerflow.functions.privacy import pseudonymise
+from ledgerflow.operators.joins import bounded_broadcast
+
+# Source key sets up to this many keys may be broadcast to a merge (a few
+# narrow key columns: tens of MB per executor at most).
+MAX_BROADCAST_KEYS = 1_000_000
 
 
 def _keys(keys: Sequence[str] | str) -> list[str]:
@@ -124,7 +129,7 @@ def _merge_columns(target: DataFrame, source: DataFrame) -> list[str]:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | str,
-           check_unique: bool = True) -> DataFrame:
+           check_unique: bool = True, broadcast_keys: Optional[bool] = False) -> DataFrame:
     """Next snapshot of ``target`` after an update-all / insert-all merge.
 
     Target rows whose key occurs in ``source`` are replaced, other source rows
@@ -136,13 +141,22 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | str,
     The anti join's key side and the duplicate guard are both read from one
     per-key count aggregate, so the source is aggregated once (the guard
     reuses the aggregate's shuffle) and scanned once more for the insert.
+
+    ``broadcast_keys``: ``False`` leaves the join strategy to the planner and
+    AQE (the target is shuffled by key); ``None`` broadcasts the source key set
+    when it has at most ``MAX_BROADCAST_KEYS`` keys, so a small increment
+    merges into a large target without shuffling the target; ``True`` forces
+    the broadcast.
     """
     keys = _keys(keys)
     counts = _key_counts(source, keys)
     # The filter on the count keeps the aggregate in the anti join's key side
     # (without it the optimizer drops the aggregate there and the guard's
     # aggregate could not reuse the shuffle).
-    kept = target.join(counts.where(F.col("_n") >= 1).select(*keys), keys, "left_anti")
+    key_set = counts.where(F.col("_n") >= 1).select(*keys)
+    if broadcast_keys is not False:
+        key_set = bounded_broadcast(key_set, MAX_BROADCAST_KEYS, force=broadcast_keys)
+    kept = target.join(key_set, keys, "left_anti")
     merged = kept.unionByName(source, allowMissingColumns=True)
     merged = merged.select(*_merge_columns(target, source))
     if check_unique:
@@ -150,13 +164,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | str,
     return merged
 
 
-def delete_by_key(target: DataFrame, keys_df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
+def delete_by_key(target: DataFrame, keys_df: DataFrame, keys: Sequence[str] | str,
+                  broadcast_keys: Optional[bool] = False) -> DataFrame:
     """``target`` without the rows whose key occurs in ``keys_df``.
 
     The key set is de-duplicated first (partial aggregation before the shuffle,
-    and the aggregate's partitioning is reused by the join)."""
+    and the aggregate's partitioning is reused by the join).  ``broadcast_keys``
+    as in ``upsert``."""
     keys = _keys(keys)
     doomed = keys_df.where(all_not_null(keys)).select(*keys).distinct()
+    if broadcast_keys is not False:
+        doomed = bounded_broadcast(doomed, MAX_BROADCAST_KEYS, force=broadcast_keys)
     return target.join(doomed, keys, "left_anti").select(*target.columns)
 
 

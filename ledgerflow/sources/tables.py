@@ -111,7 +111,10 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame,
     if materialise_source:
         source = materialise(source)
     target = read_or_empty(spark, path, source.schema)
-    return write_snapshot(upsert(target, source, keys), path, partition_by)
+    # With the source materialised, checking its key count is cheap: a small
+    # increment is then merged without shuffling the target.
+    merged = upsert(target, source, keys, broadcast_keys=None if materialise_source else False)
+    return write_snapshot(merged, path, partition_by)
 
 
 def delete_from_table(spark: SparkSession, path: str, keys_df: DataFrame,

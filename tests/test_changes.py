@@ -107,3 +107,16 @@ def test_prepare_changes_pseudonymises(spark, feed):
     assert out.where("k1 = 1").first().payload == want
     with pytest.raises(ValueError):
         changes.prepare_changes(feed, spec, ["payload"], secret=None)
+
+
+def test_upsert_and_delete_with_broadcast_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "id int, v string")
+    source = spark.createDataFrame([(2, "B"), (3, "C")], "id int, v string")
+    for mode in (None, True, False):
+        out = changes.upsert(target, source, ["id"], broadcast_keys=mode)
+        assert rows(out, "id", "v") == sorted([(1, "a"), (2, "B"), (3, "C"), (None, "n")], key=repr)
+        gone = changes.delete_by_key(target, source, ["id"], broadcast_keys=mode)
+        assert rows(gone, "id", "v") == sorted([(1, "a"), (None, "n")], key=repr)
+    plan = changes.upsert(target, source, ["id"], broadcast_keys=None)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
