@@ -179,20 +179,25 @@ def delete_by_key(target: DataFrame, keys_df: DataFrame, keys: Sequence[str] | s
 
 
 def merge_changes(target: DataFrame, latest: DataFrame, keys: Sequence[str] | str,
-                  op: str, deletes: str = "apply") -> DataFrame:
+                  op: str, deletes: str = "apply",
+                  broadcast_keys: Optional[bool] = False) -> DataFrame:
     """Apply one batch of de-duplicated changes to a keyed snapshot.
 
     ``deletes="apply"``: keys whose newest change is a delete are removed and
     not inserted; ``"keep"``: delete rows are stored like any other change.
-    One anti join covers updates and deletes together.
+    One anti join covers updates and deletes together.  ``broadcast_keys`` as
+    in ``upsert``.
     """
     keys = _keys(keys)
     if deletes == "keep":
-        return upsert(target, latest, keys, check_unique=False)
+        return upsert(target, latest, keys, check_unique=False, broadcast_keys=broadcast_keys)
     if deletes != "apply":
         raise ValueError(f"deletes must be 'apply' or 'keep', not {deletes!r}")
     live = latest.where(~F.coalesce(F.col(op) == F.lit(C.DELETE_OP), F.lit(False)))
-    kept = target.join(latest.where(all_not_null(keys)).select(*keys), keys, "left_anti")
+    key_set = latest.where(all_not_null(keys)).select(*keys)
+    if broadcast_keys is not False:
+        key_set = bounded_broadcast(key_set, MAX_BROADCAST_KEYS, force=broadcast_keys)
+    kept = target.join(key_set, keys, "left_anti")
     return (kept.unionByName(live, allowMissingColumns=True)
             .select(*_merge_columns(target, latest)))
 

@@ -4,7 +4,8 @@ The file source remembers, in its checkpoint, which files it has processed,
 so each run picks up only files that arrived since the last one (a "job
 bookmark").  ``trigger(availableNow=True)`` processes everything available
 in bounded micro-batches and stops, which makes the job schedulable like a
-batch job.  Each micro-batch is merged into the bronze table in
+batch job; ``max_files_per_trigger`` bounds each micro-batch of a large
+backlog.  Each micro-batch is merged into the bronze table in
 ``foreachBatch``; merging the same batch twice yields the same snapshot, so
 the at-least-once replay after a failure is harmless.
 """
@@ -21,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerflow import config as C
 from ledgerflow.operators.changes import merge_changes, prepare_changes
 from ledgerflow.session import ensure_checkpoint_dir
-from ledgerflow.sources.tables import read_or_empty, write_snapshot
+from ledgerflow.sources.tables import materialise, read_or_empty, write_snapshot
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, target_path: str,
@@ -32,10 +33,13 @@ def merge_batch(spark: SparkSession, batch: DataFrame, target_path: str,
     snapshot directory (``None`` for an empty batch)."""
     if batch.isEmpty():
         return None
-    latest = prepare_changes(batch, spec, pseudonymise_columns, secret)
+    # The de-duplicated batch is read twice by the merge (key set, inserted
+    # rows): compute it once into the shared checkpoint folder.  A bounded
+    # batch then merges into a large table without shuffling the table.
+    latest = materialise(prepare_changes(batch, spec, pseudonymise_columns, secret))
     target = read_or_empty(spark, target_path, latest.schema)
-    return write_snapshot(merge_changes(target, latest, spec.keys, spec.op, deletes),
-                          target_path, partition_by)
+    merged = merge_changes(target, latest, spec.keys, spec.op, deletes, broadcast_keys=None)
+    return write_snapshot(merged, target_path, partition_by)
 
 
 def ingest_available_now(spark: SparkSession, source_path: str, schema: T.StructType,
