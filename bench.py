@@ -20,7 +20,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerflow import config as C  # noqa: E402
-from ledgerflow.operators import changes, ledger as L, promote  # noqa: E402
 from ledgerflow.plans import catalog as Q, naive  # noqa: E402
 from ledgerflow.session import local_session  # noqa: E402
 from ledgerflow.sources.fixtures import FX_CDC, FX_MAP, Fixtures  # noqa: E402

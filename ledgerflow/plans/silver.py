@@ -10,7 +10,6 @@ from __future__ import annotations
 from typing import Mapping, Optional, Union
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ledgerflow import config as C
 from ledgerflow.functions.dates import with_date_parts

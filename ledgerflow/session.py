@@ -35,7 +35,7 @@ def local_session(cores: Optional[int] = None, shuffle_partitions: Optional[int]
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", os.environ.get("LEDGERFLOW_DRIVER_MEMORY", "8g"))
+               .config("spark.driver.memory", os.environ.get("LEDGERFLOW_DRIVER_MEMORY", "4g"))
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores)))
     for k, v in RECOMMENDED.items():
         builder = builder.config(k, v)

@@ -5,8 +5,8 @@ economic-concept tables, a concept-to-account mapping sheet and a CDC feed.
 No such tables ship with the test data, so each is derived, in SQL that Spark
 and DuckDB both accept, from the driver's ``customer``, ``orders``, ``events``
 and ``lineitem`` tables.  The same text runs in Spark (``Fixtures``) and as a
-CTE chain in front of every DuckDB oracle query (``cte_prefix``), so both sides
-see identical inputs.  Every view reads whole tables; nothing is sampled.
+CTE chain in front of every DuckDB oracle query (``ledgerflow.plans.oracle``),
+so both sides see identical inputs.  Every view reads whole tables; nothing is sampled.
 """
 
 from __future__ import annotations
@@ -96,32 +96,6 @@ FROM {fx_companies} WHERE status = '0' AND contract_id IS NOT NULL""",
 _REF = re.compile(r"\{(\w+)\}")
 
 
-def dependencies(name: str) -> list[str]:
-    """Views ``name`` needs, dependencies first, ``name`` last."""
-    order: list[str] = []
-
-    def visit(n: str) -> None:
-        for ref in _REF.findall(VIEWS[n]):
-            if ref in VIEWS and ref not in order:
-                visit(ref)
-        if n not in order:
-            order.append(n)
-
-    visit(name)
-    return order
-
-
-def cte_prefix(*names: str) -> str:
-    """``WITH a AS (...), b AS (...)`` for DuckDB, where base tables are views."""
-    order: list[str] = []
-    for n in names:
-        for d in dependencies(n):
-            if d not in order:
-                order.append(d)
-    parts = [f"{n} AS ({_REF.sub(lambda m: m.group(1), VIEWS[n]).strip()})" for n in order]
-    return "WITH " + ",\n".join(parts) + "\n"
-
-
 # Layouts of the derived tables, in the library's spec vocabulary.
 FX_OPERATIONS = C.TransactionSpec(
     type_value=C.TYPE_OPERATION, uuid_prefix="op-",
