@@ -65,3 +65,18 @@ def test_columns_are_pruned_at_the_scan(spark):
     text = plan(Q.post_ledger(spark, SF_SMALL))
     # events has a props column the ledger never reads
     assert "props" not in text
+
+
+def test_bounded_broadcast_falls_back_when_too_large(spark):
+    from ledgerflow.operators.joins import bounded_broadcast
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = bounded_broadcast(spark.range(5).withColumnRenamed("id", "k"), max_rows=10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = plan(big.join(small, "k"))
+        assert "BroadcastHashJoin" in hinted
+        unhinted = plan(big.join(bounded_broadcast(spark.range(50).withColumnRenamed("id", "k"),
+                                                   max_rows=10), "k"))
+        assert "BroadcastHashJoin" not in unhinted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -63,3 +63,37 @@ def test_latest_by_key_is_idempotent(spark, rows):
             best[k] = max(best.get(k, s), s)
     assert all(r.s == best[r.k] for r in once.collect())
     assert {r.k for r in once.collect()} == set(best)
+
+
+MAP_ROWS = [
+    ("A", "Normal", "OP", "a", "DA", "CA", "2023", "12", "31"),
+    ("A", "Correctora", "OP", "a rev", "DAR", "NA", "2023", "12", "31"),
+    ("B", "Normal", "EC", "b", "NAD", "CB", "2023", "12", "31"),
+    ("B", "Normal", "EC", "b2", "DB2", "CB2", "2023", "12", "31"),
+    ("C", "Correctora", "EC", "c", "DC", None, "2023", "12", "31"),
+]
+MAP_SCHEMA = ("code string, posting_class string, register_type string, map_descr string, "
+              "debit_account string, credit_account string, y string, m string, d string")
+side = st.one_of(st.none(), st.sampled_from([-5.0, -0.5, 0.0, 2.0, 7.5]))
+tx_rows = st.lists(st.tuples(st.sampled_from(["A", "B", "C", "Z"]), st.sampled_from(["OP", "EC"]),
+                             side, side), max_size=10)
+
+
+@SETTINGS
+@given(rows=tx_rows)
+def test_single_pass_ledger_and_unmapped_match_stepwise_shapes(spark, rows):
+    import datetime as dt
+
+    from ledgerflow.plans import naive
+    from ledgerflow.sources.fixtures import FX_MAP
+    t = dt.datetime(2024, 1, 5)
+    data = [(t, f"u{i}", t, t, code, "desc", typ, "MX-1", d, c, "2024", "1", "5")
+            for i, (code, typ, d, c) in enumerate(rows)]
+    tx = spark.createDataFrame(data, "insert_date timestamp, uuid string, date timestamp, "
+                               "accounting_date timestamp, invoice string, invoice_description string, "
+                               "type string, id_client string, amount_d double, amount_c double, "
+                               "year string, month string, day string")
+    m = L.latest_snapshot(spark.createDataFrame(MAP_ROWS, MAP_SCHEMA), FX_MAP)
+    assert as_set(L.post_ledger(tx, m, FX_MAP)) == as_set(L.post_ledger_stepwise(tx, m, FX_MAP))
+    assert as_set(L.post_ledger(tx, m, FX_MAP)) == as_set(naive.post_ledger(tx, m, FX_MAP))
+    assert as_set(L.unmapped(tx, m, FX_MAP)) == as_set(naive.unmapped(tx, m, FX_MAP))
