@@ -19,6 +19,7 @@ from typing import Optional, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ledgerflow import config as C
 from ledgerflow.operators.changes import delete_by_key, upsert
 
 _VERSION = re.compile(r"^v(\d{8})$")
@@ -123,6 +124,15 @@ def delete_from_table(spark: SparkSession, path: str, keys_df: DataFrame,
     return write_snapshot(delete_by_key(read_table(spark, path), keys_df, keys), path, partition_by)
 
 
+def read_region_tables(spark: SparkSession, template: str,
+                       regions: Sequence[str] = C.REGIONS, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """One frame per region from a path template with a ``{region}`` slot
+    (filled with the lower-case region code), e.g.
+    ``s3://lake/operations/{region}/public/operative_operations``.  Feed the
+    result to ``plans.silver`` / ``plans.jobs``, which conform and union it."""
+    return {r: spark.read.format(fmt).load(template.format(region=r.lower())) for r in regions}
+
+
 def read_landing_csv(spark: SparkSession, path: str,
                      schema: Optional[T.StructType] = None) -> DataFrame:
     """CSV landing files with a header row.  Pass ``schema`` in production:

@@ -65,3 +65,28 @@ def test_landing_csv(spark, scratch):
     df = TB.read_landing_csv(spark, p)
     assert df.columns == ["economic_concept", "normal/correctora", "registertype"]
     assert df.where(F.col("`normal/correctora`").isNull()).count() == 1
+
+
+def test_read_region_tables_feeds_the_silver_union(spark, scratch):
+    import datetime as dt
+
+    from ledgerflow import config as C
+    from ledgerflow.plans import silver
+    t = dt.datetime(2024, 1, 2)
+    cols = ("insert_date timestamp, uuid string, invoice_date timestamp, accounting_operation_date timestamp, "
+            "invoice_type string, invoice_type_description string, contract_id long, invoice_amount double")
+    ecs = ("insert_date timestamp, uuid string, interests_calculation_last_date timestamp, file_date timestamp, "
+           "economic_concept_code string, economic_concept_code_description string, contract_id long, "
+           "economic_concept_gross_amount double")
+    for i, region in enumerate(("mx", "br", "co")):
+        spark.createDataFrame([(t, f"{region}1", t, t, "X", "x", i, 10.0 - 20 * i)], cols) \
+            .write.parquet(os.path.join(scratch, "ops", region))
+        spark.createDataFrame([(t, f"{region}2", t, t, "Y", "y", i, 1.0)], ecs) \
+            .write.parquet(os.path.join(scratch, "ecs", region))
+    ops = TB.read_region_tables(spark, os.path.join(scratch, "ops", "{region}"))
+    ecs_frames = TB.read_region_tables(spark, os.path.join(scratch, "ecs", "{region}"))
+    tx = silver.transactions(ops, ecs_frames)
+    got = {(r.uuid, r.id_client, r.amount_d, r.amount_c) for r in tx.collect()}
+    assert ("op-mx1", "MX-0", 10.0, None) in got and ("op-br1", "BR-1", None, -10.0) in got
+    assert ("ec-co2", "CO-2", 1.0, None) in got and len(got) == 6
+    assert tx.columns == list(C.SPLIT_COLUMNS) + list(C.DATE_PARTS)
