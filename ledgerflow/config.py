@@ -33,6 +33,11 @@ HISTORY_START = "2023-01-01 00:00:00.000"
 ACTIVE_STATUS = "0"
 # --- end of fixed values ----------------------------------------------------
 
+# --- Fixed values: table and column names of the data model ----------------
+# The silver and gold tables the jobs write, and the source-system tables they
+# read, use these names; they must match for existing tables to be read and
+# merged.  Names of source columns are the defaults of the spec classes below.
+
 # Date-part columns.
 YEAR, MONTH, DAY = "year", "month", "day"
 DATE_PARTS = (YEAR, MONTH, DAY)
@@ -75,6 +80,7 @@ TAX_ID = "tax_id"
 CLIENT_ID = "client_id"
 CLIENT_COLUMNS = (CREATED_AT, COMPANY_NAME, TAX_ID, CLIENT_ID, COUNTRY)
 CLIENT_KEY = (CLIENT_ID,)
+# --- end of data-model names (source column names follow as spec defaults) --
 
 
 @dataclass(frozen=True)
@@ -122,7 +128,8 @@ class ClientSpec:
     tax_id: str = "tax_identify"
 
 
-# Source-system layouts of the two transaction tables.
+# Source-system layouts of the two transaction tables.  The
+# contract column is named by the caller (``contract=``) when it differs.
 OPERATIONS = TransactionSpec(
     type_value=TYPE_OPERATION,
     uuid_prefix="op-",
