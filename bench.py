@@ -4,7 +4,8 @@ Runs each headline query (and the naive plan shape it replaces) on
 ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with ``local[$BENCH_CPUS]``;
 every run executes the whole plan into Spark's ``noop`` sink (nothing is
 collected).  Prints one JSON line: ``value`` is the sum of the headline
-medians; ``naive`` holds the naive shapes' medians for comparison.
+medians; ``naive`` holds the naive shapes' medians for comparison (runs of an
+operator and its naive shape are interleaved).
 """
 
 from __future__ import annotations
@@ -33,19 +34,27 @@ def sink(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def median_time(build) -> float:
-    sink(build())  # warm-up (JIT, file listing, broadcast of the map)
-    times = []
+def timed(build) -> float:
+    t0 = time.perf_counter()
+    sink(build())
+    return time.perf_counter() - t0
+
+
+def median_times(*builds) -> list[float]:
+    """Median wall time of each plan; the plans' runs are interleaved so that
+    an operator and its naive shape see the same machine conditions."""
+    for build in builds:
+        sink(build())  # warm-up (JIT, file listing, broadcast of the map)
+    times: list[list[float]] = [[] for _ in builds]
     for _ in range(RUNS):
-        t0 = time.perf_counter()
-        sink(build())
-        times.append(time.perf_counter() - t0)
-    return round(statistics.median(times), 3)
+        for i, build in enumerate(builds):
+            times[i].append(timed(build))
+    return [round(statistics.median(t), 3) for t in times]
 
 
 def main() -> None:
     spark = local_session(cores=CPUS)
-    fx = Fixtures(spark, SF_DIR)
+    fx = Fixtures.of(spark, SF_DIR)
 
     def conformed():
         from ledgerflow.operators.conform import conform_transactions
@@ -72,8 +81,12 @@ def main() -> None:
         "latest_by_key": lambda: naive.latest_by_key(fx.cdc, FX_CDC.keys, FX_CDC.sequence),
         "incremental_since": lambda: naive.newer_than(Q._ledger(fx), Q._gold_ledger(fx), C.INSERT_DATE),
     }
-    results = {name: median_time(fn) for name, fn in headline.items()}
-    naive_results = {name: median_time(fn) for name, fn in naive_shapes.items()}
+    results, naive_results = {}, {}
+    for name, fn in headline.items():
+        if name in naive_shapes:
+            results[name], naive_results[name] = median_times(fn, naive_shapes[name])
+        else:
+            results[name], = median_times(fn)
     sf = os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_operators_total_median",

@@ -90,40 +90,40 @@ def _prev_clients(fx: Fixtures) -> DataFrame:
 
 @query
 def scan_change_feed(spark, sf_dir):
-    return Fixtures(spark, sf_dir).cdc
+    return Fixtures.of(spark, sf_dir).cdc
 
 
 @query
 def fill_op_code(spark, sf_dir):
-    return changes.fill_op(Fixtures(spark, sf_dir).cdc, FX_CDC.op)
+    return changes.fill_op(Fixtures.of(spark, sf_dir).cdc, FX_CDC.op)
 
 
 @query
 def latest_by_key(spark, sf_dir):
-    return changes.latest_by_key(Fixtures(spark, sf_dir).cdc, FX_CDC.keys, FX_CDC.sequence)
+    return changes.latest_by_key(Fixtures.of(spark, sf_dir).cdc, FX_CDC.keys, FX_CDC.sequence)
 
 
 @query
 def latest_by_key_one(spark, sf_dir):
-    return changes.latest_by_key(Fixtures(spark, sf_dir).cdc, FX_CDC.keys, FX_CDC.sequence,
+    return changes.latest_by_key(Fixtures.of(spark, sf_dir).cdc, FX_CDC.keys, FX_CDC.sequence,
                                  ties="one", tie_break=FX_CDC.tie_break)
 
 
 @query
 def date_parts_padded(spark, sf_dir):
-    return with_date_parts(Fixtures(spark, sf_dir).cdc, FX_CDC.timestamp, padded=True)
+    return with_date_parts(Fixtures.of(spark, sf_dir).cdc, FX_CDC.timestamp, padded=True)
 
 
 @query
 def pseudonymise_q(spark, sf_dir):
-    return pseudonymise(Fixtures(spark, sf_dir).companies, ["legal_name", "tax_id"], SECRET)
+    return pseudonymise(Fixtures.of(spark, sf_dir).companies, ["legal_name", "tax_id"], SECRET)
 
 
 @query
 def ingest_changes(spark, sf_dir):
     """Bronze CDC job on one batch: fill, newest per key, pseudonymise,
     padded date parts (delete rows kept as rows, like the source job)."""
-    return changes.prepare_changes(Fixtures(spark, sf_dir).cdc, FX_CDC,
+    return changes.prepare_changes(Fixtures.of(spark, sf_dir).cdc, FX_CDC,
                                    PSEUDONYMISED_CDC, SECRET)
 
 
@@ -131,7 +131,7 @@ def ingest_changes(spark, sf_dir):
 def apply_changes(spark, sf_dir):
     """Initial full load (null op) as the snapshot, then the U/D changes
     merged onto it with deletes applied."""
-    cdc = Fixtures(spark, sf_dir).cdc
+    cdc = Fixtures.of(spark, sf_dir).cdc
     base = changes.prepare_changes(cdc.where(F.col("op").isNull()), FX_CDC,
                                    PSEUDONYMISED_CDC, SECRET)
     return changes.apply_changes(base, cdc.where(F.col("op").isNotNull()), FX_CDC,
@@ -143,7 +143,7 @@ def apply_changes(spark, sf_dir):
 def upsert_by_key(spark, sf_dir):
     """Unmapped table built under the old mapping, upserted with the unmapped
     rows under the new one (key uuid)."""
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return changes.upsert(_unmapped_v1(fx), _unmapped(fx), C.UNMAPPED_KEY)
 
 
@@ -151,14 +151,14 @@ def upsert_by_key(spark, sf_dir):
 def upsert_schema_evolution(spark, sf_dir):
     """Previous client snapshot (three columns) upserted with the clients of
     the history window, which bring new columns."""
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     recent = promote.history_since(_clients(fx), C.CREATED_AT, CLIENT_HISTORY_START)
     return changes.upsert(_prev_clients(fx), recent, C.CLIENT_KEY)
 
 
 @query
 def delete_by_key(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return changes.delete_by_key(_unmapped_v1(fx), _ledger(fx), C.UNMAPPED_KEY)
 
 
@@ -166,30 +166,30 @@ def delete_by_key(spark, sf_dir):
 
 @query
 def date_parts(spark, sf_dir):
-    return with_date_parts(Fixtures(spark, sf_dir).operations, "insert_date")
+    return with_date_parts(Fixtures.of(spark, sf_dir).operations, "insert_date")
 
 
 @query
 def stamp_load_date(spark, sf_dir):
-    return with_load_date(Fixtures(spark, sf_dir).companies, AS_OF)
+    return with_load_date(Fixtures.of(spark, sf_dir).companies, AS_OF)
 
 
 @query
 def conform_clients_q(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return conform_clients(active_companies(fx.companies, FX_CLIENTS), FX_CLIENTS, F.col("country"))
 
 
 @query
 def active_clients(spark, sf_dir):
-    return _clients(Fixtures(spark, sf_dir))
+    return _clients(Fixtures.of(spark, sf_dir))
 
 
 @query
 def union_regions_q(spark, sf_dir):
     """Clients from one frame per region, each conformed with its literal
     region code and unioned by name."""
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     frames = {r: fx.companies.where(F.col("country") == r) for r in C.REGIONS}
     return union_regions(frames, lambda df, r: conform_clients(
         active_companies(df, FX_CLIENTS), FX_CLIENTS, r))
@@ -197,17 +197,17 @@ def union_regions_q(spark, sf_dir):
 
 @query
 def conform_operations(spark, sf_dir):
-    return conform_transactions(Fixtures(spark, sf_dir).operations, FX_OPERATIONS, F.col("country"))
+    return conform_transactions(Fixtures.of(spark, sf_dir).operations, FX_OPERATIONS, F.col("country"))
 
 
 @query
 def conform_concepts(spark, sf_dir):
-    return conform_transactions(Fixtures(spark, sf_dir).concepts, FX_CONCEPTS, F.col("country"))
+    return conform_transactions(Fixtures.of(spark, sf_dir).concepts, FX_CONCEPTS, F.col("country"))
 
 
 @query
 def sign_split(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     ops = conform_transactions(fx.operations, FX_OPERATIONS, F.col("country"))
     ecs = conform_transactions(fx.concepts, FX_CONCEPTS, F.col("country"))
     return L.sign_split(ops.unionByName(ecs))
@@ -215,7 +215,7 @@ def sign_split(spark, sf_dir):
 
 @query
 def all_transactions(spark, sf_dir):
-    return _tx(Fixtures(spark, sf_dir))
+    return _tx(Fixtures.of(spark, sf_dir))
 
 
 # --- ledger -----------------------------------------------------------------
@@ -223,41 +223,41 @@ def all_transactions(spark, sf_dir):
 @query
 def latest_snapshot(spark, sf_dir):
     """Newest sheet rows per (code, class) over the whole load history."""
-    return L.latest_snapshot(Fixtures(spark, sf_dir).sheet_history, FX_MAP)
+    return L.latest_snapshot(Fixtures.of(spark, sf_dir).sheet_history, FX_MAP)
 
 
 @query
 def latest_snapshot_concat(spark, sf_dir):
     """The same under the legacy concatenated date key (collisions kept)."""
-    return L.latest_snapshot(Fixtures(spark, sf_dir).sheet_history, FX_MAP, order="concat")
+    return L.latest_snapshot(Fixtures.of(spark, sf_dir).sheet_history, FX_MAP, order="concat")
 
 
 @query
 def mirror_entries(spark, sf_dir):
-    return L.mirror(_tx(Fixtures(spark, sf_dir)))
+    return L.mirror(_tx(Fixtures.of(spark, sf_dir)))
 
 
 @query
 def map_concepts(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return L.map_concepts(L.mirror(_tx(fx)), _map(fx), FX_MAP)
 
 
 @query
 def post_normal(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return L.post(L.map_concepts(L.mirror(_tx(fx)), _map(fx), FX_MAP), C.NORMAL)
 
 
 @query
 def post_correcting(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return L.post(L.map_concepts(L.mirror(_tx(fx)), _map(fx), FX_MAP), C.CORRECTING)
 
 
 @query
 def absolute_amounts(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     joined = L.map_concepts(L.mirror(_tx(fx)), _map(fx), FX_MAP)
     return L.absolute(L.post(joined, C.NORMAL).unionByName(L.post(joined, C.CORRECTING)))
 
@@ -265,41 +265,41 @@ def absolute_amounts(spark, sf_dir):
 @query
 def drop_na_accounts(spark, sf_dir):
     """The ledger through the step-by-step shape (ends with the marker filter)."""
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return L.post_ledger_stepwise(_tx(fx), _map(fx), FX_MAP)
 
 
 @query
 def post_ledger(spark, sf_dir):
     """Flagship: the silver ledger in one pass."""
-    return _ledger(Fixtures(spark, sf_dir))
+    return _ledger(Fixtures.of(spark, sf_dir))
 
 
 @query
 def post_ledger_concat_key(spark, sf_dir):
     """The ledger under the legacy concatenated snapshot key."""
-    return _ledger(Fixtures(spark, sf_dir), order="concat")
+    return _ledger(Fixtures.of(spark, sf_dir), order="concat")
 
 
 @query
 def classify_posting(spark, sf_dir):
-    return L.classify(_tx(Fixtures(spark, sf_dir)))
+    return L.classify(_tx(Fixtures.of(spark, sf_dir)))
 
 
 @query
 def unmapped_entries(spark, sf_dir):
-    return _unmapped(Fixtures(spark, sf_dir))
+    return _unmapped(Fixtures.of(spark, sf_dir))
 
 
 @query
 def unmapped_correcting(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return L.unmapped_class(_tx(fx), _map(fx), C.CORRECTING, FX_MAP)
 
 
 @query
 def restamp_yesterday(spark, sf_dir):
-    led = _ledger(Fixtures(spark, sf_dir))
+    led = _ledger(Fixtures.of(spark, sf_dir))
     return led.withColumn(C.INSERT_DATE, yesterday(AS_OF).cast("timestamp_ntz"))
 
 
@@ -307,13 +307,13 @@ def restamp_yesterday(spark, sf_dir):
 def reprocess_candidates(spark, sf_dir):
     """Ledger rows (new mapping) that sat in the unmapped table (old mapping),
     after the cut-off, restamped to yesterday."""
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return L.reprocess_candidates(_ledger(fx), _unmapped_v1(fx), AS_OF)
 
 
 @query
 def reprocess_upsert(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     led = _ledger(fx)
     again = L.reprocess_candidates(led, _unmapped_v1(fx), AS_OF)
     return changes.upsert(led, again, C.LEDGER_KEY)
@@ -321,7 +321,7 @@ def reprocess_upsert(spark, sf_dir):
 
 @query
 def reprocess_delete(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     old = _unmapped_v1(fx)
     gone = L.matching_rows(old, _ledger(fx))
     return changes.delete_by_key(old, gone, C.UNMAPPED_KEY)
@@ -331,35 +331,35 @@ def reprocess_delete(spark, sf_dir):
 
 @query
 def unmapped_invoices_q(spark, sf_dir):
-    return unmapped_invoices(_unmapped(Fixtures(spark, sf_dir)), AS_OF)
+    return unmapped_invoices(_unmapped(Fixtures.of(spark, sf_dir)), AS_OF)
 
 
 @query
 def report_by_country(spark, sf_dir):
-    inv = unmapped_invoices(_unmapped(Fixtures(spark, sf_dir)), AS_OF)
+    inv = unmapped_invoices(_unmapped(Fixtures.of(spark, sf_dir)), AS_OF)
     return inv.where(F.col(C.COUNTRY).isin(*C.REGIONS))
 
 
 @query
 def high_water_mark(spark, sf_dir):
-    return promote.high_water_mark(_gold_ledger(Fixtures(spark, sf_dir)), C.INSERT_DATE)
+    return promote.high_water_mark(_gold_ledger(Fixtures.of(spark, sf_dir)), C.INSERT_DATE)
 
 
 @query
 def incremental_since(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return promote.newer_than(_ledger(fx), _gold_ledger(fx), C.INSERT_DATE)
 
 
 @query
 def since_yesterday(spark, sf_dir):
-    return promote.since(_ledger(Fixtures(spark, sf_dir)), C.INSERT_DATE, AS_OF)
+    return promote.since(_ledger(Fixtures.of(spark, sf_dir)), C.INSERT_DATE, AS_OF)
 
 
 @query
 def incoming_transactions(spark, sf_dir):
     """Gold job: promote new ledger rows, then report yesterday's."""
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     gold = _gold_ledger(fx)
     gold = changes.upsert(gold, promote.newer_than(_ledger(fx), gold, C.INSERT_DATE), C.LEDGER_KEY)
     return promote.since(gold, C.INSERT_DATE, AS_OF)
@@ -367,7 +367,7 @@ def incoming_transactions(spark, sf_dir):
 
 @query
 def incoming_clients(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     gold = _gold_clients(fx)
     gold = changes.upsert(gold, promote.newer_than(_clients(fx), gold, C.CREATED_AT), C.CLIENT_KEY)
     return promote.since(gold, C.CREATED_AT, CLIENTS_AS_OF)
@@ -375,22 +375,22 @@ def incoming_clients(spark, sf_dir):
 
 @query
 def changed_clients(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures.of(spark, sf_dir)
     return promote.changed_rows(_clients(fx), _prev_clients(fx), C.CLIENT_ID).drop(*C.DATE_PARTS)
 
 
 @query
 def history_clients(spark, sf_dir):
-    return promote.history_since(_clients(Fixtures(spark, sf_dir)), C.CREATED_AT,
+    return promote.history_since(_clients(Fixtures.of(spark, sf_dir)), C.CREATED_AT,
                                  CLIENT_HISTORY_START)
 
 
 @query
 def history_since_q(spark, sf_dir):
     """Sign-split transactions inserted since the history start."""
-    return promote.history_since(_tx(Fixtures(spark, sf_dir)), C.INSERT_DATE)
+    return promote.history_since(_tx(Fixtures.of(spark, sf_dir)), C.INSERT_DATE)
 
 
 @query
 def history_transactions(spark, sf_dir):
-    return promote.history_since(_ledger(Fixtures(spark, sf_dir)), C.INSERT_DATE)
+    return promote.history_since(_ledger(Fixtures.of(spark, sf_dir)), C.INSERT_DATE)

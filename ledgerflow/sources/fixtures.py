@@ -118,7 +118,26 @@ FX_CDC = C.ChangeFeedSpec(keys=("l_orderkey", "l_linenumber"), sequence="seq",
 
 
 class Fixtures:
-    """Spark frames of the derived views over one scale-factor directory."""
+    """Spark frames of the derived views over one scale-factor directory.
+
+    ``Fixtures.of`` shares one instance per session and directory, so repeated
+    queries reuse the resolved (lazy) frames instead of re-listing files and
+    re-analysing the view SQL; no data is cached.
+    """
+
+    _shared: dict[tuple[str, str], "Fixtures"] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
+        try:
+            session = spark.sparkContext.applicationId
+        except Exception:  # sessions without a local SparkContext
+            session = str(id(spark))
+        key = (session, sf_dir.rstrip("/"))
+        fx = cls._shared.get(key)
+        if fx is None or fx.spark is not spark:
+            fx = cls._shared[key] = cls(spark, sf_dir)
+        return fx
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
