@@ -16,6 +16,7 @@ from typing import Optional
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow import config as C
 from ledgerflow.functions.postings import class_labels, class_of
@@ -277,8 +278,9 @@ def unmapped_class(df: DataFrame, mapping: DataFrame, posting_class: str,
 def matching_rows(df: DataFrame, other: DataFrame, cutoff: Optional[str] = C.REPROCESS_CUTOFF_DATE,
                   keys: tuple[str, ...] = (C.UUID, C.INVOICE)) -> DataFrame:
     """Rows of ``df`` whose (uuid, invoice) also occurs in ``other`` and whose
-    business date is after ``cutoff`` (compared as dates, not text; text that
-    is not a date never passes).
+    business date is strictly after ``cutoff``: a timestamp is compared with
+    the cut-off's midnight, a date with the date, text is parsed first (never
+    compared as text; text that does not parse never passes).
 
     ``other``'s keys are de-duplicated before the shuffle (partial aggregation
     collapses hot keys map-side), then a left-semi join keeps each row of
@@ -287,10 +289,17 @@ def matching_rows(df: DataFrame, other: DataFrame, cutoff: Optional[str] = C.REP
     key_rows = other.select(*keys).distinct()
     out = df.join(key_rows, list(keys), "left_semi")
     if cutoff is not None:
-        out = out.where(F.col(C.DATE).try_cast("date") > F.lit(cutoff).cast("date"))
+        out = out.where(_after(df, C.DATE, cutoff))
     return out.select(*df.columns)
 
 
+def _after(df: DataFrame, column: str, cutoff: str) -> Column:
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.col(column) > F.lit(cutoff).cast(dtype.simpleString())
+    return F.col(column).try_cast("timestamp") > F.lit(cutoff).cast("timestamp")
+
+
 def reprocess_candidates(ledger: DataFrame, unmapped_df: DataFrame, as_of=None,
                          cutoff: Optional[str] = C.REPROCESS_CUTOFF_DATE,
                          restamp_parts: bool = False) -> DataFrame:

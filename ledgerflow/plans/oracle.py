@@ -149,7 +149,7 @@ SELECT {_TX_COLS.replace('insert_date', _YESTERDAY_TS + " AS insert_date")},
        normal_correctora, amount_d, amount_c, account_id, year, month, day
 FROM {{o_ledger}} l
 WHERE EXISTS (SELECT 1 FROM {{o_unmapped_v1}} u WHERE u.uuid = l.uuid AND u.invoice = l.invoice)
-  AND CAST(l.date AS DATE) > DATE '2023-01-01'""",
+  AND l.date > TIMESTAMP '2023-01-01 00:00:00'""",
     "o_invoices": f"""
 SELECT DISTINCT invoice, type, substring(id_client, 1, 2) AS country, normal_correctora
 FROM (SELECT *, 'Normal' AS normal_correctora FROM {{o_unmapped}} WHERE amount_d >= 0 OR amount_c >= 0
@@ -253,7 +253,7 @@ WHERE NOT EXISTS (
   SELECT 1 FROM {o_unmapped_v1} u
   WHERE u.uuid = t.uuid
     AND EXISTS (SELECT 1 FROM {o_ledger} l WHERE l.uuid = u.uuid AND l.invoice = u.invoice)
-    AND CAST(u.date AS DATE) > DATE '2023-01-01')""",
+    AND u.date > TIMESTAMP '2023-01-01 00:00:00')""",
     "unmapped_invoices": f"SELECT *, {_LOAD_PARTS.format(d=Q.AS_OF)} FROM {{o_invoices}}",
     "report_by_country": f"""
 SELECT *, {_LOAD_PARTS.format(d=Q.AS_OF)} FROM {{o_invoices}} WHERE country IN ('MX', 'BR', 'CO')""",

@@ -83,3 +83,11 @@ def test_entry_schema_is_stable(spark):
     import __spark_entry__ as E
     a, b = E.entry(spark), E.entry(spark)
     assert a.schema == b.schema and tuple(a.columns) == C.LEDGER_COLUMNS
+
+
+def test_cutoff_on_timestamps_is_midnight(spark):
+    ledger = spark.createDataFrame([(dt.datetime(2023, 1, 1, 10, 0), "u1", "A"),
+                                    (dt.datetime(2023, 1, 1, 0, 0), "u2", "A")],
+                                   "date timestamp, uuid string, invoice string")
+    unm = spark.createDataFrame([("u1", "A"), ("u2", "A")], "uuid string, invoice string")
+    assert [r.uuid for r in L.matching_rows(ledger, unm).collect()] == ["u1"]
