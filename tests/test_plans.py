@@ -80,3 +80,27 @@ def test_bounded_broadcast_falls_back_when_too_large(spark):
         assert "BroadcastHashJoin" not in unhinted
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["sign_split", "mirror_entries", "classify_posting", "post_ledger",
+                                  "unmapped_entries"])
+def test_single_scan_per_table(spark, name):
+    text = plan(Q.QUERIES[name](spark, SF_SMALL))
+    assert count_scans(text, "events") == 1, name
+    assert count_scans(text, "orders") == 1, name
+
+
+def test_naive_ledger_shape_scans_more(spark):
+    """The union-based shape this library replaces reads each source repeatedly."""
+    from ledgerflow import config as C
+    from ledgerflow.functions.dates import with_date_parts
+    from ledgerflow.operators.conform import conform_transactions
+    from ledgerflow.plans import naive
+    from ledgerflow.sources.fixtures import FX_CONCEPTS, FX_MAP, FX_OPERATIONS, Fixtures
+    from pyspark.sql import functions as F
+    fx = Fixtures.of(spark, SF_SMALL)
+    conformed = conform_transactions(fx.operations, FX_OPERATIONS, F.col("country")).unionByName(
+        conform_transactions(fx.concepts, FX_CONCEPTS, F.col("country")))
+    tx = with_date_parts(naive.sign_split(conformed), C.INSERT_DATE)
+    text = plan(naive.post_ledger(tx, Q._map(fx), FX_MAP))
+    assert count_scans(text, "events") >= 4
