@@ -21,8 +21,7 @@ from ledgerflow.operators.ledger import matching_rows, reprocess_candidates
 from ledgerflow.operators.promote import changed_rows, history_since, newer_than, since
 from ledgerflow.operators.reports import unmapped_invoices
 from ledgerflow.plans import silver
-from ledgerflow.sinks.reports import (write_full_load, write_report,
-                                      write_report_by_country)
+from ledgerflow.sinks.reports import write_report, write_report_by_country
 from ledgerflow.sources.tables import (materialise, read_landing_csv, read_or_empty,
                                        read_table, upsert_table, write_snapshot)
 from ledgerflow.streaming.ingest import ingest_available_now, merge_batch
@@ -74,11 +73,14 @@ def ingest_changes_batch(spark: SparkSession, changes: DataFrame, target_path: s
 
 def load_sheet(spark: SparkSession, csv_path: str, target_path: str, as_of: AsOf = None,
                schema: Optional[T.StructType] = None) -> bool:
-    """PIP-2: CSV landing file to a full-load table stamped with the load date."""
+    """PIP-2: CSV landing file to a full-load table stamped with the load date.
+
+    Each load is a new snapshot version (partitioned by the load date parts),
+    so a failed load never leaves the table missing or half written."""
     df = read_landing_csv(spark, csv_path, schema)
     if df.isEmpty():
         return False
-    write_full_load(with_load_date(df, as_of), target_path)
+    write_snapshot(with_load_date(df, as_of), target_path, partition_by=C.DATE_PARTS)
     return True
 
 

@@ -33,5 +33,7 @@ def write_report_by_country(df: DataFrame, path: str, column: str = C.COUNTRY,
 
 
 def write_full_load(df: DataFrame, path: str) -> None:
-    """Replace a full-load table, partitioned by its load date parts."""
+    """Replace a full-load table in place, partitioned by its load date parts.
+    The jobs use a snapshot version instead (``sources.tables.write_snapshot``),
+    which never exposes a half-written table."""
     df.write.mode("overwrite").partitionBy(*C.DATE_PARTS).parquet(path)

@@ -61,6 +61,6 @@ def test_sheet_load(spark, scratch):
         f.write("economic_concept,normal/correctora,registertype\nA,Normal,OP\n")
     out = os.path.join(scratch, "sheet_table")
     assert jobs.load_sheet(spark, p, out, "2024-03-05") is True
-    back = spark.read.parquet(out)
+    back = read_table(spark, out)
     row = back.first()  # partition discovery reads the parts back as numbers
     assert (str(row["year"]), str(row["month"]), str(row["day"])) == ("2024", "3", "5")
