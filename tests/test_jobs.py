@@ -45,6 +45,19 @@ def test_silver_and_gold_jobs(spark, scratch):
     jobs.incoming_clients(spark, tables, "1998-01-01")
     assert read_table(spark, tables.gold_table(jobs.ACTIVE_CLIENTS)).count() == 114
 
+    # a new silver snapshot where three clients changed name: reported, then saved
+    from ledgerflow.sources.tables import write_snapshot
+    silver_clients = read_table(spark, tables.silver_table(jobs.ACTIVE_CLIENTS))
+    renamed = sorted(r.client_id for r in silver_clients.select("client_id").limit(3).collect())
+    write_snapshot(silver_clients.withColumn(
+        "company_name", F.when(F.col("client_id").isin(*renamed), F.lit("renamed"))
+        .otherwise(F.col("company_name"))), tables.silver_table(jobs.ACTIVE_CLIENTS))
+    assert jobs.updated_clients(spark, tables) is True
+    rep = spark.read.option("header", True).csv(tables.report("updated_clients"))
+    assert sorted(r.client_id for r in rep.collect()) == renamed and "year" not in rep.columns
+    gold_now = read_table(spark, tables.gold_table(jobs.ACTIVE_CLIENTS))
+    assert gold_now.where(F.col("company_name") == "renamed").count() == 3 and gold_now.count() == 114
+
     jobs.invoices_not_mapped(spark, tables, AS_OF)
     inv = read_table(spark, tables.gold_table(jobs.INVOICES_NOT_MAPPED))
     assert inv.count() > 0
