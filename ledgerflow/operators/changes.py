@@ -55,7 +55,7 @@ def fill_op(df: DataFrame, op: str = "Op", value: str = C.FULL_LOAD_OP) -> DataF
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], sequence: str,
                   ties: str = "keep", tie_break: Sequence[str] = (),
-                  drop_sequence: bool = True) -> DataFrame:
+                  drop_sequence: bool = True, strategy: str = "preaggregate") -> DataFrame:
     """Newest row(s) per key by ``sequence``.
 
     Rows with a null sequence never win; rows with null key parts form their
@@ -69,6 +69,10 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], sequence: str,
     its winning rows meet in one.  The per-key maxima are the hash-join build
     side, one small row per key per partition.
 
+    ``strategy="window"`` computes the keep-ties form as ``max`` over a key
+    window instead: one shuffle and no second scan, but every row of a key
+    meets in one task, so use it only for feeds known to have no hot keys.
+
     ``ties="one"`` returns exactly one row per key, choosing by ``tie_break``
     columns and then by all remaining orderable columns (descending, nulls
     last), so the choice is deterministic.  ``row_number() == 1`` plans with a
@@ -78,7 +82,13 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], sequence: str,
     """
     keys = _keys(keys)
     live = df.where(F.col(sequence).isNotNull())
-    if ties == "keep":
+    if ties == "keep" and strategy == "window":
+        newest = F.max(sequence).over(Window.partitionBy(*keys))
+        out = live.withColumn("_latest_seq", newest).where(
+            F.col(sequence) == F.col("_latest_seq")).drop("_latest_seq")
+    elif ties == "keep":
+        if strategy != "preaggregate":
+            raise ValueError(f"strategy must be 'preaggregate' or 'window', not {strategy!r}")
         alias = {k: f"_latest_key_{i}" for i, k in enumerate(keys)}
         newest = (live.groupBy(*keys).agg(F.max(sequence).alias("_latest_seq"))
                   .select(*[F.col(k).alias(a) for k, a in alias.items()], "_latest_seq"))

@@ -120,3 +120,11 @@ def test_upsert_and_delete_with_broadcast_keys(spark):
     plan = changes.upsert(target, source, ["id"], broadcast_keys=None)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_latest_by_key_window_strategy_matches(feed):
+    fast = changes.latest_by_key(feed, ["k1", "k2"], "seq")
+    win = changes.latest_by_key(feed, ["k1", "k2"], "seq", strategy="window")
+    assert rows(fast, "k1", "k2", "payload") == rows(win, "k1", "k2", "payload")
+    with pytest.raises(ValueError):
+        changes.latest_by_key(feed, ["k1"], "seq", strategy="nope")
