@@ -71,15 +71,16 @@ MAP_ROWS = [
     ("B", "Normal", "EC", "b", "NAD", "CB", "2023", "12", "31"),
     ("B", "Normal", "EC", "b2", "DB2", "CB2", "2023", "12", "31"),
     ("C", "Correctora", "EC", "c", "DC", None, "2023", "12", "31"),
+    (None, "Normal", "OP", "null code", "DN", "CN", "2023", "12", "31"),
 ]
 MAP_SCHEMA = ("code string, posting_class string, register_type string, map_descr string, "
               "debit_account string, credit_account string, y string, m string, d string")
 side = st.one_of(st.none(), st.sampled_from([-5.0, -0.5, 0.0, 2.0, 7.5]))
-tx_rows = st.lists(st.tuples(st.sampled_from(["A", "B", "C", "Z"]), st.sampled_from(["OP", "EC"]),
-                             side, side), max_size=10)
+tx_rows = st.lists(st.tuples(st.sampled_from(["A", "B", "C", "Z", None]),
+                             st.sampled_from(["OP", "EC", None]), side, side), max_size=10)
 
 
-@SETTINGS
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=tx_rows)
 def test_single_pass_ledger_and_unmapped_match_stepwise_shapes(spark, rows):
     import datetime as dt
