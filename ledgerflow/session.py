@@ -27,6 +27,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
+                            target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so a shuffle of ``input_bytes``
+    lands in partitions of about ``target_bytes`` (at least one per core).
+
+    AQE coalesces small partitions downwards at runtime, but it cannot split
+    a partition that is too large to sort or hash in memory, so the starting
+    count is sized for the largest shuffle of the job.  Returns the count.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = max(cores, -(-int(input_bytes) // int(target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes, 256 << 20)))
+    return n
+
+
 def local_session(cores: Optional[int] = None, shuffle_partitions: Optional[int] = None,
                   app: str = "ledgerflow") -> SparkSession:
     """A local session for tests and benchmarks (UI off, no ports beyond

@@ -91,3 +91,14 @@ def test_cutoff_on_timestamps_is_midnight(spark):
                                    "date timestamp, uuid string, invoice string")
     unm = spark.createDataFrame([("u1", "A"), ("u2", "A")], "uuid string, invoice string")
     assert [r.uuid for r in L.matching_rows(ledger, unm).collect()] == ["u1"]
+
+
+def test_size_shuffle_partitions(spark):
+    from ledgerflow.session import size_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle_partitions(spark, 100 * 2**40) == 409600  # 100 TB / 256 MB
+        assert size_shuffle_partitions(spark, 1) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
