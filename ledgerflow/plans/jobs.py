@@ -58,10 +58,16 @@ INVOICES_NOT_MAPPED = "invoices_not_mapped"
 def ingest_changes(spark: SparkSession, source_path: str, schema: T.StructType,
                    target_path: str, spec: C.ChangeFeedSpec, secret: Optional[str] = None,
                    pseudonymise_columns: Sequence[str] = (), deletes: str = "apply",
-                   checkpoint: Optional[str] = None):
-    """PIP-1: new change files since the last run, merged into bronze."""
+                   checkpoint: Optional[str] = None,
+                   max_files_per_trigger: Optional[int] = None):
+    """PIP-1: new change files since the last run, merged into bronze.
+
+    Without ``max_files_per_trigger`` all new files form one batch (the newest
+    change per key across them wins); with it, files are merged in arrival
+    order, batch by batch."""
     return ingest_available_now(spark, source_path, schema, target_path, spec, checkpoint,
-                                deletes, pseudonymise_columns, secret)
+                                deletes, pseudonymise_columns, secret,
+                                max_files_per_trigger=max_files_per_trigger)
 
 
 def ingest_changes_batch(spark: SparkSession, changes: DataFrame, target_path: str,
