@@ -63,6 +63,10 @@ def changed_rows(current: DataFrame, previous: DataFrame, key: str,
 
     The default comparison is SQL ``<>``: a null on either side is not a
     change.  ``null_safe=True`` counts null vs. value as a change.
+
+    A left-semi join with the difference as its residual condition: each
+    current row appears at most once, however many previous rows share its
+    key, so no key's rows are paired off into the output.
     """
     old = {c: f"_old_{c}" for c in (key, *compare)}
     prev = previous.select(*[F.col(c).alias(a) for c, a in old.items()])
@@ -73,8 +77,7 @@ def changed_rows(current: DataFrame, previous: DataFrame, key: str,
         return F.col(c) != F.col(old[c])
 
     cond = reduce(lambda a, b: a | b, [differs(c) for c in compare])
-    return (current.join(prev, F.col(key) == F.col(old[key]))
-            .where(cond).select(*current.columns))
+    return current.join(prev, (F.col(key) == F.col(old[key])) & cond, "left_semi")
 
 
 def for_country(df: DataFrame, country: str, column: str = C.COUNTRY) -> DataFrame:

@@ -62,3 +62,10 @@ def test_changed_rows_null_semantics(spark):
     assert sorted(r.client_id for r in promote.changed_rows(cur, prev, C.CLIENT_ID).collect()) == ["k2", "k4"]
     assert sorted(r.client_id for r in promote.changed_rows(cur, prev, C.CLIENT_ID, null_safe=True)
                   .collect()) == ["k2", "k3", "k4"]
+
+
+def test_changed_rows_emit_each_current_row_once(spark):
+    cur = spark.createDataFrame([("k1", "A", "T1")], "client_id string, company_name string, tax_id string")
+    prev = spark.createDataFrame([("k1", "X", "T1")] * 5, "client_id string, company_name string, tax_id string")
+    out = promote.changed_rows(cur, prev, C.CLIENT_ID)
+    assert out.count() == 1 and out.columns == cur.columns
