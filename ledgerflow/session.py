@@ -64,12 +64,16 @@ def local_session(cores: Optional[int] = None, shuffle_partitions: Optional[int]
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is only read here.
-    When it is unset (local tests) a fresh scratch folder is used.
+    On a cluster the setting points at shared storage and is only read here;
+    if it is unset there, this raises rather than fall back to a folder local
+    to one machine.  Only a local-mode session (tests) gets a fresh scratch
+    folder when the setting is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
