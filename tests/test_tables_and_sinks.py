@@ -90,3 +90,17 @@ def test_read_region_tables_feeds_the_silver_union(spark, scratch):
     assert ("op-mx1", "MX-0", 10.0, None) in got and ("op-br1", "BR-1", None, -10.0) in got
     assert ("ec-co2", "CO-2", 1.0, None) in got and len(got) == 6
     assert tx.columns == list(C.SPLIT_COLUMNS) + list(C.DATE_PARTS)
+
+
+def test_read_if_exists_only_swallows_missing_paths(spark, scratch):
+    bad = os.path.join(scratch, "bad")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception) as info:
+        df = TB.read_if_exists(spark, bad)
+        df.collect()  # schema inference or the scan must fail, not return "no data"
+    assert info.value is not None
+    good = os.path.join(scratch, "good")
+    spark.createDataFrame([(1,)], "id int").write.parquet(good)
+    assert TB.read_if_exists(spark, good).count() == 1
