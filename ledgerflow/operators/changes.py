@@ -89,12 +89,12 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], sequence: str,
     elif ties == "keep":
         if strategy != "preaggregate":
             raise ValueError(f"strategy must be 'preaggregate' or 'window', not {strategy!r}")
-        alias = {k: f"_latest_key_{i}" for i, k in enumerate(keys)}
-        newest = (live.groupBy(*keys).agg(F.max(sequence).alias("_latest_seq"))
-                  .select(*[F.col(k).alias(a) for k, a in alias.items()], "_latest_seq"))
-        cond = reduce(lambda a, b: a & b,
-                      [F.col(k).eqNullSafe(F.col(a)) for k, a in alias.items()])
-        cond = cond & (F.col(sequence) == F.col("_latest_seq"))
+        # The key travels as one struct: struct equality treats null fields as
+        # equal, so null key parts group and match like a window partition.
+        newest = (live.groupBy(F.struct(*keys).alias("_latest_key"))
+                  .agg(F.max(sequence).alias("_latest_seq")))
+        cond = ((F.struct(*keys) == F.col("_latest_key"))
+                & (F.col(sequence) == F.col("_latest_seq")))
         out = live.join(newest.hint("shuffle_hash"), cond, "left_semi")
     elif ties == "one":
         orderable = {f.name for f in df.schema.fields
