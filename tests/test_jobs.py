@@ -77,3 +77,16 @@ def test_sheet_load(spark, scratch):
     back = read_table(spark, out)
     row = back.first()  # partition discovery reads the parts back as numbers
     assert (str(row["year"]), str(row["month"]), str(row["day"])) == ("2024", "3", "5")
+
+
+def test_batch_ingest_equals_registered_query(spark, scratch):
+    from ledgerflow.plans import catalog as Q
+    from ledgerflow.sources.fixtures import FX_CDC
+    target = os.path.join(scratch, "bronze")
+    cdc = Fixtures.of(spark, SF_SMALL).cdc
+    jobs.ingest_changes_batch(spark, cdc, target, FX_CDC, secret=Q.SECRET,
+                              pseudonymise_columns=Q.PSEUDONYMISED_CDC, deletes="keep")
+    got = read_table(spark, target)
+    want = Q.QUERIES["ingest_changes"](spark, SF_SMALL)
+    assert got.count() == want.count() == 4599
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
