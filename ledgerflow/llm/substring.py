@@ -1,16 +1,17 @@
 """Substring de-duplication over sliding runs of sentences.
 
-Every run of ``RUN`` consecutive sentences with at least ``MIN_WORDS`` words is
-hashed (XXH64 of its words, case and spacing ignored).  A run's first
-occurrence is that in the smallest doc_id, and there the earliest; sentences
+From every sentence on, the run of ``RUN`` consecutive sentences, or of as many
+more as make ``MIN_WORDS`` words, is hashed (XXH64 of its words, case and
+spacing ignored).  A run's first occurrence is that in the smallest doc_id, and there the earliest; sentences
 covered by any other occurrence are removed.  What is left of a text is the
 untouched remainder, byte for byte; a text without repeats does not change.
 
 Sentences end at closing punctuation, line ends, and before a capitalised
 word that follows a lower-case one (text pasted into the middle of a sentence
 starts so).  Sentences over ``LONG`` words are cut further after words chosen
-by their own hash, and at the latest after ``2 * LONG`` words, so that both
-copies of a long passage are cut alike wherever it stands.
+by their own hash (at least ``LONG // 3`` and at most ``2 * LONG`` words from
+the cut before), so that both copies of a long passage are soon cut alike
+wherever it stands.
 
 Work: one scan writes (hash, id, place) once per distinct run and document; a
 minimum per hash, with map-side combining, finds first occurrences; a join on
@@ -68,27 +69,27 @@ def sentences(text: str) -> list[str]:
             lead = len(part) - sum(map(len, pieces))
             pieces[0] = part[:lead] + pieces[0]
             for i, word in enumerate(words[:-1]):
-                if zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % 6 == 0 or i - begin >= 2 * LONG - 1:
+                held = i + 1 - begin
+                if held >= 2 * LONG or held >= LONG // 3 and zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % 3 == 0:
                     out.append("".join(pieces[begin:i + 1]))
                     begin = i + 1
             out.append("".join(pieces[begin:]))
     return out
 
 
-def runs(parts: list[str], run: int = RUN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, start) of every run of ``run`` sentences with enough words."""
+def runs(parts: list[str], run: int = RUN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, stop) of the run that begins at every sentence, as far as
+    the text has enough sentences and words after it."""
     plain = [p.lower().split() for p in parts]
-    lengths = np.array([len(w) for w in plain], dtype=np.int64)
-    n = len(parts) - run + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    total = np.concatenate(([0], np.cumsum(lengths)))
-    starts = np.nonzero(total[run:] - total[:-run] >= min_words)[0]
+    total = np.concatenate(([0], np.cumsum([len(w) for w in plain]))).astype(np.int64)
+    starts = np.arange(max(0, len(parts) - run + 1))
+    stops = np.maximum(starts + run, np.searchsorted(total, total[starts] + min_words))
+    starts, stops = starts[stops <= len(parts)], stops[stops <= len(parts)]
     joined = [" ".join(w) for w in plain]
     hashed = xxhash.xxh64_intdigest
-    codes = np.fromiter((hashed(" ".join(joined[i:i + run]).encode("utf-8", "surrogatepass")) for i in starts.tolist()),
+    codes = np.fromiter((hashed(" ".join(joined[i:j]).encode("utf-8", "surrogatepass")) for i, j in zip(starts.tolist(), stops.tolist())),
                         dtype=np.uint64, count=len(starts))
-    return codes.view(np.int64), starts
+    return codes.view(np.int64), starts, stops
 
 
 def _remainder(text: str | None, removed: list[int] | None, run: int, min_words: int) -> str | None:
@@ -96,7 +97,7 @@ def _remainder(text: str | None, removed: list[int] | None, run: int, min_words:
     if text is None:
         return None
     parts = sentences(text)
-    codes, starts = runs(parts, run, min_words)
+    codes, starts, stops = runs(parts, run, min_words)
     first = np.zeros(len(codes), dtype=bool)
     first[np.unique(codes, return_index=True)[1]] = True
     gone = set(starts[~first].tolist())
@@ -105,8 +106,9 @@ def _remainder(text: str | None, removed: list[int] | None, run: int, min_words:
     if not gone:
         return text
     covered = np.zeros(len(parts), dtype=bool)
+    end = dict(zip(starts.tolist(), stops.tolist()))
     for at in gone:
-        covered[at:at + run] = True
+        covered[at:end.get(at, at)] = True
     return "".join(p for p, c in zip(parts, covered) if not c)
 
 
@@ -122,7 +124,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for i, (text, own) in enumerate(zip(batch.column("text").to_pylist(), batch.column("mark").to_pylist())):
                 if not text:
                     continue
-                codes, starts = runs(sentences(text), run, min_words)
+                codes, starts, _ = runs(sentences(text), run, min_words)
                 codes, at = np.unique(codes, return_index=True)
                 hashes.append(codes)
                 places.append((own << 32) + starts[at])
