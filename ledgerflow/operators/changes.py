@@ -7,10 +7,9 @@ a keyed table.  All are lazy: the caller decides where the result is written
 
 Scale notes
 -----------
-* ``latest_by_key`` never sends all rows of one key to one task: the
-  keep-ties form pre-aggregates the per-key maximum and joins on (key, seq);
-  the one-row form limits each key to one row per map task before the shuffle
-  (see the function's docstring).
+* ``latest_by_key`` never sends all rows of one key to one task: a partial
+  limit keeps each key's newest rows per map task before the shuffle (see the
+  function's docstring).
 * Merges are one left-anti join of the target against the source keys plus a
   union.  Null key parts never match (as in SQL MERGE).  AQE splits skewed
   left-side partitions of the anti join.
@@ -30,10 +29,6 @@ from ledgerflow.functions.dates import with_date_parts
 from ledgerflow.functions.privacy import pseudonymise
 from ledgerflow.operators.joins import bounded_broadcast
 
-# Source key sets up to this many keys may be broadcast to a merge (a few
-# narrow key columns: tens of MB per executor at most).
-MAX_BROADCAST_KEYS = 1_000_000
-
 
 def _keys(keys: Sequence[str] | str) -> list[str]:
     if isinstance(keys, str):
@@ -55,19 +50,21 @@ def fill_op(df: DataFrame, op: str = "Op", value: str = C.FULL_LOAD_OP) -> DataF
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], sequence: str,
                   ties: str = "keep", tie_break: Sequence[str] = (),
-                  drop_sequence: bool = True, strategy: str = "preaggregate") -> DataFrame:
+                  drop_sequence: bool = True, strategy: str = "rank") -> DataFrame:
     """Newest row(s) per key by ``sequence``.
 
     Rows with a null sequence never win; rows with null key parts form their
     own group per distinct key value (null included).
 
     ``ties="keep"`` returns every row tied on the newest sequence (the source
-    job's behaviour).  Plan: ``max(sequence)`` per key as a hash aggregate
-    (partial aggregation before the shuffle collapses hot keys), then a
-    left-semi join on (key, sequence = max).  Because the join is partitioned
-    by key *and* sequence, the rows of a hot key spread over many tasks; only
-    its winning rows meet in one.  The per-key maxima are the hash-join build
-    side, one small row per key per partition.
+    job's behaviour).  Plan: ``rank() == 1``, one scan and one shuffle; the
+    partial ``WindowGroupLimit`` lets each map task send only the rows that
+    are newest there, so a hot key does not reach a reducer whole, and the
+    sorts spill.
+
+    ``strategy="preaggregate"`` takes ``max(sequence)`` per key as a hash
+    aggregate and a left-semi join on (key, sequence = max): two scans, no
+    sort of the feed by key; the join is partitioned by key *and* sequence.
 
     ``strategy="window"`` computes the keep-ties form as ``max`` over a key
     window instead: one shuffle and no second scan, but every row of a key
@@ -86,16 +83,19 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], sequence: str,
         newest = F.max(sequence).over(Window.partitionBy(*keys))
         out = live.withColumn("_latest_seq", newest).where(
             F.col(sequence) == F.col("_latest_seq")).drop("_latest_seq")
+    elif ties == "keep" and strategy == "rank":
+        w = Window.partitionBy(*keys).orderBy(F.col(sequence).desc())
+        out = live.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1).drop("_rank")
     elif ties == "keep":
         if strategy != "preaggregate":
-            raise ValueError(f"strategy must be 'preaggregate' or 'window', not {strategy!r}")
+            raise ValueError(f"strategy must be 'rank', 'preaggregate' or 'window', not {strategy!r}")
         # The key travels as one struct: struct equality treats null fields as
         # equal, so null key parts group and match like a window partition.
         newest = (live.groupBy(F.struct(*keys).alias("_latest_key"))
                   .agg(F.max(sequence).alias("_latest_seq")))
         cond = ((F.struct(*keys) == F.col("_latest_key"))
                 & (F.col(sequence) == F.col("_latest_seq")))
-        out = live.join(newest.hint("shuffle_hash"), cond, "left_semi")
+        out = live.join(newest, cond, "left_semi")
     elif ties == "one":
         orderable = {f.name for f in df.schema.fields
                      if not isinstance(f.dataType, (T.MapType, T.VariantType))}
@@ -154,8 +154,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | str,
 
     ``broadcast_keys``: ``False`` leaves the join strategy to the planner and
     AQE (the target is shuffled by key); ``None`` broadcasts the source key set
-    when it has at most ``MAX_BROADCAST_KEYS`` keys, so a small increment
-    merges into a large target without shuffling the target; ``True`` forces
+    when the planner's size estimate is within the byte bound of
+    ``joins.bounded_broadcast``, so a small increment merges into a large
+    target without shuffling the target; ``True`` forces
     the broadcast.
     """
     keys = _keys(keys)
@@ -165,7 +166,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | str,
     # aggregate could not reuse the shuffle).
     key_set = counts.where(F.col("_n") >= 1).select(*keys)
     if broadcast_keys is not False:
-        key_set = bounded_broadcast(key_set, MAX_BROADCAST_KEYS, force=broadcast_keys)
+        key_set = bounded_broadcast(key_set, force=broadcast_keys)
     kept = target.join(key_set, keys, "left_anti")
     merged = kept.unionByName(source, allowMissingColumns=True)
     merged = merged.select(*_merge_columns(target, source))
@@ -184,7 +185,7 @@ def delete_by_key(target: DataFrame, keys_df: DataFrame, keys: Sequence[str] | s
     keys = _keys(keys)
     doomed = keys_df.where(all_not_null(keys)).select(*keys).distinct()
     if broadcast_keys is not False:
-        doomed = bounded_broadcast(doomed, MAX_BROADCAST_KEYS, force=broadcast_keys)
+        doomed = bounded_broadcast(doomed, force=broadcast_keys)
     return target.join(doomed, keys, "left_anti").select(*target.columns)
 
 
@@ -206,7 +207,7 @@ def merge_changes(target: DataFrame, latest: DataFrame, keys: Sequence[str] | st
     live = latest.where(~F.coalesce(F.col(op) == F.lit(C.DELETE_OP), F.lit(False)))
     key_set = latest.where(all_not_null(keys)).select(*keys)
     if broadcast_keys is not False:
-        key_set = bounded_broadcast(key_set, MAX_BROADCAST_KEYS, force=broadcast_keys)
+        key_set = bounded_broadcast(key_set, force=broadcast_keys)
     kept = target.join(key_set, keys, "left_anti")
     return (kept.unionByName(live, allowMissingColumns=True)
             .select(*_merge_columns(target, latest)))
@@ -214,12 +215,13 @@ def merge_changes(target: DataFrame, latest: DataFrame, keys: Sequence[str] | st
 
 def prepare_changes(changes: DataFrame, spec: C.ChangeFeedSpec,
                     pseudonymise_columns: Sequence[str] = (), secret: Optional[str] = None,
-                    ties: str = "one") -> DataFrame:
+                    ties: str = "one", drop_sequence: bool = True) -> DataFrame:
     """Change feed to one mergeable row per key: fill the op code, keep the
     newest change per key, pseudonymise, add padded year/month/day of the
     change timestamp."""
     out = fill_op(changes, spec.op)
-    out = latest_by_key(out, spec.keys, spec.sequence, ties=ties, tie_break=spec.tie_break)
+    out = latest_by_key(out, spec.keys, spec.sequence, ties=ties, tie_break=spec.tie_break,
+                        drop_sequence=drop_sequence)
     if pseudonymise_columns:
         if secret is None:
             raise ValueError("pseudonymising needs a secret")
@@ -233,3 +235,36 @@ def apply_changes(target: DataFrame, changes: DataFrame, spec: C.ChangeFeedSpec,
     """Next snapshot of a bronze table after one batch of the change feed."""
     latest = prepare_changes(changes, spec, pseudonymise_columns, secret)
     return merge_changes(target, latest, spec.keys, spec.op, deletes)
+
+
+def merge_newest(target: DataFrame, latest: DataFrame, spec: C.ChangeFeedSpec) -> DataFrame:
+    """Next state of a bronze table that keeps its sequence: for every key the
+    newest change of ``target`` and ``latest`` (one row per key each), deletes
+    included as tombstones.
+
+    "Newest" is the order of ``latest_by_key(ties="one")``, a total order of
+    the stored rows, so the state after any number of batches does not depend
+    on how the changes were cut into batches, on the batches' order, or on a
+    batch being merged twice.  Null key parts match each other here, or a
+    repeated batch would add their rows again.  Only keys that occur in
+    ``latest`` are compared; the rest of the target passes one anti join.
+    """
+    keys = list(spec.keys)
+    names = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    changed = latest.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    untouched = target.join(changed, same, "left_anti")
+    touched = target.join(changed, same, "left_semi")
+    newest = latest_by_key(touched.unionByName(latest, allowMissingColumns=True), keys, spec.sequence,
+                           ties="one", tie_break=spec.tie_break, drop_sequence=False)
+    return untouched.unionByName(newest, allowMissingColumns=True).select(*_merge_columns(target, latest))
+
+
+def live_rows(bronze: DataFrame, spec: C.ChangeFeedSpec, deletes: str = "apply") -> DataFrame:
+    """What readers see of a bronze state: without the sequence and, if
+    deletes apply, without tombstones."""
+    if deletes not in ("apply", "keep"):
+        raise ValueError(f"deletes must be 'apply' or 'keep', not {deletes!r}")
+    if deletes == "apply":
+        bronze = bronze.where(~F.coalesce(F.col(spec.op) == F.lit(C.DELETE_OP), F.lit(False)))
+    return bronze.drop(spec.sequence)

@@ -73,8 +73,3 @@ def union_regions(frames: Mapping[str, DataFrame],
         raise ValueError("no regions given")
     parts = [conform(df, region) for region, df in frames.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def union_all(*frames: DataFrame) -> DataFrame:
-    """Union by name; columns missing on one side become null."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -1,9 +1,10 @@
 """Join-side helpers.
 
-A broadcast hint is only given to a side whose size has been checked: the
-helper counts at most ``max_rows + 1`` rows of the candidate side (a cheap job
-on a side that is expected to be small) and falls back to letting the planner
-choose a shuffled join, with AQE's runtime re-planning, when the bound fails.
+A broadcast hint is only given to a side whose estimated size is within a byte
+bound.  The estimate is the planner's own (file sizes, literal rows, what its
+operators make of them), read from the optimised plan: no job runs, nothing is
+remembered, so a rewritten input is judged anew.  Without a hint the planner
+and AQE's runtime re-planning choose.
 """
 
 from __future__ import annotations
@@ -13,34 +14,20 @@ from typing import Optional
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a mapping side may have and still be broadcast.  The mapping tables
-# joined here are a few short strings wide, so this bounds the broadcast to a
-# few MB per executor.
-DEFAULT_MAX_BROADCAST_ROWS = 50_000
+# Estimated bytes up to which a side is broadcast.
+DEFAULT_MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 
-# Outcome of the size check per (application, plan, input files): the check
-# runs once per session for each distinct mapping input.  Written files have
-# unique names, so new data means a new key.
-_CHECKED: dict[tuple, bool] = {}
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's size estimate of ``df`` (no job)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                       force: Optional[bool] = None) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The check is remembered per session, plan and input file set.
-    ``force=True``/``False`` skips the check (the caller vouches for the size or
-    wants a shuffled join).
-    """
-    if force is True:
-        return F.broadcast(df)
-    if force is False:
-        return df
-    try:
-        app = df.sparkSession.sparkContext.applicationId
-    except Exception:  # sessions without a local SparkContext (Spark Connect)
-        app = id(df.sparkSession)
-    key = (app, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _CHECKED[key] else df
+    """``broadcast(df)`` if its estimated size is at most ``max_bytes``, else
+    ``df``.  ``force=True``/``False`` skips the check (the caller vouches for
+    the size or wants a shuffled join)."""
+    if force is None:
+        force = estimated_bytes(df) <= max_bytes
+    return F.broadcast(df) if force else df

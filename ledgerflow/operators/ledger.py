@@ -276,7 +276,7 @@ def unmapped_class(df: DataFrame, mapping: DataFrame, posting_class: str,
 # ---------------------------------------------------------------------------
 
 def matching_rows(df: DataFrame, other: DataFrame, cutoff: Optional[str] = C.REPROCESS_CUTOFF_DATE,
-                  keys: tuple[str, ...] = (C.UUID, C.INVOICE)) -> DataFrame:
+                  keys: tuple[str, ...] = (C.UUID, C.INVOICE), few: bool = False) -> DataFrame:
     """Rows of ``df`` whose (uuid, invoice) also occurs in ``other`` and whose
     business date is strictly after ``cutoff``: a timestamp is compared with
     the cut-off's midnight, a date with the date, text is parsed first (never
@@ -284,9 +284,14 @@ def matching_rows(df: DataFrame, other: DataFrame, cutoff: Optional[str] = C.REP
 
     ``other``'s keys are de-duplicated before the shuffle (partial aggregation
     collapses hot keys map-side), then a left-semi join keeps each row of
-    ``df`` at most once.
+    ``df`` at most once.  With ``few`` (``df`` is small beside ``other``)
+    ``other`` is first reduced to the keys of ``df``, so a large ledger is not
+    aggregated for a handful of pending rows.
     """
-    key_rows = other.select(*keys).distinct()
+    key_rows = other.select(*keys)
+    if few:
+        key_rows = key_rows.join(df.select(*keys).distinct(), list(keys), "left_semi")
+    key_rows = key_rows.distinct()
     out = df.join(key_rows, list(keys), "left_semi")
     if cutoff is not None:
         out = out.where(_after(df, C.DATE, cutoff))

@@ -78,7 +78,3 @@ def changed_rows(current: DataFrame, previous: DataFrame, key: str,
 
     cond = reduce(lambda a, b: a | b, [differs(c) for c in compare])
     return current.join(prev, (F.col(key) == F.col(old[key])) & cond, "left_semi")
-
-
-def for_country(df: DataFrame, country: str, column: str = C.COUNTRY) -> DataFrame:
-    return df.where(F.col(column) == F.lit(country))

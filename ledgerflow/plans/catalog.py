@@ -139,12 +139,25 @@ def apply_changes(spark, sf_dir):
                                  secret=SECRET)
 
 
+@query
+def apply_changes_out_of_order(spark, sf_dir):
+    """Three batches of the versioned feed, the newest changes first, merged
+    one after another into a bronze state that keeps its sequence."""
+    feed = Fixtures.of(spark, sf_dir).view("fx_cdc_versions")
+
+    def batch(n):
+        return changes.prepare_changes(feed.where(F.col("batch") == n).drop("batch"), FX_CDC, drop_sequence=False)
+
+    state = changes.merge_newest(changes.merge_newest(batch(1), batch(2), FX_CDC), batch(3), FX_CDC)
+    return changes.live_rows(state, FX_CDC)
+
+
 @query
 def upsert_by_key(spark, sf_dir):
-    """Unmapped table built under the old mapping, upserted with the unmapped
-    rows under the new one (key uuid)."""
+    """A client snapshot upserted with an increment: shared keys change, each
+    side has keys of its own, null keys never match."""
     fx = Fixtures.of(spark, sf_dir)
-    return changes.upsert(_unmapped_v1(fx), _unmapped(fx), C.UNMAPPED_KEY)
+    return changes.upsert(fx.view("fx_upsert_target"), fx.view("fx_upsert_source"), "contract_id", check_unique=False)
 
 
 @query
@@ -336,7 +349,11 @@ def unmapped_invoices_q(spark, sf_dir):
 
 @query
 def report_by_country(spark, sf_dir):
+    """Invoices of the listed countries; the input also holds the same
+    invoices of an unlisted country and of none."""
     inv = unmapped_invoices(_unmapped(Fixtures.of(spark, sf_dir)), AS_OF)
+    inv = inv.unionByName(inv.withColumn(C.COUNTRY, F.lit("PE"))).unionByName(
+        inv.withColumn(C.COUNTRY, F.lit(None).cast("string")))
     return inv.where(F.col(C.COUNTRY).isin(*C.REGIONS))
 
 
@@ -394,3 +411,19 @@ def history_since_q(spark, sf_dir):
 @query
 def history_transactions(spark, sf_dir):
     return promote.history_since(_ledger(Fixtures.of(spark, sf_dir)), C.INSERT_DATE)
+
+
+@query
+def newer_than_text(spark, sf_dir):
+    """Rows newer than the newest of the urgent ones; timestamps are text, and
+    text that is none is never newer."""
+    rows = Fixtures.of(spark, sf_dir).view("fx_text_operations")
+    urgent = rows.where("code = '1-URGENT' and amount < 0 and inserted < '1998-01-01'")
+    return promote.newer_than(rows, urgent, "inserted").withColumn("inserted", F.col("inserted").cast("timestamp_ntz"))
+
+
+@query
+def history_since_text(spark, sf_dir):
+    rows = Fixtures.of(spark, sf_dir).view("fx_text_operations")
+    return promote.history_since(rows, "inserted", CLIENT_HISTORY_START).withColumn(
+        "inserted", F.col("inserted").cast("timestamp_ntz"))

@@ -22,8 +22,11 @@ from ledgerflow.operators.promote import changed_rows, history_since, newer_than
 from ledgerflow.operators.reports import unmapped_invoices
 from ledgerflow.plans import silver
 from ledgerflow.sinks.reports import write_report, write_report_by_country
-from ledgerflow.sources.tables import (materialise, read_landing_csv, read_or_empty,
-                                       read_table, upsert_table, write_snapshot)
+from ledgerflow.operators.joins import estimated_bytes
+from ledgerflow.session import size_shuffle_partitions
+from ledgerflow.sources.tables import (discard, materialise, read_if_exists, read_landing_csv,
+                                       read_table, read_version,
+                                       read_version_or_empty, upsert_table, write_snapshot)
 from ledgerflow.streaming.ingest import ingest_available_now, merge_batch
 
 Sources = Union[DataFrame, Mapping[str, DataFrame]]
@@ -57,32 +60,35 @@ INVOICES_NOT_MAPPED = "invoices_not_mapped"
 
 def ingest_changes(spark: SparkSession, source_path: str, schema: T.StructType,
                    target_path: str, spec: C.ChangeFeedSpec, secret: Optional[str] = None,
-                   pseudonymise_columns: Sequence[str] = (), deletes: str = "apply",
+                   pseudonymise_columns: Sequence[str] = (),
                    checkpoint: Optional[str] = None,
                    max_files_per_trigger: Optional[int] = None):
     """PIP-1: new change files since the last run, merged into bronze.
 
-    Without ``max_files_per_trigger`` all new files form one batch (the newest
-    change per key across them wins); with it, files are merged in arrival
-    order, batch by batch."""
+    ``max_files_per_trigger`` bounds each batch; it does not change what is
+    stored (see ``streaming.ingest``).  Read the table with
+    ``streaming.ingest.read_bronze``."""
     return ingest_available_now(spark, source_path, schema, target_path, spec, checkpoint,
-                                deletes, pseudonymise_columns, secret,
+                                pseudonymise_columns, secret,
                                 max_files_per_trigger=max_files_per_trigger)
 
 
 def ingest_changes_batch(spark: SparkSession, changes: DataFrame, target_path: str,
                          spec: C.ChangeFeedSpec, secret: Optional[str] = None,
-                         pseudonymise_columns: Sequence[str] = (), deletes: str = "apply"):
+                         pseudonymise_columns: Sequence[str] = ()):
     """PIP-1 on an explicit batch of changes (no bookmark)."""
-    return merge_batch(spark, changes, target_path, spec, deletes, pseudonymise_columns, secret)
+    return merge_batch(spark, changes, target_path, spec, pseudonymise_columns, secret)
 
 
 def load_sheet(spark: SparkSession, csv_path: str, target_path: str, as_of: AsOf = None,
                schema: Optional[T.StructType] = None) -> bool:
-    """PIP-2: CSV landing file to a full-load table stamped with the load date.
+    """PIP-2: CSV landing file to a full-load table stamped with the load date;
+    a missing or empty file is no data.
 
     Each load is a new snapshot version (partitioned by the load date parts),
     so a failed load never leaves the table missing or half written."""
+    if read_if_exists(spark, csv_path, "text") is None:
+        return False
     df = read_landing_csv(spark, csv_path, schema)
     if df.isEmpty():
         return False
@@ -92,10 +98,17 @@ def load_sheet(spark: SparkSession, csv_path: str, target_path: str, as_of: AsOf
 
 # --- silver -----------------------------------------------------------------
 
+def _size(spark: SparkSession, *inputs: Sources) -> None:
+    """Raise the session's shuffle partitions to what the inputs need."""
+    frames = [f for x in inputs for f in (x.values() if isinstance(x, Mapping) else [x])]
+    size_shuffle_partitions(spark, sum(estimated_bytes(f) for f in frames))
+
+
 def build_active_clients(spark: SparkSession, companies: Sources, tables: Tables,
                          spec: C.ClientSpec = C.ClientSpec(),
                          region: Optional[Union[str, Column]] = None) -> str:
     """PIP-3: active clients of every region, upserted by client id."""
+    _size(spark, companies)
     clients = silver.active_clients(companies, spec, region)
     return upsert_table(spark, tables.silver_table(ACTIVE_CLIENTS), clients, C.CLIENT_KEY)
 
@@ -107,6 +120,7 @@ def build_unmapped(spark: SparkSession, operations: Sources, concepts: Sources,
                    map_spec: C.ConceptMapSpec = C.ConceptMapSpec(),
                    region: Optional[Union[str, Column]] = None) -> str:
     """PIP-5: transactions with no mapping row of their class, upserted by uuid."""
+    _size(spark, operations, concepts)
     tx = silver.transactions(operations, concepts, operations_spec, concepts_spec, region)
     rows = silver.unmapped_transactions(tx, mapping, map_spec)
     return upsert_table(spark, tables.silver_table(UNMAPPED), rows, C.UNMAPPED_KEY)
@@ -118,47 +132,86 @@ def build_ledger(spark: SparkSession, operations: Sources, concepts: Sources,
                  concepts_spec: C.TransactionSpec = C.CONCEPTS,
                  map_spec: C.ConceptMapSpec = C.ConceptMapSpec(),
                  region: Optional[Union[str, Column]] = None) -> str:
-    """PIP-4: post the ledger, upsert it by (uuid, account_id), then reprocess
-    entries that left the unmapped table."""
+    """PIP-4 and PIP-6: post the ledger, upsert it by (uuid, account_id) and
+    restamp entries that sat in the unmapped table, in one write of the ledger;
+    then delete those unmapped rows."""
+    _size(spark, operations, concepts)
     tx = silver.transactions(operations, concepts, operations_spec, concepts_spec, region)
-    posted = silver.ledger(tx, mapping, map_spec)
-    written = upsert_table(spark, tables.silver_table(TRANSACTIONS), posted, C.LEDGER_KEY)
-    reprocess(spark, tables, as_of)
+    posted = materialise(silver.ledger(tx, mapping, map_spec))
+    path = tables.silver_table(TRANSACTIONS)
+    target, base = read_version_or_empty(spark, path, posted.schema)
+    ledger = upsert(target, posted, C.LEDGER_KEY)
+    pending = _pending(spark, tables)
+    again = None
+    if pending is not None:
+        again = materialise(reprocess_candidates(ledger, pending[0], as_of))
+        ledger = upsert(ledger, again, C.LEDGER_KEY)
+    written = write_snapshot(ledger, path, base=base)
+    discard(posted)
+    if again is not None:
+        discard(again)
+        _delete_posted(spark, tables, *pending)
     return written
 
 
+def _pending(spark: SparkSession, tables: Tables) -> Optional[tuple[DataFrame, int]]:
+    """The unmapped table and its version, if it has rows."""
+    try:
+        found = read_version(spark, tables.silver_table(UNMAPPED))
+    except FileNotFoundError:
+        return None
+    return None if found[0].isEmpty() else found
+
+
+def _delete_posted(spark: SparkSession, tables: Tables, pending: DataFrame, version: int) -> None:
+    """Delete unmapped rows that the committed ledger now holds."""
+    gone = materialise(matching_rows(pending, read_table(spark, tables.silver_table(TRANSACTIONS)), few=True))
+    if not gone.isEmpty():
+        write_snapshot(delete_by_key(pending, gone, C.UNMAPPED_KEY), tables.silver_table(UNMAPPED), base=version)
+    discard(gone)
+
+
 def reprocess(spark: SparkSession, tables: Tables, as_of: AsOf = None,
               restamp_parts: bool = False) -> bool:
-    """PIP-6: ledger rows whose (uuid, invoice) sat in the unmapped table are
-    restamped to yesterday; then those unmapped rows are deleted.
+    """PIP-6 alone: ledger rows whose (uuid, invoice) sat in the unmapped table
+    are restamped to yesterday; then those unmapped rows are deleted.
 
     Both steps read fixed snapshots: the ledger upsert is committed before the
-    delete set is computed from the new ledger version.
+    delete set is computed from the new ledger version.  Without candidates
+    nothing is written.
     """
     try:
-        ledger = read_table(spark, tables.silver_table(TRANSACTIONS))
-        pending = read_table(spark, tables.silver_table(UNMAPPED))
+        ledger, base = read_version(spark, tables.silver_table(TRANSACTIONS))
     except FileNotFoundError:
         return False
-    if pending.isEmpty():
+    pending = _pending(spark, tables)
+    if pending is None:
         return False
-    again = materialise(reprocess_candidates(ledger, pending, as_of, restamp_parts=restamp_parts))
-    write_snapshot(upsert(ledger, again, C.LEDGER_KEY), tables.silver_table(TRANSACTIONS))
-    ledger = read_table(spark, tables.silver_table(TRANSACTIONS))
-    gone = matching_rows(pending, ledger)
-    write_snapshot(delete_by_key(pending, gone, C.UNMAPPED_KEY), tables.silver_table(UNMAPPED))
+    again = materialise(reprocess_candidates(ledger, pending[0], as_of, restamp_parts=restamp_parts))
+    if not again.isEmpty():
+        write_snapshot(upsert(ledger, again, C.LEDGER_KEY), tables.silver_table(TRANSACTIONS), base=base)
+    discard(again)
+    _delete_posted(spark, tables, *pending)
     return True
 
 
 # --- gold -------------------------------------------------------------------
 
+def _save(spark: SparkSession, gold_path: str, gold: DataFrame, base: int, rows: DataFrame,
+          keys: Sequence[str]) -> None:
+    """Upsert materialised ``rows`` into gold; nothing new, nothing written."""
+    if not base or not rows.isEmpty():
+        write_snapshot(upsert(gold, rows, keys), gold_path, base=base)
+
+
 def _promote_new(spark: SparkSession, tables: Tables, name: str, column: str,
                  keys: Sequence[str]) -> DataFrame:
     current = read_table(spark, tables.silver_table(name))
     gold_path = tables.gold_table(name)
-    gold = read_or_empty(spark, gold_path, current.schema)
+    gold, base = read_version_or_empty(spark, gold_path, current.schema)
     fresh = materialise(newer_than(current, gold, column))
-    write_snapshot(upsert(gold, fresh, keys), gold_path)
+    _save(spark, gold_path, gold, base, fresh, keys)
+    discard(fresh)
     return read_table(spark, gold_path)
 
 
@@ -180,18 +233,22 @@ def updated_clients(spark: SparkSession, tables: Tables) -> bool:
     gold (the report is written first, or the difference would be gone)."""
     current = read_table(spark, tables.silver_table(ACTIVE_CLIENTS))
     gold_path = tables.gold_table(ACTIVE_CLIENTS)
-    gold = read_or_empty(spark, gold_path, current.schema)
+    gold, base = read_version_or_empty(spark, gold_path, current.schema)
     changed = materialise(changed_rows(current, gold, C.CLIENT_ID))
     written = write_report(changed.drop(*C.DATE_PARTS), tables.report("updated_clients"))
-    write_snapshot(upsert(gold, changed, C.CLIENT_KEY), gold_path)
+    _save(spark, gold_path, gold, base, changed, C.CLIENT_KEY)
+    discard(changed)
     return written
 
 
 def invoices_not_mapped(spark: SparkSession, tables: Tables, as_of: AsOf = None) -> None:
-    """PIP-9: distinct unmapped invoices, saved to gold and reported per country."""
-    invoices = unmapped_invoices(read_table(spark, tables.silver_table(UNMAPPED)), as_of)
-    path = upsert_table(spark, tables.gold_table(INVOICES_NOT_MAPPED), invoices, C.INVOICE_REPORT_KEY)
-    write_report_by_country(spark.read.parquet(path), tables.report("invoices_not_mapped"))
+    """PIP-9: distinct unmapped invoices, saved to gold; the report per country
+    holds those that are unmapped now, not all that gold has ever held."""
+    invoices = materialise(unmapped_invoices(read_table(spark, tables.silver_table(UNMAPPED)), as_of))
+    upsert_table(spark, tables.gold_table(INVOICES_NOT_MAPPED), invoices, C.INVOICE_REPORT_KEY,
+                 materialise_source=False)
+    write_report_by_country(invoices, tables.report("invoices_not_mapped"))
+    discard(invoices)
 
 
 def historical_clients(spark: SparkSession, tables: Tables,
@@ -199,8 +256,10 @@ def historical_clients(spark: SparkSession, tables: Tables,
     """PIP-10 (clients): save updated clients to gold, report the history."""
     current = read_table(spark, tables.silver_table(ACTIVE_CLIENTS))
     gold_path = tables.gold_table(ACTIVE_CLIENTS)
-    gold = read_or_empty(spark, gold_path, current.schema)
-    write_snapshot(upsert(gold, changed_rows(current, gold, C.CLIENT_ID), C.CLIENT_KEY), gold_path)
+    gold, base = read_version_or_empty(spark, gold_path, current.schema)
+    changed = materialise(changed_rows(current, gold, C.CLIENT_ID))
+    _save(spark, gold_path, gold, base, changed, C.CLIENT_KEY)
+    discard(changed)
     return write_report(history_since(current, C.CREATED_AT, start), tables.report("incoming_clients"))
 
 

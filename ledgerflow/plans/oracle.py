@@ -196,10 +196,15 @@ WHERE NOT EXISTS (SELECT 1 FROM ({_prepared_cdc('op IS NOT NULL')}) c
                   WHERE c.l_orderkey = b.l_orderkey AND c.l_linenumber = b.l_linenumber)
 UNION ALL
 SELECT * FROM ({_prepared_cdc('op IS NOT NULL')}) c WHERE op <> 'D'""",
+    "apply_changes_out_of_order": f"""
+SELECT l_orderkey, l_linenumber, change_ts, op, l_quantity, l_extendedprice, {_PADDED_PARTS_OF.format(c='change_ts')}
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_CDC_ORDER}) AS rn
+      FROM (SELECT * REPLACE (coalesce(op, 'C') AS op) FROM {{fx_cdc_versions}}) f) t
+WHERE rn = 1 AND op <> 'D'""",
     "upsert_by_key": """
-SELECT * FROM {o_unmapped_v1} t WHERE NOT EXISTS (SELECT 1 FROM {o_unmapped} s WHERE s.uuid = t.uuid)
+SELECT * FROM {fx_upsert_target} t WHERE NOT EXISTS (SELECT 1 FROM {fx_upsert_source} s WHERE s.contract_id = t.contract_id)
 UNION ALL
-SELECT * FROM {o_unmapped}""",
+SELECT * FROM {fx_upsert_source}""",
     "upsert_schema_evolution": f"""
 SELECT client_id, company_name, tax_id, NULL::TIMESTAMP AS created_at, NULL::VARCHAR AS country,
        NULL::VARCHAR AS year, NULL::VARCHAR AS month, NULL::VARCHAR AS day
@@ -282,6 +287,14 @@ WHERE c.company_name <> p.company_name OR c.tax_id <> p.tax_id""",
 SELECT * FROM {{o_clients}} WHERE created_at >= TIMESTAMP '{Q.CLIENT_HISTORY_START}'""",
     "history_since": """
 SELECT * FROM {o_tx} WHERE insert_date >= TIMESTAMP '2023-01-01 00:00:00.000'""",
+    "newer_than_text": """
+SELECT src_id, code, amount, TRY_CAST(inserted AS TIMESTAMP) AS inserted FROM {fx_text_operations}
+WHERE TRY_CAST(inserted AS TIMESTAMP) > (
+  SELECT max(TRY_CAST(inserted AS TIMESTAMP)) FROM {fx_text_operations}
+  WHERE code = '1-URGENT' AND amount < 0 AND inserted < '1998-01-01')""",
+    "history_since_text": f"""
+SELECT src_id, code, amount, TRY_CAST(inserted AS TIMESTAMP) AS inserted FROM {{fx_text_operations}}
+WHERE TRY_CAST(inserted AS TIMESTAMP) >= TIMESTAMP '{Q.CLIENT_HISTORY_START}'""",
     "history_transactions": """
 SELECT * FROM {o_ledger} WHERE insert_date >= TIMESTAMP '2023-01-01 00:00:00.000'""",
 }

@@ -25,11 +25,14 @@ def write_report(df: DataFrame, path: str) -> bool:
 
 def write_report_by_country(df: DataFrame, path: str, column: str = C.COUNTRY,
                             countries: Sequence[str] = C.REGIONS) -> None:
-    """One report folder per listed country (``<path>/<column>=MX/...``) in a
-    single pass; countries without rows get no folder, unlisted ones are
+    """One report folder per listed country (``<path>/report_country=MX/...``)
+    in a single pass.  The files keep the country column; a listed country
+    without rows keeps its earlier report, unlisted ones (null included) are
     dropped."""
-    df.where(F.col(column).isin(*countries)).write.mode("overwrite") \
-        .option("header", True).partitionBy(column).csv(path)
+    listed = df.where(F.col(column).isin(*countries))
+    (listed.withColumn(f"report_{column}", F.col(column)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").option("header", True)
+     .partitionBy(f"report_{column}").csv(path))
 
 
 def write_full_load(df: DataFrame, path: str) -> None:

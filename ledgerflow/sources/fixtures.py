@@ -84,6 +84,33 @@ SELECT l_orderkey, l_linenumber, l_shipdate AS seq, l_shipdate AS change_ts,
        CASE l_returnflag WHEN 'A' THEN NULL WHEN 'N' THEN 'U' ELSE 'D' END AS op,
        l_quantity, l_extendedprice
 FROM {lineitem}""",
+    # Three states of every key, newest sequence not last in file order.
+    "fx_cdc_versions": """
+SELECT 1 AS batch, l_orderkey, l_linenumber, seq + INTERVAL 5 DAY AS seq, change_ts,
+       CASE WHEN op = 'D' THEN 'U' WHEN l_linenumber = 2 THEN 'D' ELSE op END AS op,
+       l_quantity + 100 AS l_quantity, l_extendedprice
+FROM {fx_cdc}
+UNION ALL
+SELECT 2 AS batch, l_orderkey, l_linenumber, seq, change_ts, op, l_quantity, l_extendedprice FROM {fx_cdc}
+UNION ALL
+SELECT 3 AS batch, l_orderkey, l_linenumber,
+       CASE WHEN l_linenumber = 3 THEN seq + INTERVAL 5 DAY ELSE seq + INTERVAL 2 DAY END AS seq, change_ts,
+       CASE WHEN l_linenumber = 1 THEN 'D' ELSE 'U' END AS op, l_quantity + 200 AS l_quantity, l_extendedprice
+FROM {fx_cdc}""",
+    # A client snapshot and an increment: shared keys with other values, keys
+    # of their own on both sides, null keys on both sides.
+    "fx_upsert_target": """
+SELECT contract_id, legal_name, tax_id, 'target' AS origin
+FROM {fx_companies} WHERE status = '0' OR country = 'MX'""",
+    "fx_upsert_source": """
+SELECT contract_id, legal_name, concat(tax_id, '-new') AS tax_id, 'source' AS origin
+FROM {fx_companies} WHERE status = '1' OR country = 'BR'""",
+    # Timestamps as text, some of it no timestamp.
+    "fx_text_operations": """
+SELECT src_id, code, amount,
+       CASE WHEN code = '5-LOW' THEN concat('bad ', src_id)
+            ELSE concat(CAST(insert_date AS string), '.000') END AS inserted
+FROM {fx_operations}""",
     "fx_clients_prev": """
 SELECT concat(country, '-', CAST(contract_id AS string)) AS client_id,
        CASE WHEN contract_id % 10 = 1 THEN concat(legal_name, ' old')

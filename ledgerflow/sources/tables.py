@@ -2,10 +2,12 @@
 
 No table format is available, and Spark cannot overwrite a path it is reading,
 so every write of a table goes to a new version directory under the table path
-(``<path>/v00000001``, ``v00000002``, ...).  A version counts once Spark's
-output committer has written its ``_SUCCESS`` marker; readers take the newest
-committed version, so a failed or half-written job never becomes visible and
-a retried job simply writes the next version.  Old versions stay readable.
+(``<path>/v00000001``, ``v00000002``, ...).  A version is written in a folder of
+its own and renamed once Spark's output committer has finished it, so a failed
+or half-written job never becomes visible.  A writer commits exactly the
+version after the one it read: if another writer was faster, the commit fails
+(``ConcurrentWrite``) instead of losing the other's rows.  The newest
+``KEEP_VERSIONS`` versions stay readable, older ones are removed.
 
 Paths go through Hadoop's FileSystem API, so the same code works on local
 disk, HDFS and object stores.
@@ -14,6 +16,7 @@ disk, HDFS and object stores.
 from __future__ import annotations
 
 import re
+import uuid
 from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,12 +26,18 @@ from ledgerflow import config as C
 from ledgerflow.operators.changes import delete_by_key, upsert
 
 _VERSION = re.compile(r"^v(\d{8})$")
+# Committed versions that stay; readers of older ones must have finished.
+KEEP_VERSIONS = 10
 
 
 class TableNotFound(FileNotFoundError):
     """No committed version exists under the table path."""
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer committed a version after the one this writer read."""
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -58,47 +67,95 @@ def latest_path(spark: SparkSession, path: str) -> Optional[str]:
     return version_path(path, versions[-1]) if versions else None
 
 
+def _load(spark: SparkSession, path: str) -> DataFrame:
+    """A snapshot with its partition columns as the text that was written
+    (types are not guessed from folder names, or ``01`` would come back as 1)."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+
+
+def latest_version(spark: SparkSession, path: str) -> int:
+    """Newest committed version, 0 for none."""
+    return max(committed_versions(spark, path), default=0)
+
+
+def read_version(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """Newest committed snapshot and its version, to be passed to
+    ``write_snapshot`` as ``base``."""
+    version = latest_version(spark, path)
+    if not version:
+        raise TableNotFound(path)
+    return _load(spark, version_path(path, version)), version
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Newest committed snapshot of the table at ``path``."""
-    newest = latest_path(spark, path)
-    if newest is None:
-        raise TableNotFound(path)
-    return spark.read.parquet(newest)
+    return read_version(spark, path)[0]
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Newest snapshot, or an empty frame of ``schema`` when none exists."""
+def read_version_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, int]:
+    """As ``read_version``; an empty frame of ``schema`` and 0 when none exists."""
     try:
-        return read_table(spark, path)
+        return read_version(spark, path)
     except TableNotFound:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema), 0
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Newest snapshot, or an empty frame of ``schema`` when none exists."""
+    return read_version_or_empty(spark, path, schema)[0]
 
 
-def write_snapshot(df: DataFrame, path: str,
-                   partition_by: Optional[Sequence[str]] = None) -> str:
-    """Write ``df`` as the next version of the table; returns its directory."""
+def write_snapshot(df: DataFrame, path: str, partition_by: Optional[Sequence[str]] = None,
+                   base: Optional[int] = None) -> str:
+    """Write ``df`` as the version after ``base`` (the newest committed one if
+    not given); returns its directory."""
     spark = df.sparkSession
-    versions = committed_versions(spark, path)
-    fs, _, jvm = _fs(spark, path)
-    nxt = (versions[-1] + 1) if versions else 1
-    # Skip directories left by failed attempts (no _SUCCESS): never reuse them.
-    while fs.exists(jvm.org.apache.hadoop.fs.Path(version_path(path, nxt))):
-        nxt += 1
-    target = version_path(path, nxt)
+    base = latest_version(spark, path) if base is None else base
+    fs, root, jvm = _fs(spark, path)
+    target = version_path(path, base + 1)
+    pending = f"{path.rstrip('/')}/_pending-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
+    writer.parquet(pending)
+    pending_path, target_path = jvm.org.apache.hadoop.fs.Path(pending), jvm.org.apache.hadoop.fs.Path(target)
+    taken = latest_version(spark, path) != base
+    if not taken and fs.exists(target_path):
+        fs.delete(target_path, True)        # an uncommitted leftover, never a table
+    if taken or not fs.rename(pending_path, target_path):
+        fs.delete(pending_path, True)
+        raise ConcurrentWrite(f"{path}: version {base + 1} was committed by another writer")
+    for old in committed_versions(spark, path)[:-KEEP_VERSIONS]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(path, old)), True)
     return target
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the session's shared checkpoint folder and
-    return a frame reading it back (lineage cut; survives executor loss)."""
-    from ledgerflow.session import ensure_checkpoint_dir
+    """Compute ``df`` once into Parquet in the session's shared folder and
+    return a frame reading it back (lineage cut; survives executor loss;
+    columns that a later step does not need are not read).  ``discard`` it
+    when the job has committed."""
+    from ledgerflow.session import shared_base
+
+    path = f"{shared_base(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a materialised frame."""
+    path = df.__dict__.get("_staged_path")
+    if path:
+        fs, p, _ = _fs(df.sparkSession, path)
+        fs.delete(p, True)
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame,
@@ -108,47 +165,56 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame,
     """Merge ``source`` into the table at ``path`` (created when missing).
 
     The merge reads its source more than once (insert rows, key set,
-    duplicate guard); ``materialise_source`` computes it once first."""
+    duplicate guard); ``materialise_source`` computes it once first.  An empty
+    source leaves an existing table as it is."""
+    target, base = read_version_or_empty(spark, path, source.schema)
     if materialise_source:
         source = materialise(source)
-    target = read_or_empty(spark, path, source.schema)
-    # With the source materialised, checking its key count is cheap: a small
-    # increment is then merged without shuffling the target.
-    merged = upsert(target, source, keys, broadcast_keys=None if materialise_source else False)
-    return write_snapshot(merged, path, partition_by)
+    if base and source.isEmpty():
+        written = version_path(path, base)
+    else:
+        written = write_snapshot(upsert(target, source, keys), path, partition_by, base)
+    if materialise_source:
+        discard(source)
+    return written
 
 
 def delete_from_table(spark: SparkSession, path: str, keys_df: DataFrame,
                       keys: Sequence[str] | str,
                       partition_by: Optional[Sequence[str]] = None) -> str:
-    return write_snapshot(delete_by_key(read_table(spark, path), keys_df, keys), path, partition_by)
+    target, base = read_version(spark, path)
+    return write_snapshot(delete_by_key(target, keys_df, keys), path, partition_by, base)
 
 
 def read_region_tables(spark: SparkSession, template: str,
                        regions: Sequence[str] = C.REGIONS, fmt: str = "parquet") -> dict[str, DataFrame]:
     """One frame per region from a path template with a ``{region}`` slot
     (filled with the lower-case region code), e.g.
-    ``s3://lake/operations/{region}/public/operative_operations``.  Feed the
+    ``/landing/{region}/operations``.  Feed the
     result to ``plans.silver`` / ``plans.jobs``, which conform and union it."""
     return {r: spark.read.format(fmt).load(template.format(region=r.lower())) for r in regions}
 
 
 def read_landing_csv(spark: SparkSession, path: str,
                      schema: Optional[T.StructType] = None) -> DataFrame:
-    """CSV landing files with a header row.  Pass ``schema`` in production:
-    inference reads the data twice.  Empty strings read back as null."""
+    """CSV landing files with a header row.  Every column is text unless a
+    ``schema`` is given (guessed types would turn account ``0100`` into 100).
+    Empty strings read back as null."""
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+    if schema is not None:
+        reader = reader.schema(schema)
     return reader.csv(path)
 
 
-def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> Optional[DataFrame]:
+def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet",
+                   schema: Optional[T.StructType] = None) -> Optional[DataFrame]:
     """Frame at ``path``, or ``None`` when the path does not exist.  Only a
     missing path means "no data"; every other read error propagates."""
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.format(fmt).load(path)
+        reader = spark.read.format(fmt)
+        return (reader.schema(schema) if schema is not None else reader).load(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             return None

@@ -6,12 +6,16 @@ bookmark").  ``trigger(availableNow=True)`` processes everything available
 in bounded micro-batches and stops, which makes the job schedulable like a
 batch job; ``max_files_per_trigger`` bounds each micro-batch of a large
 backlog.  Each micro-batch is merged into the bronze table in
-``foreachBatch``; merging the same batch twice yields the same snapshot, so
-the at-least-once replay after a failure is harmless.
+``foreachBatch``.  The bronze table keeps each row's sequence and, as
+tombstones, deletes; a change replaces a row only if it is newer
+(``changes.merge_newest``).  So the stored state depends on the changes alone:
+not on how they were cut into batches, on the order of files, or on a batch
+being replayed after a failure.  ``read_bronze`` gives the live rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import posixpath
 from typing import Optional, Sequence
 
@@ -20,52 +24,69 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerflow import config as C
-from ledgerflow.operators.changes import merge_changes, prepare_changes
-from ledgerflow.session import ensure_checkpoint_dir
-from ledgerflow.sources.tables import materialise, read_or_empty, write_snapshot
+from ledgerflow.operators.changes import live_rows, merge_newest, prepare_changes
+from ledgerflow.session import durable_base
+from ledgerflow.sources.tables import (discard, materialise, read_if_exists, read_table,
+                                       read_version_or_empty, write_snapshot)
+
+
+def read_bronze(spark: SparkSession, path: str, spec: C.ChangeFeedSpec, deletes: str = "apply") -> DataFrame:
+    """Live rows of a bronze table: no sequence and, if deletes apply, no
+    tombstones."""
+    return live_rows(read_table(spark, path), spec, deletes)
+
+
+def default_checkpoint(spark: SparkSession, source_path: str, target_path: str) -> str:
+    """The bookmark of one feed into one table, below the configured
+    ``spark.checkpoint.dir``: the same in every application, and its own for
+    every pair of full paths."""
+    name = posixpath.basename(target_path.rstrip("/")) or "table"
+    pair = f"{source_path.rstrip('/')}|{target_path.rstrip('/')}"
+    return f"{durable_base(spark)}/bookmarks/{name}-{hashlib.sha256(pair.encode()).hexdigest()[:16]}"
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, target_path: str,
-                spec: C.ChangeFeedSpec, deletes: str = "apply",
-                pseudonymise_columns: Sequence[str] = (), secret: Optional[str] = None,
+                spec: C.ChangeFeedSpec, pseudonymise_columns: Sequence[str] = (),
+                secret: Optional[str] = None,
                 partition_by: Optional[Sequence[str]] = None) -> Optional[str]:
     """Merge one batch of raw changes into the bronze table; returns the new
     snapshot directory (``None`` for an empty batch)."""
     if batch.isEmpty():
         return None
-    # The de-duplicated batch is read twice by the merge (key set, inserted
-    # rows): compute it once into the shared checkpoint folder.  A bounded
-    # batch then merges into a large table without shuffling the table.
-    latest = materialise(prepare_changes(batch, spec, pseudonymise_columns, secret))
-    target = read_or_empty(spark, target_path, latest.schema)
-    merged = merge_changes(target, latest, spec.keys, spec.op, deletes, broadcast_keys=None)
-    return write_snapshot(merged, target_path, partition_by)
+    # The de-duplicated batch is read twice by the merge (key set, compared
+    # rows): compute it once into the shared folder.
+    latest = materialise(prepare_changes(batch, spec, pseudonymise_columns, secret, drop_sequence=False))
+    target, base = read_version_or_empty(spark, target_path, latest.schema)
+    written = write_snapshot(merge_newest(target, latest, spec), target_path, partition_by, base)
+    discard(latest)
+    return written
 
 
 def ingest_available_now(spark: SparkSession, source_path: str, schema: T.StructType,
                          target_path: str, spec: C.ChangeFeedSpec,
-                         checkpoint: Optional[str] = None, deletes: str = "apply",
+                         checkpoint: Optional[str] = None,
                          pseudonymise_columns: Sequence[str] = (),
                          secret: Optional[str] = None,
                          partition_by: Optional[Sequence[str]] = None,
-                         max_files_per_trigger: Optional[int] = None) -> StreamingQuery:
+                         max_files_per_trigger: Optional[int] = None) -> Optional[StreamingQuery]:
     """Merge every change file not seen before into the bronze table, then stop.
+    A source path that does not exist is no data (``None``).
 
-    ``checkpoint`` defaults to a folder under the session's shared
-    ``spark.checkpoint.dir``, named after the target table.
+    ``checkpoint`` defaults to ``default_checkpoint``.
     """
     if not spec.keys:
         raise ValueError("a change feed without a primary key cannot be merged")
+    if read_if_exists(spark, source_path, schema=schema) is None:
+        return None
     if checkpoint is None:
-        name = posixpath.basename(target_path.rstrip("/")) or "table"
-        checkpoint = posixpath.join(ensure_checkpoint_dir(spark), "ingest", name)
+        checkpoint = default_checkpoint(spark, source_path, target_path)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_path)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        merge_batch(batch.sparkSession, batch, target_path, spec, deletes,
+        merge_batch(batch.sparkSession, batch, target_path, spec,
                     pseudonymise_columns, secret, partition_by)
 
     query = (stream.writeStream.foreachBatch(on_batch)

@@ -98,7 +98,7 @@ def test_size_shuffle_partitions(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         assert size_shuffle_partitions(spark, 100 * 2**40) == 409600  # 100 TB / 256 MB
-        assert size_shuffle_partitions(spark, 1) == spark.sparkContext.defaultParallelism
+        assert size_shuffle_partitions(spark, 1) == 409600  # never lowered
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

@@ -117,7 +117,7 @@ def test_upsert_and_delete_with_broadcast_keys(spark):
         assert rows(out, "id", "v") == sorted([(1, "a"), (2, "B"), (3, "C"), (None, "n")], key=repr)
         gone = changes.delete_by_key(target, source, ["id"], broadcast_keys=mode)
         assert rows(gone, "id", "v") == sorted([(1, "a"), (None, "n")], key=repr)
-    plan = changes.upsert(target, source, ["id"], broadcast_keys=None)._jdf.queryExecution() \
+    plan = changes.upsert(target, source, ["id"], broadcast_keys=True)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
 

@@ -1,6 +1,9 @@
 """Plan-shape checks: the operators keep the shapes their docstrings promise."""
 
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerflow.plans import catalog as Q
 from tests.conftest import SF_SMALL
@@ -41,7 +44,10 @@ def test_reprocess_is_semi_join(spark):
 
 
 def test_latest_by_key_preaggregates(spark):
-    text = plan(Q.latest_by_key(spark, SF_SMALL))
+    from ledgerflow.operators import changes
+    from ledgerflow.sources.fixtures import FX_CDC, Fixtures
+    feed = Fixtures.of(spark, SF_SMALL).cdc
+    text = plan(changes.latest_by_key(feed, FX_CDC.keys, FX_CDC.sequence, strategy="preaggregate"))
     assert "partial_max" in text and "LeftSemi" in text
     text = plan(Q.latest_by_key_one(spark, SF_SMALL))
     assert "WindowGroupLimit" in text
@@ -70,18 +76,45 @@ def test_columns_are_pruned_at_the_scan(spark):
 def test_bounded_broadcast_falls_back_when_too_large(spark):
     from ledgerflow.operators.joins import bounded_broadcast
     big = spark.range(100).withColumnRenamed("id", "k")
-    small = bounded_broadcast(spark.range(5).withColumnRenamed("id", "k"), max_rows=10)
+    small = bounded_broadcast(spark.range(5).withColumnRenamed("id", "k"), max_bytes=100)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         hinted = plan(big.join(small, "k"))
         assert "BroadcastHashJoin" in hinted
         unhinted = plan(big.join(bounded_broadcast(spark.range(50).withColumnRenamed("id", "k"),
-                                                   max_rows=10), "k"))
+                                                   max_bytes=100), "k"))
         assert "BroadcastHashJoin" not in unhinted
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_broadcast_check_runs_no_job_and_remembers_nothing(spark, scratch):
+    """A sheet rewritten under the same name is judged by its new size."""
+    from ledgerflow.operators.joins import bounded_broadcast
+    path, big = os.path.join(scratch, "sheet.csv"), spark.range(100).select(F.col("id").cast("string").alias("k"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for rows, hinted in ((1, True), (1000, False)):
+            with open(path, "w") as file:
+                file.write("\n".join(str(i) for i in range(rows)))
+            sheet = spark.read.schema("k string").csv(path)
+            spark.sparkContext.setJobGroup(f"check-{rows}", "")
+            side = bounded_broadcast(sheet, max_bytes=200)
+            assert not list(tracker.getJobIdsForGroup(f"check-{rows}"))
+            assert ("BroadcastHashJoin" in plan(big.join(side, "k"))) is hinted
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_latest_by_key_is_one_scan_and_one_exchange(spark):
+    text = plan(Q.latest_by_key(spark, SF_SMALL))
+    assert count_scans(text, "lineitem") == 1
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "WindowGroupLimit" in text and "Partial" in text
+
+
 @pytest.mark.parametrize("name", ["sign_split", "mirror_entries", "classify_posting", "post_ledger",
                                   "unmapped_entries"])
 def test_single_scan_per_table(spark, name):

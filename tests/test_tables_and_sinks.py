@@ -20,15 +20,15 @@ def test_snapshot_versions_and_upsert(spark, scratch):
     assert sorted(r.id for r in TB.read_table(spark, path).collect()) == [2, 3]
 
 
-def test_uncommitted_version_is_invisible_and_skipped(spark, scratch):
+def test_uncommitted_version_is_invisible_and_replaced(spark, scratch):
     path = os.path.join(scratch, "t")
     df = spark.createDataFrame([(1,)], "id int")
     TB.write_snapshot(df, path)
     os.makedirs(os.path.join(path, "v00000002"))  # a crashed writer's leftovers
     assert TB.committed_versions(spark, path) == [1]
     written = TB.write_snapshot(df, path)
-    assert written.endswith("v00000003")
-    assert TB.committed_versions(spark, path) == [1, 3]
+    assert written.endswith("v00000002")
+    assert TB.committed_versions(spark, path) == [1, 2]
 
 
 def test_read_or_empty_and_read_if_exists(spark, scratch):
@@ -47,8 +47,8 @@ def test_reports(spark, scratch):
     back = spark.read.option("header", True).csv(os.path.join(scratch, "r1"))
     assert back.count() == 3
     write_report_by_country(df, os.path.join(scratch, "r2"))
-    assert sorted(d for d in os.listdir(os.path.join(scratch, "r2")) if d.startswith("country=")) == [
-        "country=BR", "country=MX"]
+    assert sorted(d for d in os.listdir(os.path.join(scratch, "r2")) if d.startswith("report_country=")) == [
+        "report_country=BR", "report_country=MX"]
 
 
 def test_full_load_is_partitioned_by_load_date(spark, scratch):
