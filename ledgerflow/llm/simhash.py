@@ -4,17 +4,18 @@
    XXH64).  Equal fingerprints are one node from here on, so exact copies,
    however many, cost one row.
 2. A vantage-point tree over a bounded sample of fingerprints (``TREE_SAMPLE``)
-   cuts Hamming space into shards: at a node with vantage point v and radius
-   r a fingerprint belongs inside if d(x, v) <= r, else outside.  *Every*
-   fingerprint is routed: it lives in one shard, and as a query visits each
-   shard whose region can hold a fingerprint within ``max_bits`` of it
-   (triangle bounds d - max_bits <= r and d + max_bits > r).  The sample only
-   decides how even the shards are, never which pairs are found.
-3. A shard's task builds the lower part of the tree over its fingerprints,
-   sends the queries down under the same bounds, and compares exactly at the
+   cuts Hamming space into shards.  At a node with vantage point v and radius
+   r a fingerprint x with d(x, v) <= r goes inside, others outside; one that is
+   inside but within ``max_bits`` of the boundary (d > r - max_bits) visits the
+   outside as well.  By the triangle inequality a pair within ``max_bits`` that
+   a node parts meets again outside, so every pair shares a shard, and a
+   boundary costs copies on one side of it only.  *Every* fingerprint is
+   routed; the sample only decides how even the shards are, never which pairs
+   are found.
+3. A shard's task goes on cutting by the same rule and compares exactly at the
    leaves.  It sends on a spanning forest of what it found, not the pairs.
-   Shards larger than a block are cut into (points block, queries block)
-   tasks, all of which run, so a dense neighbourhood is spread and whole.
+   A shard far larger than aimed at (a dense neighbourhood that no vantage
+   point cuts) is cut into blocks, and every two blocks are a task.
 4. ``components`` joins the forests; the class of a document is the smallest
    doc_id of its component.
 
@@ -41,12 +42,11 @@ from .components import components, forest
 #: Fingerprints from which the upper tree is fitted (a bound on what the
 #: driver gets; all fingerprints are routed through the tree).
 TREE_SAMPLE = 16_384
-#: Fingerprints aimed at in one shard; a task never gets more than this many
-#: points and ``QUERY_BLOCK`` queries.
-SHARD_POINTS = 8_192
-QUERY_BLOCK = 131_072
+#: Fingerprints aimed at in one shard, visitors included; a task never gets
+#: more than four times as many.
+SHARD_POINTS = 32_768
 #: Points below which the lower tree compares directly.
-BUCKET = 64
+BUCKET = 512
 SEED = 42
 
 
@@ -94,130 +94,111 @@ def _distance(x: np.ndarray, v) -> np.ndarray:
     return np.bitwise_count(x ^ np.uint64(v))
 
 
-def _vantage(points: np.ndarray) -> tuple[int, int] | None:
-    """The vantage point and radius, among a few spread-out points, that cut
-    ``points`` most evenly for the widest spread; None if nothing cuts."""
+def _vantage(points: np.ndarray, reach: int) -> tuple[int, int] | None:
+    """The vantage point and radius, among a few spread-out points, whose
+    larger side (visitors included) is smallest; None if none cuts."""
     best = None
     for v in points[np.linspace(0, len(points) - 1, min(len(points), 8)).astype(int)]:
-        d = _distance(points[:4096], v).astype(np.int64)
-        r = int(np.median(d))
-        inside = float((d <= r).mean())
-        if inside == 1.0:
-            r -= 1
-            inside = float((d <= r).mean())
-        if not 0.0 < inside < 1.0:
-            continue
-        score = min(inside, 1 - inside) * (1 + d.std())
-        if best is None or score > best[0]:
-            best = (score, int(v), r)
+        below = np.cumsum(np.bincount(_distance(points[:4096], v), minlength=65))
+        outside = below[-1] - np.concatenate((np.zeros(reach, dtype=np.int64), below))[:65]
+        larger = np.maximum(below, outside)
+        r = int(larger.argmin())
+        share = larger[r] / below[-1]
+        if share < 0.95 and (best is None or share < best[0]):
+            best = (share, int(v), r)
     return best and best[1:]
 
 
-def build_tree(sample: np.ndarray, shards: int) -> list[tuple[int, int, int, int]]:
+def _sides(x: np.ndarray, v: int, r: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    d = _distance(x, v).astype(np.int64)
+    return d <= r, d > r - reach
+
+
+def build_tree(sample: np.ndarray, shard_sample: float, reach: int) -> list[tuple[int, int, int, int]]:
     """Flat tree: node i is (vantage point, radius, inside, outside); a child
     >= 0 is a node, a child < 0 is shard -child - 1.  An empty list: one shard.
-    The node with the most sample points is cut next, until there are
-    ``shards`` shards or nothing is left to cut."""
+    Parts with more than ``shard_sample`` sample points are cut if they can be."""
     nodes: list[list[int]] = []
-    leaves = [(sample, None)]
-    done = []
-    while leaves and len(leaves) + len(done) < shards:
-        leaves.sort(key=lambda x: len(x[0]))
-        points, at = leaves.pop()
-        cut = _vantage(points) if len(points) >= 4 else None
+    shards, pending = 0, [(sample, None)]
+    while pending:
+        points, at = pending.pop()
+        cut = _vantage(points, reach) if len(points) > max(shard_sample, 4) else None
         if cut is None:
-            done.append((points, at))
+            if at is not None:
+                nodes[at[0]][at[1]] = -shards - 1
+            shards += 1
             continue
-        inside = _distance(points, cut[0]) <= cut[1]
         if at is not None:
             nodes[at[0]][at[1]] = len(nodes)
         nodes.append([cut[0], cut[1], 0, 0])
-        leaves += [(points[inside], (len(nodes) - 1, 2)), (points[~inside], (len(nodes) - 1, 3))]
-    for shard, (_, at) in enumerate(leaves + done):
-        if at is not None:
-            nodes[at[0]][at[1]] = -shard - 1
+        inside, outside = _sides(points, *cut, reach)
+        pending += [(points[inside], (len(nodes) - 1, 2)), (points[outside], (len(nodes) - 1, 3))]
     return [tuple(n) for n in nodes]
 
 
-def route(x: np.ndarray, tree: list[tuple[int, int, int, int]], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, shard, home) of every visit: each row's own shard (home) and the
-    shards whose region its ball of radius ``reach`` touches."""
-    rows, shards, homes = [], [], []
-    pending = [(0 if tree else -1, np.arange(len(x)), np.ones(len(x), dtype=bool))]
+def route(x: np.ndarray, tree: list[tuple[int, int, int, int]], reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, shard) of every visit."""
+    rows, shards = [], []
+    pending = [(0 if tree else -1, np.arange(len(x)))]
     while pending:
-        node, at, home = pending.pop()
-        if not len(at):
-            continue
+        node, at = pending.pop()
         if node < 0:
             rows.append(at)
             shards.append(np.full(len(at), -node - 1, dtype=np.int32))
-            homes.append(home)
-            continue
-        v, r, inside, outside = tree[node]
-        d = _distance(x[at], v).astype(np.int64)
-        own = d <= r
-        near, far = d - reach <= r, d + reach > r
-        pending += [(inside, at[near], (home & own)[near]), (outside, at[far], (home & ~own)[far])]
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
-    return np.concatenate(rows), np.concatenate(shards), np.concatenate(homes)
+        elif len(at):
+            v, r, inside, outside = tree[node]
+            near, far = _sides(x[at], v, r, reach)
+            pending += [(inside, at[near]), (outside, at[far])]
+    return np.concatenate(rows), np.concatenate(shards)
 
 
 # -- within a shard -----------------------------------------------------------
 
-def _links_in_block(q: np.ndarray, p: np.ndarray, qi: np.ndarray, pi: np.ndarray, reach: int):
-    """Links of a block of queries and points, at most a few for each row: if
-    the block is dense, a spanning forest of its links."""
-    for at in range(0, len(q), max(1, 1_000_000 // max(1, len(p)))):
-        step = slice(at, at + max(1, 1_000_000 // max(1, len(p))))
-        hit = np.bitwise_count(q[step, None] ^ p[None, :]) <= reach
+def _links_in_leaf(x: np.ndarray, ids: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links among ``x`` (named by ``ids``); where they are dense, a spanning
+    forest of a block's links."""
+    rows = max(1, 1_000_000 // len(x))
+    for at in range(0, len(x), rows):
+        hit = np.bitwise_count(x[at:at + rows, None] ^ x[None, at:]) <= reach
         a, b = np.nonzero(hit)
-        if not len(a):
-            continue
-        nodes_q, nodes_p = qi[step][a], pi[b]
-        if len(a) > 4 * (hit.shape[0] + hit.shape[1]):
-            ids, local = np.unique(np.concatenate((nodes_q, nodes_p)), return_inverse=True)
-            label = forest(local[:len(a)], local[len(a):], len(ids))
-            other = label != np.arange(len(ids))
-            yield ids[other], ids[label[other]]
-        else:
-            other = nodes_q != nodes_p
-            yield nodes_q[other], nodes_p[other]
-
-
-def search_shard(points: np.ndarray, queries: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest (node, root fingerprints) of all links at ``reach``
-    or fewer bits between ``queries`` and ``points`` (both distinct)."""
-    ids = np.unique(np.concatenate((points, queries)))
-    pi, qi = np.searchsorted(ids, points), np.searchsorted(ids, queries)
+        a, b = a + at, b + at
+        a, b = a[a < b], b[a < b]
+        if len(a) > 4 * sum(hit.shape):
+            label = forest(a, b, len(x))
+            a = np.nonzero(label != np.arange(len(x)))[0]
+            b = label[a]
+        if len(a):
+            yield ids[a], ids[b]
+
+
+def search_shard(points: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest (node, root) of all links at ``reach`` or fewer bits
+    among distinct fingerprints."""
     found_a, found_b, held = [], [], 0
-    pending = [(np.arange(len(points)), np.arange(len(queries)))]
+    pending = [np.arange(len(points))]
     while pending:
-        p, q = pending.pop()
-        if not len(p) or not len(q):
-            continue
-        cut = _vantage(points[p]) if len(p) > BUCKET else None
+        at = pending.pop()
+        cut = _vantage(points[at], reach) if len(at) > BUCKET else None
         if cut is not None:
-            dp = _distance(points[p], cut[0]).astype(np.int64)
-            dq = _distance(queries[q], cut[0]).astype(np.int64)
-            into, out = dp <= cut[1], dp > cut[1]
-            near, far = dq - reach <= cut[1], dq + reach > cut[1]
-            if near.mean() + far.mean() < 1.9 or len(p) > 4096:
-                pending += [(p[into], q[near]), (p[out], q[far])]
+            inside, outside = _sides(points[at], *cut, reach)
+            if max(inside.sum(), outside.sum()) < len(at):
+                pending += [at[inside], at[outside]]
                 continue
-        for a, b in _links_in_block(queries[q], points[p], qi[q], pi[p], reach):
+        if len(at) < 2:
+            continue
+        for a, b in _links_in_leaf(points[at], at, reach):
             found_a.append(a)
             found_b.append(b)
             held += len(a)
             if held > 1_000_000:  # what is held stays as small as the shard
-                label = forest(np.concatenate(found_a), np.concatenate(found_b), len(ids))
-                other = np.nonzero(label != np.arange(len(ids)))[0]
+                label = forest(np.concatenate(found_a), np.concatenate(found_b), len(points))
+                other = np.nonzero(label != np.arange(len(points)))[0]
                 found_a, found_b, held = [other], [label[other]], len(other)
     if not found_a:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    label = forest(np.concatenate(found_a), np.concatenate(found_b), len(ids))
-    other = np.nonzero(label != np.arange(len(ids)))[0]
-    return ids[other], ids[label[other]]
+    label = forest(np.concatenate(found_a), np.concatenate(found_b), len(points))
+    other = np.nonzero(label != np.arange(len(points)))[0]
+    return points[other], points[label[other]]
 
 
 def fingerprint_components(fps: DataFrame, max_bits: int = 3, shard_points: int = SHARD_POINTS) -> DataFrame:
@@ -225,37 +206,29 @@ def fingerprint_components(fps: DataFrame, max_bits: int = 3, shard_points: int
     every fingerprint that is linked to a smaller one."""
     n = fps.count()
     sample = [r[0] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()]
-    tree = build_tree(np.array(sample, dtype=np.int64).view(np.uint64), -(-n // shard_points) or 1)
+    tree = build_tree(np.array(sample, dtype=np.int64).view(np.uint64), shard_points * len(sample) / max(1, n), max_bits)
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = batch["fp"].to_numpy(dtype=np.int64)
-            row, shard, home = route(x.view(np.uint64), tree, max_bits)
+            row, shard = route(x.view(np.uint64), tree, max_bits)
             for at in range(0, len(row), 100_000):
                 step = slice(at, at + 100_000)
-                yield pd.DataFrame({"shard": shard[step], "fp": x[row[step]], "home": home[step]})
-
-    routed = stage(fps.select("fp").mapInPandas(visits, "shard int, fp long, home boolean"), "vp-visits")
-    sizes = routed.groupBy("shard").agg(
-        F.ceil(F.sum(F.col("home").cast("long")) / shard_points / 2).cast("int").alias("np"),
-        F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("nq")).where("np > 0")
-    h = F.xxhash64("fp", F.lit(7))
-    sized = routed.join(sizes, "shard")
-    points = sized.where("home").select(
-        "shard", F.pmod(h, "np").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("j"),
-        "fp", F.lit(True).alias("point"))
-    queries = sized.select(
-        "shard", F.explode(F.sequence(F.lit(0), F.col("np") - 1)).alias("i"), F.pmod(h, "nq").cast("int").alias("j"),
-        "fp", F.lit(False).alias("point"))
+                yield pd.DataFrame({"shard": shard[step], "fp": x[row[step]]})
+
+    routed = stage(fps.select("fp").mapInPandas(visits, "shard int, fp long"), "vp-visits")
+    blocks = routed.groupBy("shard").agg(F.ceil(F.count("*") / (2 * shard_points)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("fp", F.lit(7)), "blocks").cast("int")
+    tasks = (routed.join(blocks, "shard").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .where("blocks = 1 or own != other")
+             .select("shard", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp"))
 
     def search(block: pd.DataFrame) -> pd.DataFrame:
-        own = block["point"].to_numpy()
-        x = block["fp"].to_numpy(dtype=np.int64).view(np.uint64)
-        a, b = search_shard(x[own], x[~own], max_bits)
+        a, b = search_shard(block["fp"].to_numpy(dtype=np.int64).view(np.uint64), max_bits)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    links = points.unionByName(queries).groupBy("shard", "i", "j").applyInPandas(search, "a long, b long")
-    return components(links)
+    return components(tasks.groupBy("shard", "i", "j").applyInPandas(search, "a long, b long"))
 
 
 # -- documents ----------------------------------------------------------------
