@@ -96,6 +96,38 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_extraction, op2_packing, op3_substring_dedup, op4_sentencepiece, op5_hnsw, op6_simhash, op7_warc, op8_spherical_caps,
                                    op9_token_files, op10_toxicity)}
+_USABLE = """vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0"""
+
 #: SQL where it can state the operator's result.  Tokenizer ids, XXH64 majority
 #: bits and trained models are beyond it; tests hold those against brute force.
-ORACLE_SQL: dict[str, str] = {}
+#: (op5 states the exact neighbours.)
+ORACLE_SQL: dict[str, str] = {
+    "op5_hnsw": f"""
+WITH v AS (SELECT {_USABLE} AND vec_id IS NOT NULL),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_cosine_similarity(q.x, c.x) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op7_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS h, min(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to, TRUE AS digests_match
+FROM d""",
+    "op8_spherical_caps": f"""
+WITH RECURSIVE v AS (SELECT {_USABLE} AND label IS NOT NULL),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+          WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a),
+c AS (SELECT a, least(a, min(b)) AS component_id FROM reach GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, coalesce(c.component_id, e.vec_id) AS component_id,
+       e.vec_id = coalesce(c.component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.a = e.vec_id""",
+}
