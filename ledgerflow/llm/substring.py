@@ -140,15 +140,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
               .where("n > 1 and first is not null").select(F.col("h").alias("rh"), "first"))
     repeats = (places.join(firsts, F.col("h") == F.col("rh"))
                .where(F.col("id").isNull() | (F.col("id") != F.col("first"))).select("id", "place"))
-    removed = (repeats.groupBy(F.col("id").alias("rid"), F.shiftright("place", 32).alias("rmark"))
-               .agg(F.collect_set(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias("at")))
+    names = docs.columns
+    rid, rmark, at, own = (fresh(n, names) for n in ("removed_id", "removed_mark", "removed_at", "own_mark"))
+    removed = (repeats.groupBy(F.col("id").alias(rid), F.shiftright("place", 32).alias(rmark))
+               .agg(F.collect_set(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias(at)))
 
     @F.pandas_udf(StringType())
     def remainder(texts: pd.Series, at: pd.Series) -> pd.Series:
         return pd.Series([_remainder(t, None if a is None else list(a), run, min_words) for t, a in zip(texts, at)], dtype=object)
 
-    names = docs.columns
-    own = fresh("mark", names)
     marked = docs.withColumn(own, mark)
-    joined = marked.join(removed, marked[id_col].eqNullSafe(F.col("rid")) & (marked[own] == F.col("rmark")), "left")
-    return joined.select(*[remainder(marked[c], F.col("at")).alias(c) if c == text_col else marked[c] for c in names])
+    joined = marked.join(removed, F.col(id_col).eqNullSafe(F.col(rid)) & (F.col(own) == F.col(rmark)), "left")
+    return joined.select(*[remainder(F.col(c), F.col(at)).alias(c) if c == text_col else F.col(c) for c in names])
