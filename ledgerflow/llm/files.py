@@ -33,12 +33,12 @@ def new_file(folder: str, prefix: str, suffix: str) -> str:
 
 def open_output(path: str):
     store, inner = locate(path)
-    return store.open_output_stream(inner)
+    return store.open_output_stream(inner, compression=None)    # never by the file's ending
 
 
 def open_input(path: str, seek: bool = False):
     store, inner = locate(path)
-    return store.open_input_file(inner) if seek else store.open_input_stream(inner)
+    return store.open_input_file(inner) if seek else store.open_input_stream(inner, compression=None)
 
 
 def one_task_each(manifest: DataFrame) -> DataFrame:

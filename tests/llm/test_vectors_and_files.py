@@ -222,7 +222,11 @@ def test_files_hold_all_documents_in_order(spark):
 
     rows = [(i, "word " * (i % 7) + f"Text {i}, end.") for i in range(60, 0, -1)] + [(61, None), (62, ""), (63, "same"), (63, "same")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit("clash")).withColumn("start", F.lit(0)).repartition(3)
-    files = idpack.write_ids(docs, tokenizer_path(), file_ids=100)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "9")
+    try:
+        files = idpack.write_ids(docs, tokenizer_path(), file_ids=100)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     got = sorted(idpack.read_ids(spark, files).collect(), key=lambda r: r.start)
     library, at = Tokenizer.from_file(tokenizer_path()), 0
     assert files.count() > 1
