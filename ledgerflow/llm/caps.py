@@ -70,7 +70,8 @@ def _code(dim: int, code: int, rotation_no: int) -> tuple[np.ndarray, list[np.nd
         sums = np.zeros(1)
         for block, c in zip(blocks, codes):
             sums = (sums[:, None] + c @ probe[block]).ravel()
-        best.append(np.sort(sums)[-20 * FILTERS:])
+        top = min(len(sums), 20 * FILTERS)
+        best.append(np.partition(sums, len(sums) - top)[len(sums) - top:])
     every = np.sort(np.concatenate(best))
     return rotation, codes, blocks, float(every[-min(len(every), FILTERS * len(probes))])
 
