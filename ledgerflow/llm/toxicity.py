@@ -37,7 +37,7 @@ EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
 _TRIM = ".,;:!?\"'()[]{}<>|*#%$&-_/\\"
 _GAPS = (1, 2, 3)
-_STEP_BYTES = 8_000_000
+_STEP_BYTES = 2_000_000
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +82,8 @@ def fit(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, fl
     seen = np.zeros(BUCKETS + 1, dtype=np.int64)
     for x in rows:
         seen[x] += 1
-    rows = [np.append(x[seen[x] > 1], BUCKETS) for x in rows]
+    for i, x in enumerate(rows):            # in place: one copy of the features is held
+        rows[i] = np.append(x[seen[x] > 1], np.int32(BUCKETS))
     z, n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     l1 = np.full(BUCKETS + 1, L1)
     l1[BUCKETS] = 0.0                      # the bias is not penalised
