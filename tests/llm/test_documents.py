@@ -314,5 +314,41 @@ def test_pipeline_stages_keep_the_columns_and_do_their_work(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash_near_dedup", "substring_dedup", "packing"]
 
 
+def slow_score(text, model):
+    """The score of one text, feature by feature."""
+    weights = dict(zip(model.buckets.tolist(), model.weights.tolist()))
+    codes = []
+    for word in re.split(r"[ \t\n\r\x0b\x0c]+", (text or "").lower()):
+        word = word.strip(toxicity._TRIM)
+        if word and xxhash.xxh64_intdigest(word):
+            codes.append(xxhash.xxh64_intdigest(word))
+    found = {c % toxicity.BUCKETS for c in codes}
+    for gap in (1, 2, 3):
+        for a, b in zip(codes, codes[gap:]):
+            found.add(((a * 0x9E3779B97F4A7C15 + b * (2 * gap + 1)) % 2 ** 64 >> 17) % toxicity.BUCKETS)
+    return 1 / (1 + np.exp(-np.clip(model.bias + sum(weights.get(f, 0.0) for f in found), -30, 30)))
+
+
+def test_pipeline_equals_brute_force(spark):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    model = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = [(i, t) for i, t in rows if slow_score(t, model) < 0.5]
+    prints = np.array([slow_fingerprint(t) for _, t in rows], dtype=np.uint64)
+    a, b = np.nonzero(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 3)
+    label = forest(a, b, len(rows))
+    smallest = {g: min(i for (i, _), h in zip(rows, label) if h == g) for g in set(label.tolist())}
+    rows = [(i, t) for (i, t), g in zip(rows, label) if smallest[g] == i]
+    library = Tokenizer.from_file(tokenizer_path())
+    want = {i: library.encode(t, add_special_tokens=False).ids + [2] for i, t in brute_repeats(rows)}
+    got = collections.defaultdict(list)
+    for p in corpus_pipeline.run(spark, SF).collect():
+        got[p.doc_id].append((p.start, p.ids))
+    assert {i: [x for _, ids in sorted(parts) for x in ids] for i, parts in got.items()} == want
+
+
 def test_one_query_for_each_operator():
     assert [int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES] == list(range(1, 11))
