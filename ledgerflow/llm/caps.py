@@ -13,8 +13,8 @@ cosine 0.98, one code misses 9 % of them, two 0.7 %, four fewer than 1 in
 
 Nodes join on (label, filter); filters that only one node passes are dropped
 before any vector is moved, and candidates are verified by their cosine in
-double precision.  A pair that meets in several filters is counted in the
-smallest one it shares, so counts add up without listing pairs.  A task sends
+double precision.  A pair that meets in several filters is verified and counted in
+the smallest one it shares, so counts add up without listing pairs.  A task sends
 on, for each node, its count and its root in a spanning forest.  A bucket
 larger than ``BUCKET`` nodes is cut into (block, block) tasks, all of which
 run; small buckets share tasks of about ``TASK_ROWS`` rows.
@@ -45,6 +45,8 @@ ROTATIONS = 4
 FILTERS = 18
 BUCKET = 2048
 TASK_ROWS = 30_000
+#: Buckets up to this size are compared pair by pair, larger ones by blocks.
+SMALL = 24
 SEED = 8
 
 
@@ -119,33 +121,58 @@ def _with_filters(nodes: DataFrame, code: int) -> DataFrame:
     return nodes.mapInArrow(decode, f"{fields}, dim int, filters array<int>")
 
 
-def _pairs(bucket: np.ndarray, own: np.ndarray, same: np.ndarray, x: np.ndarray, u: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Verified pairs of rows within each bucket (rows are sorted by bucket);
-    where ``same`` is False only pairs of different blocks."""
+def _shared_before(lists: np.ndarray, here: int) -> np.ndarray:
+    """Whether each two rows of one bucket share a filter smaller than
+    ``here``: products of membership matrices, a few thousand filters at a time."""
+    known, counts = np.unique(lists[(lists >= 0) & (lists < here)], return_counts=True)
+    known = known[counts > 1]
+    shared = np.zeros((len(lists), len(lists)), dtype=bool)
+    for at in range(0, len(known), 4096):
+        part = known[at:at + 4096]
+        place = np.minimum(np.searchsorted(part, lists), len(part) - 1)
+        row, column = np.nonzero(part[place] == lists)
+        member = np.zeros((len(lists), len(part)), dtype=np.float32)
+        member[row, place[row, column]] = 1.0
+        shared |= member @ member.T > 0
+    return shared
+
+
+def _pairs(bucket: np.ndarray, own: np.ndarray, same: np.ndarray, x: np.ndarray, u: np.ndarray, filters: np.ndarray,
+           here: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows that link and that their bucket owns (no smaller filter
+    holds both), so every link is found in one bucket only and verified once.
+    Rows are sorted by bucket; where ``same`` is False only pairs of different
+    blocks are looked at."""
     starts = np.nonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))[0]
     ends = np.append(starts[1:], len(bucket))
 
-    def verified(a: np.ndarray, b: np.ndarray):
-        good = same[a] | (own[a] != own[b])
-        a, b = a[good], b[good]
+    def verified(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for k in range(0, len(a), 50_000):
-            s = slice(k, k + 50_000)
-            near = np.einsum("nd,nd->n", u[a[s]], u[b[s]]) >= threshold - 1e-6
-            pa_, pb = a[s][near], b[s][near]
-            exact = cosine(x[pa_], x[pb]) >= threshold
-            yield pa_[exact], pb[exact]
+            p, q = a[k:k + 50_000], b[k:k + 50_000]
+            exact = cosine(x[p], x[q]) >= threshold
+            yield p[exact], q[exact]
 
     stop = np.repeat(ends, ends - starts)
     size = np.repeat(ends - starts, ends - starts)
     place = np.arange(len(bucket))
-    for step in range(1, min(64, int((ends - starts).max())) if len(bucket) else 1):
-        a = place[(size <= 64) & (place + step < stop)]
-        yield from verified(a, a + step)
-    for start, end in zip(starts[ends - starts > 64], ends[ends - starts > 64]):
+    for step in range(1, min(SMALL, int((ends - starts).max())) if len(bucket) else 1):
+        a = place[(size <= SMALL) & (place + step < stop)]
+        b = a + step
+        good = (same[a] | (own[a] != own[b])) & (np.einsum("nd,nd->n", u[a], u[b]) >= threshold - 1e-6)
+        a, b = a[good], b[good]
+        for k in range(0, len(a), 2000):
+            p, q = a[k:k + 2000], b[k:k + 2000]
+            earlier = (filters[p] >= 0) & (filters[p] < here[p][:, None])
+            shared = ((filters[p][:, :, None] == filters[q][:, None, :]) & earlier[:, :, None]).any(axis=(1, 2))
+            yield from verified(p[~shared], q[~shared])
+    for start, end in zip(starts[ends - starts > SMALL], ends[ends - starts > SMALL]):
+        shared = _shared_before(filters[start:end], int(here[start]))
         for at in range(start, end, 256):
-            a, b = np.nonzero(u[at:min(end, at + 256)] @ u[at:end].T >= threshold - 1e-6)
-            later = b > a
-            yield from verified(a[later] + at, b[later] + at)
+            to = min(end, at + 256)
+            a, b = np.nonzero((u[at:to] @ u[at:end].T >= threshold - 1e-6) & ~shared[at - start:to - start, at - start:])
+            a, b = a + at, b + at
+            good = (b > a) & (same[a] | (own[a] != own[b]))
+            yield from verified(a[good], b[good])
 
 
 def _links_of_task(rows: pd.DataFrame, dtype: str, threshold: float) -> pd.DataFrame:
@@ -156,22 +183,17 @@ def _links_of_task(rows: pd.DataFrame, dtype: str, threshold: float) -> pd.DataF
     for dim in rows["dim"].unique():
         part = rows[rows["dim"] == dim]
         node, copies = part["node"].to_numpy(dtype=np.int64), part["copies"].to_numpy(dtype=np.int64)
-        here = part["filter"].to_numpy()
-        x = np.array(part["vector"].tolist(), dtype=dtype)
-        lists = part["filters"].tolist()
-        longest = max(map(len, lists))
-        padded = np.array([np.pad(f, (0, longest - len(f)), constant_values=-1) for f in lists], dtype=np.int32)
+        x = np.stack(part["vector"].to_list()).astype(dtype)
+        lists = part["filters"].to_list()
+        lengths = np.array([len(f) for f in lists])
+        padded = np.full((len(lists), int(lengths.max())), -1, dtype=np.int32)
+        padded[np.arange(padded.shape[1]) < lengths[:, None]] = np.concatenate(lists)
         ids, local = np.unique(node, return_inverse=True)
         counts, ta, tb, held = np.zeros(len(ids), dtype=np.int64), [], [], 0
-        for a, b in _pairs(part["bucket"].to_numpy(), part["own"].to_numpy(), (part["i"] == part["j"]).to_numpy(), x, unit(x), threshold):
-            for k in range(0, len(a), 2000):
-                pa_, pb = a[k:k + 2000], b[k:k + 2000]
-                fa = padded[pa_]
-                earlier = (fa >= 0) & (fa < here[pa_][:, None])
-                shared = ((fa[:, :, None] == padded[pb][:, None, :]) & earlier[:, :, None]).any(axis=(1, 2))
-                oa, ob = pa_[~shared], pb[~shared]
-                np.add.at(counts, local[oa], copies[ob])
-                np.add.at(counts, local[ob], copies[oa])
+        for a, b in _pairs(part["bucket"].to_numpy(), part["own"].to_numpy(), (part["i"] == part["j"]).to_numpy(), x, unit(x),
+                                  padded, part["filter"].to_numpy(), threshold):
+            counts += np.bincount(local[a], weights=copies[b], minlength=len(ids)).astype(np.int64)
+            counts += np.bincount(local[b], weights=copies[a], minlength=len(ids)).astype(np.int64)
             ta.append(local[a])
             tb.append(local[b])
             held += len(a)
