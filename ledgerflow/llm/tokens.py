@@ -23,6 +23,17 @@ STEP_BYTES = 8_000_000
 _TAIL = ".,;:!?"
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE writes bytes as letters: printable Latin-1 characters
+    stand for themselves, the others follow from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class WordEncoder:
     """Ids of texts under one tokenizer file."""
 
@@ -31,6 +42,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.vocab_size = self.tokenizer.get_vocab_size()
         self._reset()
 
@@ -42,7 +54,11 @@ class WordEncoder:
         self.used = 0
 
     def _learn(self, words: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        model, plain = self.model, [w.isalpha() and max(w) < "ɐ" and w == w.lower() for w in words]
+        whole = iter(self.tokenizer.encode_batch_fast([w for w, p in zip(words, plain) if not p], add_special_tokens=False))
+        # lower-case Latin letters are one pre-token that nothing normalises
+        encoded = [[t.id for t in model.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_LETTERS))] if p else next(whole).ids
+                   for w, p in zip(words, plain)]
         lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
         first, total = len(self.slot), int(lengths.sum())
         while first + len(words) > len(self.start):
@@ -58,10 +74,10 @@ class WordEncoder:
     @staticmethod
     def _parts(word: str) -> tuple[str, str]:
         """A word as (stem, closing punctuation) where the tokenizer cuts there
-        too, ASCII stems in lower case as it would make them."""
+        too, Latin stems in lower case as it would make them."""
         stem = word.rstrip(_TAIL)
         if stem and stem[-1] < "ɐ" and (stem[-1].isalpha() or "0" <= stem[-1] <= "9") and "<|" not in word:
-            return (stem.lower() if stem.isascii() else stem), word[len(stem):]
+            return (stem.lower() if max(stem) < "ɐ" and "İ" not in stem else stem), word[len(stem):]
         return word, ""
 
     def _slots(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
