@@ -11,7 +11,9 @@ word that follows a lower-case one (text pasted into the middle of a sentence
 starts so).  Sentences over ``LONG`` words are cut further after words chosen
 by their own hash (at least ``LONG // 3`` and at most ``2 * LONG`` words from
 the cut before), so that both copies of a long passage are soon cut alike
-wherever it stands.
+wherever it stands.  ``RUN`` and ``LONG`` are small enough that a passage of
+just over 50 words pasted from and into the middle of sentences holds a run;
+the partial sentences at its two ends stay.
 
 Work: one scan writes (hash, id, place) once per distinct run and document; a
 minimum per hash, with map-side combining, finds first occurrences; a join on
@@ -39,9 +41,9 @@ from pyspark.sql.types import StringType
 
 from .common import fresh, stage
 
-RUN = 3
+RUN = 2
 MIN_WORDS = 12
-LONG = 16
+LONG = 12
 _UPPER = "".join(chr(c) for c in range(0x530) if chr(c).isupper())
 _LOWER = "".join(chr(c) for c in range(0x530) if chr(c).islower())
 _CUT = re.compile(rf"(?:(?<=[.!?…。！？])|(?<=[.!?][\"')\]»”]))\s+|\s*\n\s*|(?<=[{_LOWER},;:])\s+(?=[{_UPPER}])")

@@ -174,6 +174,45 @@ def test_substring_repeated_rows_and_empty_table(spark):
     assert substring.remove_repeats(docs.where("false")).count() == 0
 
 
+def even_prose(rng, n, low, high):
+    """n words in sentences of low to high words."""
+    out = []
+    while len(out) < n:
+        words = prose(rng, rng.randint(low, high)).split()
+        out += [words[0].capitalize(), *words[1:-1], words[-1] + "."]
+    return out[:n]
+
+
+def common_words(a, b):
+    """The longest run of equal words of a and b, word by word."""
+    best, row = 0, [0] * (len(b) + 1)
+    for x in a:
+        row = [0] + [row[j] + 1 if x == y else 0 for j, y in enumerate(b)]
+        best = max(best, *row)
+    return best
+
+
+@pytest.mark.parametrize("low, high", [(13, 16), (10, 16), (12, 20), (30, 60)])
+def test_substring_finds_passages_of_just_over_50_words_pasted_mid_sentence(spark, low, high):
+    rng, rows, planted = random.Random(11), [], {}
+    for i in range(40):
+        source, host = even_prose(rng, 200, low, high), even_prose(rng, 200, low, high)
+        begin, at = rng.randint(20, 100), rng.randint(20, 150)
+        planted[100 + i] = source[begin:begin + 51], host, at
+        rows += [(i, " ".join(source)), (100 + i, " ".join(host[:at] + source[begin:begin + 51] + host[at:])),
+                 (200 + i, " ".join(even_prose(rng, 150, low, high)))]
+    got = {r.doc_id: r.text for r in substring.remove_repeats(documents(spark, rows)).collect()}
+    left = 0
+    for i, (passage, host, at) in planted.items():
+        words = got[i].split()
+        rest = len(words) - len(host)
+        assert words[:at] == host[:at] and words[len(words) - 200 + at:] == host[at:]   # only the passage is cut
+        assert rest < 51 and common_words(passage, words) < 40, i
+        left += rest
+    assert left < 0.35 * 51 * len(planted)
+    assert all(got[i] == t for i, t in rows if i not in planted)    # first copies and clean texts stay
+
+
 # -- tokens and packing ---------------------------------------------------------
 
 def test_word_encoder_equals_the_library():
