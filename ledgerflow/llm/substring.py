@@ -6,9 +6,10 @@ spacing ignored).  A run's first occurrence is that in the smallest doc_id, and
 covered by any other occurrence are removed.  What is left of a text is the
 untouched remainder, byte for byte; a text without repeats does not change.
 
-Sentences end at closing punctuation, line ends, and before a capitalised
+Sentences end at closing punctuation, blank lines, and before a capitalised
 word that follows a lower-case one (text pasted into the middle of a sentence
-starts so).  Sentences over ``LONG`` words are cut further after words chosen
+starts so).  A single line end is white space like any other, so wrapped and
+reflowed copies are cut alike.  Sentences over ``LONG`` words are cut further after words chosen
 by their own hash (at least ``LONG // 3`` and at most ``2 * LONG`` words from
 the cut before), so that both copies of a long passage are soon cut alike
 wherever it stands.  ``RUN`` and ``LONG`` are small enough that a passage of
@@ -46,7 +47,7 @@ MIN_WORDS = 12
 LONG = 12
 _UPPER = "".join(chr(c) for c in range(0x530) if chr(c).isupper())
 _LOWER = "".join(chr(c) for c in range(0x530) if chr(c).islower())
-_CUT = re.compile(rf"(?:(?<=[.!?…。！？])|(?<=[.!?][\"')\]»”]))\s+|\s*\n\s*|(?<=[{_LOWER},;:])\s+(?=[{_UPPER}])")
+_CUT = re.compile(rf"(?:(?<=[.!?…。！？])|(?<=[.!?][\"')\]»”]))\s+|(?<!\s)[^\S\n]*\n[^\S\n]*\n\s*|(?<=[{_LOWER},;:])\s+(?=[{_UPPER}])")
 _WORD = re.compile(r"\S+\s*")
 
 

@@ -4,6 +4,7 @@ force, on defined edge cases, and on planted documents."""
 import collections
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -213,6 +214,24 @@ def test_substring_finds_passages_of_just_over_50_words_pasted_mid_sentence(spar
     assert all(got[i] == t for i, t in rows if i not in planted)    # first copies and clean texts stay
 
 
+@pytest.mark.parametrize("low, high", [(6, 14), (10, 20)])
+def test_substring_ignores_where_lines_are_wrapped(spark, low, high):
+    rng, rows, planted = random.Random(12), [], {}
+    for i in range(30):
+        passage = even_prose(rng, (60, 120, 300)[i % 3], low, high)
+        before, after = even_prose(rng, 40, low, high), even_prose(rng, 40, low, high)
+        planted[100 + i] = passage, before, after
+        wrapped = textwrap.fill(" ".join(before + passage + after), (72, 40)[i % 2])
+        rows += [(i, " ".join(passage)), (100 + i, wrapped if i % 5 else wrapped.replace("\n", "\r\n"))]
+    got = {r.doc_id: r.text for r in substring.remove_repeats(documents(spark, rows)).collect()}
+    for i, (passage, before, after) in planted.items():
+        words = got[i].split()
+        assert words[:40] == before and words[-40:] == after
+        assert len(words) - 80 <= 40, i
+    assert all(got[i] == t for i, t in rows if i not in planted)
+    assert substring.sentences("a b\nc d\n \ne f.\ng") == ["a b\nc d\n \n", "e f.\n", "g"]
+
+
 # -- tokens and packing ---------------------------------------------------------
 
 def test_word_encoder_equals_the_library():
