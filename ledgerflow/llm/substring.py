@@ -16,6 +16,12 @@ wherever it stands.  ``RUN`` and ``LONG`` are small enough that a passage of
 just over 50 words pasted from and into the middle of sentences holds a run;
 the partial sentences at its two ends stay.
 
+In scripts without spaces between words (Chinese, Japanese, Thai, Lao, Khmer,
+Burmese, Tibetan and others of ``_DENSE``) sentences also end at full-width
+closing marks with no white space after them, and every character is cut and
+hashed as a word of its own; ``MIN_WORDS`` counts two such characters as one
+word, so that a name of some 20 characters is no run.
+
 Work: one scan writes (hash, id, place) once per distinct run and document; a
 minimum per hash, with map-side combining, finds first occurrences; a join on
 the hash (no aggregation above it, so adaptive execution splits a hot run)
@@ -47,8 +53,27 @@ MIN_WORDS = 12
 LONG = 12
 _UPPER = "".join(chr(c) for c in range(0x530) if chr(c).isupper())
 _LOWER = "".join(chr(c) for c in range(0x530) if chr(c).islower())
-_CUT = re.compile(rf"(?:(?<=[.!?…。！？])|(?<=[.!?][\"')\]»”]))\s+|(?<!\s)[^\S\n]*\n[^\S\n]*\n\s*|(?<=[{_LOWER},;:])\s+(?=[{_UPPER}])")
+_SCRIPTS = ("\u0e00-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u3035\u303b\u3040-\u312f\u31a0-\u31bf"
+            "\u31f0-\u31ff\u3400-\u4dbf\u4e00-\ua4cf\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U00016fe0-\U00018d8f\U0001aff0-\U0001b16f\U00020000-\U0003ffff")
+_DENSE = re.compile(f"[{_SCRIPTS}]")
+_CUT = re.compile(rf"(?:(?<=[.!?…。！？])|(?<=[.!?][\"')\]»”]))\s+|(?<!\s)[^\S\n]*\n[^\S\n]*\n\s*|(?<=[{_LOWER},;:])\s+(?=[{_UPPER}])"
+                  r"|(?<=[。！？｡])[」』）】》〉”’\"')\]»]*+\s*+(?![。！？｡])")
 _WORD = re.compile(r"\S+\s*")
+_DENSE_WORD = re.compile(rf"[{_SCRIPTS}][^\s\w]*+|[^\s{_SCRIPTS}]+")
+_DENSE_PIECE = re.compile(rf"(?:[{_SCRIPTS}][^\s\w]*+|[^\s{_SCRIPTS}]+)\s*")
+
+
+def _dense(text: str) -> bool:
+    return not text.isascii() and _DENSE.search(text) is not None
+
+
+def _words(part: str) -> tuple[list[str], int]:
+    """Words of a sentence, and how many half words they count as."""
+    if not _dense(part):
+        words = part.split()
+        return words, 2 * len(words)
+    words = _DENSE_WORD.findall(part)
+    return words, sum(1 if _DENSE.match(w) else 2 for w in words)
 
 
 def sentences(text: str) -> list[str]:
@@ -62,13 +87,13 @@ def sentences(text: str) -> list[str]:
         parts.append(text[at:])
     out: list[str] = []
     for part in parts:
-        words = part.split()
+        words, _ = _words(part)
         if not words and out:
             out[-1] += part
         elif len(words) <= LONG:
             out.append(part)
         else:
-            pieces, begin = _WORD.findall(part), 0
+            pieces, begin = (_DENSE_PIECE if _dense(part) else _WORD).findall(part), 0
             lead = len(part) - sum(map(len, pieces))
             pieces[0] = part[:lead] + pieces[0]
             for i, word in enumerate(words[:-1]):
@@ -83,10 +108,10 @@ def sentences(text: str) -> list[str]:
 def runs(parts: list[str], run: int = RUN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, stop) of the run that begins at every sentence, as far as
     the text has enough sentences and words after it."""
-    plain = [p.lower().split() for p in parts]
-    total = np.concatenate(([0], np.cumsum([len(w) for w in plain]))).astype(np.int64)
+    plain, halves = zip(*(_words(p.lower()) for p in parts)) if parts else ((), ())
+    total = np.concatenate(([0], np.cumsum(halves))).astype(np.int64)
     starts = np.arange(max(0, len(parts) - run + 1))
-    stops = np.maximum(starts + run, np.searchsorted(total, total[starts] + min_words))
+    stops = np.maximum(starts + run, np.searchsorted(total, total[starts] + 2 * min_words))
     starts, stops = starts[stops <= len(parts)], stops[stops <= len(parts)]
     joined = [" ".join(w) for w in plain]
     hashed = xxhash.xxh64_intdigest

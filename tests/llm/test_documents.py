@@ -232,6 +232,36 @@ def test_substring_ignores_where_lines_are_wrapped(spark, low, high):
     assert substring.sentences("a b\nc d\n \ne f.\ng") == ["a b\nc d\n \n", "e f.\n", "g"]
 
 
+@pytest.mark.parametrize("letters, mark", [("".join(map(chr, range(0x4E00, 0x4F00))), "。"), ("".join(map(chr, range(0x3042, 0x3094))), "！"),
+                                           ("".join(map(chr, range(0x0E01, 0x0E2F))), ""), ("".join(map(chr, range(0x1780, 0x17A3))), "")], ids=["han", "kana", "thai", "khmer"])
+def test_substring_in_scripts_without_spaces(spark, letters, mark):
+    rng, rows, planted = random.Random(13), [], {}
+
+    def page(n, low=8, high=30):
+        out = ""
+        while len(out) < n:
+            out += "".join(rng.choices(letters, k=rng.randint(low, high))) + mark
+        return out[:n]
+
+    name = page(16, 40, 40)
+    for i in range(20):
+        source, host, at = page(400), page(300), rng.randint(50, 250)
+        planted[100 + i] = source[150:250], host, at
+        rows += [(i, source), (100 + i, host[:at] + source[150:250] + host[at:]), (200 + i, source), (300 + i, "\n".join(textwrap.wrap(source, 30))),
+                 (400 + i, page(200) + name + page(200))]
+    texts = {i: t for i, t in rows}
+    got = {r.doc_id: r.text for r in substring.remove_repeats(documents(spark, rows)).collect()}
+    for i, (passage, host, at) in planted.items():
+        assert got[i].startswith(host[:at - 3]) and got[i].endswith(host[at + 3:]) and len(got[i]) <= 300 + 60, i
+        assert len(got[100 + i]) < 24 and len(got[200 + i]) < 24 + 30, i    # less than a run can stay at the end
+    assert all(got[i] == t for i, t in texts.items() if i < 100 or i >= 400)
+    assert all("".join(substring.sentences(t)) == t for t in texts.values())
+
+
+def test_full_width_marks_end_sentences():
+    assert substring.sentences("「好。」他说！？次。 end") == ["「好。」", "他说！？", "次。 ", "end"]
+
+
 # -- tokens and packing ---------------------------------------------------------
 
 def test_word_encoder_equals_the_library():
