@@ -339,6 +339,20 @@ def test_decoding_never_keeps_within_a_dropped_element():
         assert own == pytest.approx(best)
 
 
+def shown(source):
+    page = Page(source)
+    return page.text(~page.hidden())
+
+
+def test_nothing_is_lost_behind_raw_elements():
+    assert shown("İ" * 40 + "<script>x()</script>Main text of the page.<p>next") == "İ" * 40 + "Main text of the page. next"
+    assert shown("<p>İİ</p><STYLE>p{}</Style ><p>a</p><Script>'<p>'</SCRIPT>b") == "İİ a b"
+    for tag in ("svg", "math", "SVG"):
+        assert shown(f"<p>a <{tag} class='i' /> b</p><p>c</p>") == "a b c"
+        assert shown(f"<p>a <{tag}/> b <{tag}><title>t</title></{tag}> c</p>") == "a b c"
+    assert shown("<p>a</p><script src='x'/>hidden</script><p>b</p>") == "a b"     # a script is never empty
+
+
 def test_extraction_edges(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain words &amp; more"), (None, "u", "<p>x"), (4, "u", "<p title='unclosed>text</p> a < b"), (5, "u", deep),
