@@ -19,6 +19,7 @@ import re
 import uuid
 from typing import Optional, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -111,6 +112,21 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return read_version_or_empty(spark, path, schema)[0]
 
 
+def _claim(fs, claim, jvm) -> bool:
+    """Create the marker file ``claim``; False if it exists.  One of several
+    writers succeeds if the file system's create without overwrite is atomic
+    (HDFS; Hadoop's local one is not, so there it is the JVM's)."""
+    if fs.getUri().getScheme() == "file":
+        return jvm.java.io.File(fs.makeQualified(claim).toUri().getPath()).createNewFile()
+    try:
+        fs.create(claim, False).close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
 def write_snapshot(df: DataFrame, path: str, partition_by: Optional[Sequence[str]] = None,
                    base: Optional[int] = None) -> str:
     """Write ``df`` as the version after ``base`` (the newest committed one if
@@ -125,12 +141,19 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Optional[Sequence[str
         writer = writer.partitionBy(*partition_by)
     writer.parquet(pending)
     pending_path, target_path = jvm.org.apache.hadoop.fs.Path(pending), jvm.org.apache.hadoop.fs.Path(target)
-    taken = latest_version(spark, path) != base
-    if not taken and fs.exists(target_path):
-        fs.delete(target_path, True)        # an uncommitted leftover, never a table
-    if taken or not fs.rename(pending_path, target_path):
+    claim = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_claim-v{base + 1:08d}")
+    if not _claim(fs, claim, jvm):
         fs.delete(pending_path, True)
-        raise ConcurrentWrite(f"{path}: version {base + 1} was committed by another writer")
+        raise ConcurrentWrite(f"{path}: version {base + 1} is being committed by another writer (if that one was killed, delete {claim})")
+    try:        # nobody else commits, or deletes, this version meanwhile
+        taken = latest_version(spark, path) != base
+        if not taken and fs.exists(target_path):
+            fs.delete(target_path, True)        # an uncommitted leftover, never a table
+        if taken or not fs.rename(pending_path, target_path):
+            fs.delete(pending_path, True)
+            raise ConcurrentWrite(f"{path}: version {base + 1} was committed by another writer")
+    finally:
+        fs.delete(claim, False)
     for old in committed_versions(spark, path)[:-KEEP_VERSIONS]:
         fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(path, old)), True)
     return target

@@ -111,6 +111,31 @@ def test_second_writer_of_one_base_fails(spark, scratch):
     assert not [d for d in os.listdir(path) if d.startswith("_pending")]
 
 
+def test_writer_that_commits_between_check_and_rename_is_not_lost(spark, scratch, monkeypatch):
+    path = scratch + "/t"
+    TB.write_snapshot(spark.createDataFrame([(1, "a")], "id int, v string"), path)
+    check, written = TB.latest_version, []
+
+    def check_then_other_writer(*args):
+        found = check(*args)
+        monkeypatch.setattr(TB, "latest_version", check)
+        try:
+            TB.write_snapshot(spark.createDataFrame([(2, "b")], "id int, v string"), path, base=1)
+            written.append(2)
+        except TB.ConcurrentWrite:
+            pass
+        return found
+
+    monkeypatch.setattr(TB, "latest_version", check_then_other_writer)
+    try:
+        TB.write_snapshot(spark.createDataFrame([(3, "c")], "id int, v string"), path, base=1)
+        written.append(3)
+    except TB.ConcurrentWrite:
+        pass
+    assert len(written) == 1 and [r.id for r in TB.read_table(spark, path).collect()] == written
+    assert not [d for d in os.listdir(path) if d.startswith("_")]
+
+
 def test_old_versions_are_retired(spark, scratch):
     for i in range(TB.KEEP_VERSIONS + 2):
         TB.write_snapshot(spark.range(1), scratch + "/t")
