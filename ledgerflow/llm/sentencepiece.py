@@ -12,6 +12,10 @@ checked against the vocabulary when the model is loaded), so a word's best path
 not depend on its neighbours.  Each distinct word of a batch is solved once,
 many at a time with numpy, and kept in a bounded cache.
 
+The registered model ``piece_bpe_32k.model`` is of type 2 (BPE): its scores are
+minus the merge rank, not log scores, and merging is not built, so the ids are
+the best-scored path, not those of the model's own library.
+
 Supported are models without a character map (identity normalisation); others
 raise.  Defined results: null text is empty and has no ids; an empty table
 gives none; repeated rows give repeated results; other columns are ignored.
