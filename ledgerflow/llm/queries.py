@@ -94,8 +94,16 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idpack.read_ids(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removals of five filters under all their orders, by source."""
+    from . import filteraudit
+
+    failed = filteraudit.masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filteraudit.audit(failed)
+
+
 QUERIES = {f.__name__: f for f in (op1_extraction, op2_packing, op3_substring_dedup, op4_sentencepiece, op5_hnsw, op6_simhash, op7_warc, op8_spherical_caps,
-                                   op9_token_files, op10_toxicity)}
+                                   op9_token_files, op10_toxicity, op12_filter_audit)}
 _USABLE = """vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
@@ -130,4 +138,35 @@ c AS (SELECT a, least(a, min(b)) AS component_id FROM reach GROUP BY a)
 SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, coalesce(c.component_id, e.vec_id) AS component_id,
        e.vec_id = coalesce(c.component_id, e.vec_id) AS kept
 FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.a = e.vec_id""",
+    "op12_filter_audit": r"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                  min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT part, coalesce(l.good, 0) AS good, coalesce(l.bad, 0) AS bad,
+             [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+              100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t),
+              regexp_matches(t, '[#$%&*|]'), coalesce(w.doc_id > first, FALSE)] AS f
+      FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+m AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM d GROUP BY part, f),
+i AS (SELECT unnest(range(1, 6)) AS k),
+p AS (SELECT [a.k, b.k, c.k, e.k, g.k] AS o FROM i a, i b, i c, i e, i g
+      WHERE len(list_distinct([a.k, b.k, c.k, e.k, g.k])) = 5),
+s AS (SELECT part, o, k AS step, n, good, bad, f[o[k]] AS fails,
+             len(list_filter(o[:k - 1], lambda x: f[x])) > 0 AS gone, len(list_filter(f, lambda x: x)) = 1 AS one
+      FROM m, p, i),
+r AS (SELECT part, o, step, sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN fails AND one THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN fails AND NOT gone THEN bad ELSE 0 END) AS toxic_lost
+      FROM s GROUP BY part, o, step)
+SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order,
+       CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, o[step]) AS BIGINT) AS shapley
+FROM r""",
 }
