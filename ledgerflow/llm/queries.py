@@ -94,6 +94,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idpack.read_ids(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, by the learned context trees."""
+    from . import langid
+
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removals of five filters under all their orders, by source."""
     from . import filteraudit
@@ -102,8 +110,15 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(failed)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, forms and roots of all words of all documents."""
+    from . import spelling
+
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_extraction, op2_packing, op3_substring_dedup, op4_sentencepiece, op5_hnsw, op6_simhash, op7_warc, op8_spherical_caps,
-                                   op9_token_files, op10_toxicity, op12_filter_audit)}
+                                   op9_token_files, op10_toxicity, op11_language_id, op12_filter_audit, op13_spelling_variants)}
 _USABLE = """vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
@@ -169,4 +184,28 @@ SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)),
        CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
        CAST(sum(removed) OVER (PARTITION BY part, o[step]) AS BIGINT) AS shapley
 FROM r""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE t AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS step
+  FROM range(256) r(i)),
+u AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS x FROM documents),
+r AS (SELECT doc_id, translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+      FROM u WHERE length(x) >= 7 GROUP BY ALL),
+b AS (SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+        lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)] ELSE [195, unicode(ch) - 64] END)) AS bytes FROM r),
+h AS (SELECT run, n, xor(list_reduce([4294967295] || list_transform(bytes, lambda y: CAST(y AS BIGINT)),
+        lambda c, y: xor(c >> 8, t.step[(xor(c, y) & 255) + 1])), 4294967295) AS h FROM b, t),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+d AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (SELECT a.word AS a, b.word AS b FROM d a JOIN d b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+         UNION SELECT d.word, v.word FROM d JOIN v ON v.word = d.less
+         UNION SELECT v.word, d.word FROM d JOIN v ON v.word = d.less),
+k AS (SELECT near.a, near.b, v.n AS m, count(*) OVER (PARTITION BY near.a) AS k,
+             row_number() OVER (PARTITION BY near.a ORDER BY v.n DESC, near.b) AS place FROM near JOIN v ON v.word = near.b),
+f AS (SELECT v.word, v.n, coalesce(k.k, 0) AS n_near, CASE WHEN k.m >= 10 * v.n THEN k.b END AS form, CASE WHEN k.m >= 10 * v.n THEN k.m END AS form_n
+      FROM v LEFT JOIN k ON k.a = v.word AND k.place = 1),
+c AS (SELECT word, word AS root FROM f UNION SELECT c.word, f.form FROM c JOIN f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM f JOIN c ON c.word = f.word JOIN f g ON g.word = c.root AND g.form IS NULL""",
 }
