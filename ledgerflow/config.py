@@ -41,6 +41,9 @@ ACTIVE_STATUS = "0"
 # Date-part columns.
 YEAR, MONTH, DAY = "year", "month", "day"
 DATE_PARTS = (YEAR, MONTH, DAY)
+# Partition columns of this library's own tables (not of the data model), by
+# the unit of time that one folder holds.
+PERIODS = {"day": "period_day", "month": "period_month"}
 
 # Ledger (silver transactions) columns.
 INSERT_DATE = "insert_date"

@@ -220,7 +220,12 @@ def post_ledger(df: DataFrame, mapping: DataFrame,
                 broadcast: Optional[bool] = None) -> DataFrame:
     """Ledger entries of sign-split transactions (with date parts): equal, row
     for row, to ``post_ledger_stepwise``, in one scan and one join."""
-    m = bounded_broadcast(normalise_map(mapping, spec), force=broadcast)
+    return post_normalised(df, normalise_map(mapping, spec), broadcast)
+
+
+def post_normalised(df: DataFrame, mapping: DataFrame, broadcast: Optional[bool] = None) -> DataFrame:
+    """``post_ledger`` with a mapping that has ``normalise_map``'s columns."""
+    m = bounded_broadcast(mapping, force=broadcast)
     cond = ((F.col(C.INVOICE) == F.col(M_CODE)) & (F.col(C.TYPE) == F.col(M_TYPE))
             & (F.col(_ENTRY_CLASS) == F.col(M_CLASS)))
     posted = _entries(df).join(m, cond).select(
@@ -271,6 +276,33 @@ def unmapped_class(df: DataFrame, mapping: DataFrame, posting_class: str,
     return rows.join(m, cond, "left_anti").select(*cols)
 
 
+# ---------------------------------------------------------------------------
+# Incremental posting
+# ---------------------------------------------------------------------------
+
+def changed_codes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(code, type) of every mapping row that one of two mappings (with the
+    columns of ``normalise_map``) has more often than the other."""
+    differ = before.exceptAll(after).unionByName(after.exceptAll(before))
+    return differ.select(M_CODE, M_TYPE).distinct()
+
+
+def due_transactions(df: DataFrame, codes: DataFrame, mark: Optional[Column]) -> DataFrame:
+    """Transactions that an incremental run has to post: inserted at or after
+    ``mark`` (or at no known time; all without a mark), or of a changed code.
+
+    One scan: the few changed codes are joined as a flag, so both reasons are
+    one filter and no row comes twice.
+    """
+    if mark is None:
+        return df
+    flag = "_due"
+    due = bounded_broadcast(codes.select(M_CODE, M_TYPE).distinct().withColumn(flag, F.lit(True)))
+    joined = df.join(due, (F.col(C.INVOICE) == F.col(M_CODE)) & (F.col(C.TYPE) == F.col(M_TYPE)), "left")
+    return joined.where(F.coalesce(F.col(flag), F.lit(False)) | F.col(C.INSERT_DATE).isNull()
+                        | (F.col(C.INSERT_DATE) >= mark)).select(*df.columns)
+
+
 # ---------------------------------------------------------------------------
 # Reprocessing
 # ---------------------------------------------------------------------------

@@ -4,20 +4,42 @@ The high-water mark of the target is a scalar subquery (``DataFrame.scalar``):
 Spark runs the one-row aggregate once (partial max/count per task, then a
 single-row final) and uses the value as a constant in the filter.  Nothing is
 collected to the driver and the plan stays lazy.
+
+Frames read with their layout from a table in ``dated`` folders
+(``sources.partitioned.read_with_layout``) are pruned by folder: a bound on the
+timestamp becomes a bound on the folder's day or month.  Restamped rows are
+found too, as they lie in the folder of their new timestamp.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from typing import Sequence
+from typing import Optional, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow import config as C
 from ledgerflow.functions.dates import AsOf, parse_timestamp, timestamp_literal, yesterday
 
 
+def _from(df: DataFrame, bound: Column, column: str, always: Optional[Column] = None) -> DataFrame:
+    """Of a frame read with its ``dated`` layout, the folders that can hold
+    rows at or after ``bound`` (all of them where ``always`` holds).  Whole
+    folders are skipped; the caller still compares the rows.  Other frames
+    pass unchanged."""
+    for unit, period in C.PERIODS.items():
+        if period not in df.columns:
+            continue
+        # the date of a zoned timestamp depends on the zone of the session that wrote it
+        slack = 1 if isinstance(df.schema[column].dataType, T.TimestampType) else 0
+        first = F.date_trunc(unit, F.date_sub(bound.cast("date"), slack)).cast("date")
+        held = F.try_to_date(F.col(period), "yyyy-MM-dd") >= first
+        df = df.where(held if always is None else always | held).drop(period)
+    return df
+
+
 def high_water_mark(df: DataFrame, column: str, fmt: str = C.DATETIME_FORMAT) -> DataFrame:
     """One row: newest parsed timestamp (``mark``) and row count (``n``)."""
     return df.agg(F.max(parse_timestamp(df, column, fmt)).alias("mark"),
@@ -34,6 +56,7 @@ def newer_than(source: DataFrame, target: DataFrame, column: str,
     or not the target was empty.
     """
     mark = high_water_mark(target, column, fmt).select(F.struct("mark", "n")).scalar()
+    source = _from(source, mark.getField("mark"), column, mark.getField("n") == 0)
     parsed = source.withColumn(column, parse_timestamp(source, column, fmt))
     ts = F.col(column)
     newer = ts >= mark.getField("mark") if inclusive else ts > mark.getField("mark")
@@ -43,6 +66,7 @@ def newer_than(source: DataFrame, target: DataFrame, column: str,
 def since(df: DataFrame, column: str, as_of: AsOf = None,
           drop: Sequence[str] = C.DATE_PARTS) -> DataFrame:
     """Rows dated yesterday (relative to ``as_of``) or later, date parts dropped."""
+    df = _from(df, yesterday(as_of), column)
     return df.where(F.col(column) >= yesterday(as_of)).drop(*drop)
 
 
@@ -50,6 +74,7 @@ def history_since(df: DataFrame, column: str, start: str = C.HISTORY_START,
                   fmt: str = C.DATETIME_FORMAT) -> DataFrame:
     """Rows whose parsed ``column`` is at or after ``start`` (text that does
     not parse is dropped, not fatal)."""
+    df = _from(df, F.lit(start).cast("timestamp_ntz"), column)
     ts = parse_timestamp(df, column, fmt)
     out = df.withColumn(column, ts)
     return out.where(F.col(column) >= timestamp_literal(start, out.schema[column].dataType))

@@ -2,8 +2,9 @@
 reports.  Each job reads fixed snapshots, composes lazy operators and ends in
 one sink per output table; no operator collects data to the driver.
 
-Silver and gold tables live in the versioned snapshot store of
-``ledgerflow.sources.tables``; reports are CSV folders.
+Silver and gold tables are versioned (``ledgerflow.sources.tables``); those of
+clients and transactions lie in ``dated`` folders, and a merge rewrites only the
+folders it touches (``ledgerflow.sources.partitioned``).  Reports are CSV folders.
 """
 
 from __future__ import annotations
@@ -12,21 +13,25 @@ from dataclasses import dataclass
 from typing import Mapping, Optional, Sequence, Union
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow import config as C
 from ledgerflow.functions.dates import AsOf, with_load_date
-from ledgerflow.operators.changes import delete_by_key, upsert
-from ledgerflow.operators.ledger import matching_rows, reprocess_candidates
+from ledgerflow.operators.changes import upsert
+from ledgerflow.operators.ledger import (M_CODE, M_TYPE, changed_codes, due_transactions, matching_rows,
+                                         normalise_map, post_normalised, reprocess_candidates)
 from ledgerflow.operators.promote import changed_rows, history_since, newer_than, since
 from ledgerflow.operators.reports import unmapped_invoices
 from ledgerflow.plans import silver
 from ledgerflow.sinks.reports import write_report, write_report_by_country
 from ledgerflow.operators.joins import estimated_bytes
 from ledgerflow.session import size_shuffle_partitions
-from ledgerflow.sources.tables import (discard, materialise, read_if_exists, read_landing_csv,
-                                       read_table, read_version,
-                                       read_version_or_empty, upsert_table, write_snapshot)
+from ledgerflow.sources.partitioned import (Layout, dated, delete_from_partitions, read_with_layout, rows_of_keys,
+                                            table_state, upsert_partitions)
+from ledgerflow.sources.tables import (committed_versions, discard, latest_version, materialise, read_at,
+                                       read_if_exists, read_landing_csv, read_table, upsert_table,
+                                       version_path, write_snapshot)
 from ledgerflow.streaming.ingest import ingest_available_now, merge_batch
 
 Sources = Union[DataFrame, Mapping[str, DataFrame]]
@@ -39,6 +44,8 @@ class Tables:
     silver: str
     gold: str
     reports: str
+    #: What one folder of the dated tables holds: a day, or a month.
+    unit: str = "day"
 
     def silver_table(self, name: str) -> str:
         return f"{self.silver.rstrip('/')}/{name}"
@@ -54,6 +61,7 @@ ACTIVE_CLIENTS = "active_clients"
 TRANSACTIONS = "transactions"
 UNMAPPED = "transactions_out_of_report"
 INVOICES_NOT_MAPPED = "invoices_not_mapped"
+APPLIED_MAPPING = "transactions_mapping"
 
 
 # --- bronze -----------------------------------------------------------------
@@ -110,7 +118,8 @@ def build_active_clients(spark: SparkSession, companies: Sources, tables: Tables
     """PIP-3: active clients of every region, upserted by client id."""
     _size(spark, companies)
     clients = silver.active_clients(companies, spec, region)
-    return upsert_table(spark, tables.silver_table(ACTIVE_CLIENTS), clients, C.CLIENT_KEY)
+    return _merge(spark, tables.silver_table(ACTIVE_CLIENTS), clients, C.CLIENT_KEY,
+                  dated(C.CREATED_AT, tables.unit))
 
 
 def build_unmapped(spark: SparkSession, operations: Sources, concepts: Sources,
@@ -123,7 +132,25 @@ def build_unmapped(spark: SparkSession, operations: Sources, concepts: Sources,
     _size(spark, operations, concepts)
     tx = silver.transactions(operations, concepts, operations_spec, concepts_spec, region)
     rows = silver.unmapped_transactions(tx, mapping, map_spec)
-    return upsert_table(spark, tables.silver_table(UNMAPPED), rows, C.UNMAPPED_KEY)
+    return _merge(spark, tables.silver_table(UNMAPPED), rows, C.UNMAPPED_KEY, dated(C.INSERT_DATE, tables.unit))
+
+
+def _merge(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], layout: Layout) -> str:
+    """Upsert ``rows`` (computed once) into the table at ``path``; no rows, no
+    new version."""
+    rows = materialise(rows)
+    try:
+        return _merge_staged(spark, path, rows, keys, layout, {})
+    finally:
+        discard(rows)
+
+
+def _merge_staged(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], layout: Layout,
+                  state: Mapping[str, object]) -> str:
+    version = latest_version(spark, path)
+    if version and rows.isEmpty() and table_state(spark, path).items() >= state.items():
+        return version_path(path, version)
+    return upsert_partitions(spark, path, rows, keys, layout, state)
 
 
 def build_ledger(spark: SparkSession, operations: Sources, concepts: Sources,
@@ -131,44 +158,112 @@ def build_ledger(spark: SparkSession, operations: Sources, concepts: Sources,
                  operations_spec: C.TransactionSpec = C.OPERATIONS,
                  concepts_spec: C.TransactionSpec = C.CONCEPTS,
                  map_spec: C.ConceptMapSpec = C.ConceptMapSpec(),
-                 region: Optional[Union[str, Column]] = None) -> str:
+                 region: Optional[Union[str, Column]] = None, full: bool = False) -> str:
     """PIP-4 and PIP-6: post the ledger, upsert it by (uuid, account_id) and
     restamp entries that sat in the unmapped table, in one write of the ledger;
-    then delete those unmapped rows."""
+    then delete those unmapped rows.
+
+    A run records with its ledger version which mapping it applied and the
+    newest insert date it saw.  The next run posts only what can differ from
+    the stored entries: transactions inserted at that date or later, those of
+    codes whose mapping rows changed, and those of codes with entries restamped
+    since (posting again gives these their own date back, as posting everything
+    does).  The ledger is the same as with ``full``, which
+    posts everything; only a transaction that is changed without a newer insert
+    date needs a full run.
+    """
     _size(spark, operations, concepts)
+    path, layout = tables.silver_table(TRANSACTIONS), dated(C.INSERT_DATE, tables.unit)
     tx = silver.transactions(operations, concepts, operations_spec, concepts_spec, region)
-    posted = materialise(silver.ledger(tx, mapping, map_spec))
-    path = tables.silver_table(TRANSACTIONS)
-    target, base = read_version_or_empty(spark, path, posted.schema)
-    ledger = upsert(target, posted, C.LEDGER_KEY)
-    pending = _pending(spark, tables)
-    again = None
-    if pending is not None:
-        again = materialise(reprocess_candidates(ledger, pending[0], as_of))
-        ledger = upsert(ledger, again, C.LEDGER_KEY)
-    written = write_snapshot(ledger, path, base=base)
-    discard(posted)
-    if again is not None:
-        discard(again)
-        _delete_posted(spark, tables, *pending)
-    return written
+    newest = materialise(normalise_map(silver.newest_mapping(mapping, map_spec), map_spec))
+    staged = [newest]
+    try:
+        mark = tx.agg(F.max(C.INSERT_DATE).cast("string")).first()[0]
+        due, applied = tx, _applied(spark, tables)
+        changed = None if applied is None else changed_codes(applied[1], newest)
+        if applied is not None and not full:
+            seen = None if applied[0] is None else F.lit(applied[0]).cast(tx.schema[C.INSERT_DATE].dataType)
+            due = due_transactions(tx, changed.unionByName(_restamped_codes(spark, path)), seen)
+        posted = materialise(post_normalised(due, newest))
+        staged.append(posted)
+        rows, pending, days = posted, _pending(spark, tables), []
+        if pending is not None:
+            again = materialise(reprocess_candidates(_known(spark, path, posted, pending), pending, as_of))
+            staged.append(again)
+            if not again.isEmpty():
+                days = [str(again.select(F.col(C.INSERT_DATE).cast("date")).first()[0])]
+                rows = materialise(upsert(posted, again, C.LEDGER_KEY))
+                staged.append(rows)
+        same = changed is not None and changed.isEmpty()
+        version = applied[2] if same else _save_mapping(spark, tables, newest)
+        written = _merge_staged(spark, path, rows, C.LEDGER_KEY, layout,
+                                {"mark": mark, "mapping": version, "restamped": days})
+        if pending is not None:
+            _delete_posted(spark, tables, pending)
+        return written
+    finally:
+        for frame in staged:
+            discard(frame)
+
+
+def _applied(spark: SparkSession, tables: Tables) -> Optional[tuple[Optional[str], DataFrame, int]]:
+    """(mark, mapping, mapping version) of the run that wrote the ledger."""
+    state = table_state(spark, tables.silver_table(TRANSACTIONS))
+    if "mapping" not in state:
+        return None
+    path = tables.silver_table(APPLIED_MAPPING)
+    if state["mapping"] not in committed_versions(spark, path):
+        return None
+    return state["mark"], read_at(spark, path, state["mapping"]), state["mapping"]
+
+
+def _save_mapping(spark: SparkSession, tables: Tables, newest: DataFrame) -> int:
+    path = tables.silver_table(APPLIED_MAPPING)
+    base = latest_version(spark, path)
+    write_snapshot(newest, path, base=base)
+    return base + 1
+
 
+def _restamped_codes(spark: SparkSession, path: str) -> DataFrame:
+    """(code, type) of the entries that runs since the last posting restamped:
+    only the folders of the days they were given are read."""
+    ledger = read_with_layout(spark, path)
+    codes = [F.col(C.INVOICE).alias(M_CODE), F.col(C.TYPE).alias(M_TYPE)]
+    found = ledger.where(F.lit(False)).select(*codes)
+    for day in table_state(spark, path).get("restamped", []):
+        found = found.unionByName(history_since(ledger, C.INSERT_DATE, f"{day} 00:00:00").where(
+            F.col(C.INSERT_DATE) == F.lit(day).cast(ledger.schema[C.INSERT_DATE].dataType)).select(*codes))
+    return found.distinct()
 
-def _pending(spark: SparkSession, tables: Tables) -> Optional[tuple[DataFrame, int]]:
-    """The unmapped table and its version, if it has rows."""
+
+def _known(spark: SparkSession, path: str, posted: DataFrame, pending: DataFrame) -> DataFrame:
+    """Entries that may have to be restamped: ``posted``, and stored entries of
+    pending uuids that are not posted anew (the rest of the ledger is not read
+    beyond its uuids)."""
+    if not latest_version(spark, path):
+        return posted
+    return upsert(rows_of_keys(read_table(spark, path), pending, [C.UUID]), posted, C.LEDGER_KEY)
+
+
+def _pending(spark: SparkSession, tables: Tables) -> Optional[DataFrame]:
+    """The unmapped table, if it has rows."""
     try:
-        found = read_version(spark, tables.silver_table(UNMAPPED))
+        found = read_table(spark, tables.silver_table(UNMAPPED))
     except FileNotFoundError:
         return None
-    return None if found[0].isEmpty() else found
+    return None if found.isEmpty() else found
 
 
-def _delete_posted(spark: SparkSession, tables: Tables, pending: DataFrame, version: int) -> None:
-    """Delete unmapped rows that the committed ledger now holds."""
-    gone = materialise(matching_rows(pending, read_table(spark, tables.silver_table(TRANSACTIONS)), few=True))
-    if not gone.isEmpty():
-        write_snapshot(delete_by_key(pending, gone, C.UNMAPPED_KEY), tables.silver_table(UNMAPPED), base=version)
-    discard(gone)
+def _delete_posted(spark: SparkSession, tables: Tables, pending: DataFrame) -> None:
+    """Delete unmapped rows that the committed ledger now holds; of the ledger
+    only entries of pending uuids are read."""
+    ledger = rows_of_keys(read_table(spark, tables.silver_table(TRANSACTIONS)), pending, [C.UUID])
+    gone = materialise(matching_rows(pending, ledger))
+    try:
+        if not gone.isEmpty():
+            delete_from_partitions(spark, tables.silver_table(UNMAPPED), gone, C.UNMAPPED_KEY, dated(C.INSERT_DATE, tables.unit))
+    finally:
+        discard(gone)
 
 
 def reprocess(spark: SparkSession, tables: Tables, as_of: AsOf = None,
@@ -176,43 +271,46 @@ def reprocess(spark: SparkSession, tables: Tables, as_of: AsOf = None,
     """PIP-6 alone: ledger rows whose (uuid, invoice) sat in the unmapped table
     are restamped to yesterday; then those unmapped rows are deleted.
 
-    Both steps read fixed snapshots: the ledger upsert is committed before the
+    Both steps read fixed versions: the ledger upsert is committed before the
     delete set is computed from the new ledger version.  Without candidates
     nothing is written.
     """
-    try:
-        ledger, base = read_version(spark, tables.silver_table(TRANSACTIONS))
-    except FileNotFoundError:
+    path = tables.silver_table(TRANSACTIONS)
+    if not latest_version(spark, path):
         return False
     pending = _pending(spark, tables)
     if pending is None:
         return False
-    again = materialise(reprocess_candidates(ledger, pending[0], as_of, restamp_parts=restamp_parts))
-    if not again.isEmpty():
-        write_snapshot(upsert(ledger, again, C.LEDGER_KEY), tables.silver_table(TRANSACTIONS), base=base)
-    discard(again)
-    _delete_posted(spark, tables, *pending)
+    stored = rows_of_keys(read_table(spark, path), pending, [C.UUID])
+    again = materialise(reprocess_candidates(stored, pending, as_of, restamp_parts=restamp_parts))
+    try:
+        if not again.isEmpty():
+            day = str(again.select(F.col(C.INSERT_DATE).cast("date")).first()[0])
+            days = sorted({*table_state(spark, path).get("restamped", []), day})
+            upsert_partitions(spark, path, again, C.LEDGER_KEY, dated(C.INSERT_DATE, tables.unit), {"restamped": days})
+    finally:
+        discard(again)
+    _delete_posted(spark, tables, pending)
     return True
 
 
 # --- gold -------------------------------------------------------------------
 
-def _save(spark: SparkSession, gold_path: str, gold: DataFrame, base: int, rows: DataFrame,
-          keys: Sequence[str]) -> None:
-    """Upsert materialised ``rows`` into gold; nothing new, nothing written."""
-    if not base or not rows.isEmpty():
-        write_snapshot(upsert(gold, rows, keys), gold_path, base=base)
+def _gold(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    try:
+        return read_table(spark, path)
+    except FileNotFoundError:
+        return spark.createDataFrame([], like.schema).drop(*C.PERIODS.values())
 
 
 def _promote_new(spark: SparkSession, tables: Tables, name: str, column: str,
                  keys: Sequence[str]) -> DataFrame:
-    current = read_table(spark, tables.silver_table(name))
+    """Merge silver rows newer than gold's newest into gold; returns gold with
+    its layout.  Silver folders of earlier days are not read."""
+    current = read_with_layout(spark, tables.silver_table(name))
     gold_path = tables.gold_table(name)
-    gold, base = read_version_or_empty(spark, gold_path, current.schema)
-    fresh = materialise(newer_than(current, gold, column))
-    _save(spark, gold_path, gold, base, fresh, keys)
-    discard(fresh)
-    return read_table(spark, gold_path)
+    _merge(spark, gold_path, newer_than(current, _gold(spark, gold_path, current), column), keys, dated(column, tables.unit))
+    return read_with_layout(spark, gold_path)
 
 
 def incoming_clients(spark: SparkSession, tables: Tables, as_of: AsOf = None) -> bool:
@@ -233,40 +331,41 @@ def updated_clients(spark: SparkSession, tables: Tables) -> bool:
     gold (the report is written first, or the difference would be gone)."""
     current = read_table(spark, tables.silver_table(ACTIVE_CLIENTS))
     gold_path = tables.gold_table(ACTIVE_CLIENTS)
-    gold, base = read_version_or_empty(spark, gold_path, current.schema)
-    changed = materialise(changed_rows(current, gold, C.CLIENT_ID))
-    written = write_report(changed.drop(*C.DATE_PARTS), tables.report("updated_clients"))
-    _save(spark, gold_path, gold, base, changed, C.CLIENT_KEY)
-    discard(changed)
-    return written
+    changed = materialise(changed_rows(current, _gold(spark, gold_path, current), C.CLIENT_ID))
+    try:
+        written = write_report(changed.drop(*C.DATE_PARTS), tables.report("updated_clients"))
+        _merge(spark, gold_path, changed, C.CLIENT_KEY, dated(C.CREATED_AT, tables.unit))
+        return written
+    finally:
+        discard(changed)
 
 
 def invoices_not_mapped(spark: SparkSession, tables: Tables, as_of: AsOf = None) -> None:
     """PIP-9: distinct unmapped invoices, saved to gold; the report per country
     holds those that are unmapped now, not all that gold has ever held."""
     invoices = materialise(unmapped_invoices(read_table(spark, tables.silver_table(UNMAPPED)), as_of))
-    upsert_table(spark, tables.gold_table(INVOICES_NOT_MAPPED), invoices, C.INVOICE_REPORT_KEY,
-                 materialise_source=False)
-    write_report_by_country(invoices, tables.report("invoices_not_mapped"))
-    discard(invoices)
+    try:
+        upsert_table(spark, tables.gold_table(INVOICES_NOT_MAPPED), invoices, C.INVOICE_REPORT_KEY,
+                     materialise_source=False)
+        write_report_by_country(invoices, tables.report("invoices_not_mapped"))
+    finally:
+        discard(invoices)
 
 
 def historical_clients(spark: SparkSession, tables: Tables,
                        start: str = C.HISTORY_START) -> bool:
     """PIP-10 (clients): save updated clients to gold, report the history."""
-    current = read_table(spark, tables.silver_table(ACTIVE_CLIENTS))
+    current = read_with_layout(spark, tables.silver_table(ACTIVE_CLIENTS))
     gold_path = tables.gold_table(ACTIVE_CLIENTS)
-    gold, base = read_version_or_empty(spark, gold_path, current.schema)
-    changed = materialise(changed_rows(current, gold, C.CLIENT_ID))
-    _save(spark, gold_path, gold, base, changed, C.CLIENT_KEY)
-    discard(changed)
+    changed = changed_rows(current.drop(*C.PERIODS.values()), _gold(spark, gold_path, current), C.CLIENT_ID)
+    _merge(spark, gold_path, changed, C.CLIENT_KEY, dated(C.CREATED_AT, tables.unit))
     return write_report(history_since(current, C.CREATED_AT, start), tables.report("incoming_clients"))
 
 
 def historical_transactions(spark: SparkSession, tables: Tables,
                             start: str = C.HISTORY_START) -> bool:
     """PIP-10 (transactions): save new transactions to gold, report the history."""
-    current = read_table(spark, tables.silver_table(TRANSACTIONS))
+    current = read_with_layout(spark, tables.silver_table(TRANSACTIONS))
     _promote_new(spark, tables, TRANSACTIONS, C.INSERT_DATE, C.LEDGER_KEY)
     return write_report(history_since(current, C.INSERT_DATE, start),
                         tables.report("incoming_transactions"))

@@ -7,7 +7,9 @@ its own and renamed once Spark's output committer has finished it, so a failed
 or half-written job never becomes visible.  A writer commits exactly the
 version after the one it read: if another writer was faster, the commit fails
 (``ConcurrentWrite``) instead of losing the other's rows.  The newest
-``KEEP_VERSIONS`` versions stay readable, older ones are removed.
+``KEEP_VERSIONS`` versions stay readable, older ones are removed.  A version is
+a snapshot of all rows, or, after a merge by ``sources.partitioned``, the list
+of partition folders that hold them; both are read by ``read_table``.
 
 Paths go through Hadoop's FileSystem API, so the same code works on local
 disk, HDFS and object stores.
@@ -16,6 +18,7 @@ disk, HDFS and object stores.
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from typing import Optional, Sequence
 
@@ -29,6 +32,8 @@ from ledgerflow.operators.changes import delete_by_key, upsert
 _VERSION = re.compile(r"^v(\d{8})$")
 # Committed versions that stay; readers of older ones must have finished.
 KEEP_VERSIONS = 10
+# Age from which a commit marker is that of a killed writer (a commit is one rename).
+CLAIM_SECONDS = 900
 
 
 class TableNotFound(FileNotFoundError):
@@ -68,16 +73,21 @@ def latest_path(spark: SparkSession, path: str) -> Optional[str]:
     return version_path(path, versions[-1]) if versions else None
 
 
-def _load(spark: SparkSession, path: str) -> DataFrame:
-    """A snapshot with its partition columns as the text that was written
+def _load(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """A version with its partition columns as the text that was written
     (types are not guessed from folder names, or ``01`` would come back as 1)."""
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return spark.read.parquet(path)
-    finally:
-        spark.conf.set(key, before)
+    from ledgerflow.sources import partitioned
+
+    held = partitioned.read_held(spark, path, version)
+    if held is not None:
+        return partitioned.load(spark, path, version, held)
+    folder = version_path(path, version)
+    whole = spark.read.parquet(folder)
+    stored = set(spark.read.option("recursiveFileLookup", "true").parquet(folder).columns)
+    if stored.issuperset(whole.columns):
+        return whole
+    text = [f if f.name in stored else T.StructField(f.name, T.StringType()) for f in whole.schema.fields]
+    return spark.read.schema(T.StructType(text)).parquet(folder)
 
 
 def latest_version(spark: SparkSession, path: str) -> int:
@@ -91,7 +101,12 @@ def read_version(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     version = latest_version(spark, path)
     if not version:
         raise TableNotFound(path)
-    return _load(spark, version_path(path, version)), version
+    return _load(spark, path, version), version
+
+
+def read_at(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """A committed version by its number."""
+    return _load(spark, path, version)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -115,7 +130,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def _claim(fs, claim, jvm) -> bool:
     """Create the marker file ``claim``; False if it exists.  One of several
     writers succeeds if the file system's create without overwrite is atomic
-    (HDFS; Hadoop's local one is not, so there it is the JVM's)."""
+    (HDFS; Hadoop's local one is not, so there it is the JVM's).  A marker older
+    than ``CLAIM_SECONDS`` is that of a killed writer and is taken over."""
+    if fs.exists(claim):
+        age = time.time() - fs.getFileStatus(claim).getModificationTime() / 1000
+        if age > CLAIM_SECONDS:
+            fs.delete(claim, False)
     if fs.getUri().getScheme() == "file":
         return jvm.java.io.File(fs.makeQualified(claim).toUri().getPath()).createNewFile()
     try:
@@ -134,17 +154,28 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Optional[Sequence[str
     spark = df.sparkSession
     base = latest_version(spark, path) if base is None else base
     fs, root, jvm = _fs(spark, path)
-    target = version_path(path, base + 1)
     pending = f"{path.rstrip('/')}/_pending-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(pending)
+    try:
+        writer.parquet(pending)
+    except BaseException:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(pending), True)
+        raise
+    return commit_version(spark, path, pending, base)
+
+
+def commit_version(spark: SparkSession, path: str, pending: str, base: int) -> str:
+    """Make the finished folder ``pending`` the version after ``base``, or
+    delete it and raise ``ConcurrentWrite``; returns the version's folder."""
+    fs, _, jvm = _fs(spark, path)
+    target = version_path(path, base + 1)
     pending_path, target_path = jvm.org.apache.hadoop.fs.Path(pending), jvm.org.apache.hadoop.fs.Path(target)
     claim = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_claim-v{base + 1:08d}")
     if not _claim(fs, claim, jvm):
         fs.delete(pending_path, True)
-        raise ConcurrentWrite(f"{path}: version {base + 1} is being committed by another writer (if that one was killed, delete {claim})")
+        raise ConcurrentWrite(f"{path}: version {base + 1} is being committed by another writer (if that one was killed, its marker lapses after {CLAIM_SECONDS} s)")
     try:        # nobody else commits, or deletes, this version meanwhile
         taken = latest_version(spark, path) != base
         if not taken and fs.exists(target_path):
@@ -154,8 +185,13 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Optional[Sequence[str
             raise ConcurrentWrite(f"{path}: version {base + 1} was committed by another writer")
     finally:
         fs.delete(claim, False)
-    for old in committed_versions(spark, path)[:-KEEP_VERSIONS]:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(path, old)), True)
+    versions = committed_versions(spark, path)
+    if dropped := versions[:-KEEP_VERSIONS]:
+        from ledgerflow.sources import partitioned
+
+        partitioned.retire(spark, path, dropped, versions[-KEEP_VERSIONS:])
+        for old in dropped:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(path, old)), True)
     return target
 
 
@@ -193,13 +229,13 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame,
     target, base = read_version_or_empty(spark, path, source.schema)
     if materialise_source:
         source = materialise(source)
-    if base and source.isEmpty():
-        written = version_path(path, base)
-    else:
-        written = write_snapshot(upsert(target, source, keys), path, partition_by, base)
-    if materialise_source:
-        discard(source)
-    return written
+    try:
+        if base and source.isEmpty():
+            return version_path(path, base)
+        return write_snapshot(upsert(target, source, keys), path, partition_by, base)
+    finally:
+        if materialise_source:
+            discard(source)
 
 
 def delete_from_table(spark: SparkSession, path: str, keys_df: DataFrame,

@@ -10,7 +10,9 @@ backlog.  Each micro-batch is merged into the bronze table in
 tombstones, deletes; a change replaces a row only if it is newer
 (``changes.merge_newest``).  So the stored state depends on the changes alone:
 not on how they were cut into batches, on the order of files, or on a batch
-being replayed after a failure.  ``read_bronze`` gives the live rows.
+being replayed after a failure.  A batch rewrites only the key buckets it
+touches, and its number is committed with the version, so a replay writes
+nothing.  ``read_bronze`` gives the live rows.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerflow import config as C
 from ledgerflow.operators.changes import live_rows, merge_newest, prepare_changes
 from ledgerflow.session import durable_base
+from ledgerflow.sources.partitioned import bucketed, merge_buckets, table_state
 from ledgerflow.sources.tables import (discard, materialise, read_if_exists, read_table,
                                        read_version_or_empty, write_snapshot)
 
@@ -47,19 +50,34 @@ def default_checkpoint(spark: SparkSession, source_path: str, target_path: str)
 
 def merge_batch(spark: SparkSession, batch: DataFrame, target_path: str,
                 spec: C.ChangeFeedSpec, pseudonymise_columns: Sequence[str] = (),
-                secret: Optional[str] = None,
-                partition_by: Optional[Sequence[str]] = None) -> Optional[str]:
+                secret: Optional[str] = None, partition_by: Optional[Sequence[str]] = None,
+                buckets: int = 64, epoch: Optional[tuple[str, int]] = None) -> Optional[str]:
     """Merge one batch of raw changes into the bronze table; returns the new
-    snapshot directory (``None`` for an empty batch)."""
+    version's folder (``None`` for an empty batch, or one merged before).
+
+    The table lies in ``buckets`` folders by a hash of the key, and only the
+    buckets of the batch are read and rewritten.  ``epoch`` (stream id, batch
+    number) is recorded with the version in the same commit: a batch that is
+    replayed after it was committed is skipped.  ``partition_by`` keeps a table
+    in folders of these columns instead, rewritten as a whole.
+    """
+    done = table_state(spark, target_path).get("epochs", {})
+    if epoch is not None and done.get(epoch[0], -1) >= epoch[1]:
+        return None
     if batch.isEmpty():
         return None
-    # The de-duplicated batch is read twice by the merge (key set, compared
-    # rows): compute it once into the shared folder.
+    # The de-duplicated batch is read several times by the merge (its buckets,
+    # its keys, the compared rows): compute it once into the shared folder.
     latest = materialise(prepare_changes(batch, spec, pseudonymise_columns, secret, drop_sequence=False))
-    target, base = read_version_or_empty(spark, target_path, latest.schema)
-    written = write_snapshot(merge_newest(target, latest, spec), target_path, partition_by, base)
-    discard(latest)
-    return written
+    try:
+        if partition_by:
+            target, base = read_version_or_empty(spark, target_path, latest.schema)
+            return write_snapshot(merge_newest(target, latest, spec), target_path, partition_by, base)
+        state = {"epochs": {**done, epoch[0]: epoch[1]}} if epoch else None
+        return merge_buckets(spark, target_path, latest, spec.keys, bucketed(spec.keys, buckets),
+                             lambda old, new: merge_newest(old, new, spec), state)
+    finally:
+        discard(latest)
 
 
 def ingest_available_now(spark: SparkSession, source_path: str, schema: T.StructType,
@@ -68,7 +86,8 @@ def ingest_available_now(spark: SparkSession, source_path: str, schema: T.Struct
                          pseudonymise_columns: Sequence[str] = (),
                          secret: Optional[str] = None,
                          partition_by: Optional[Sequence[str]] = None,
-                         max_files_per_trigger: Optional[int] = None) -> Optional[StreamingQuery]:
+                         max_files_per_trigger: Optional[int] = None,
+                         buckets: int = 64) -> Optional[StreamingQuery]:
     """Merge every change file not seen before into the bronze table, then stop.
     A source path that does not exist is no data (``None``).
 
@@ -86,8 +105,10 @@ def ingest_available_now(spark: SparkSession, source_path: str, schema: T.Struct
     stream = reader.parquet(source_path)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        merge_batch(batch.sparkSession, batch, target_path, spec,
-                    pseudonymise_columns, secret, partition_by)
+        # the id of the stream that the checkpoint keeps, not of this run
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        merge_batch(batch.sparkSession, batch, target_path, spec, pseudonymise_columns, secret, partition_by,
+                    buckets, (stream_id, epoch_id) if stream_id else None)
 
     query = (stream.writeStream.foreachBatch(on_batch)
              .option("checkpointLocation", checkpoint)

@@ -17,7 +17,7 @@ AS_OF = "2024-01-31"
 def test_silver_and_gold_jobs(spark, scratch):
     fx = Fixtures(spark, SF_SMALL)
     tables = jobs.Tables(silver=os.path.join(scratch, "silver"), gold=os.path.join(scratch, "gold"),
-                         reports=os.path.join(scratch, "reports"))
+                         reports=os.path.join(scratch, "reports"), unit="month")
     region = F.col("country")
     common = dict(operations_spec=FX_OPERATIONS, concepts_spec=FX_CONCEPTS, map_spec=FX_MAP, region=region)
 
