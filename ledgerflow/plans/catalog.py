@@ -7,6 +7,7 @@ tables.  ``ledgerflow.plans.oracle`` holds the matching DuckDB SQL.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,11 @@ from ledgerflow.operators import changes, ledger as L, promote
 from ledgerflow.operators.conform import (active_companies, conform_clients,
                                           conform_transactions, union_regions)
 from ledgerflow.operators.reports import unmapped_invoices
-from ledgerflow.plans import silver
+from ledgerflow.plans import jobs, silver
+from ledgerflow.session import shared_base
+from ledgerflow.sources import partitioned
+from ledgerflow.sources.tables import discard, materialise, read_table
+from ledgerflow.streaming.ingest import merge_batch, read_bronze
 from ledgerflow.sources.fixtures import (FX_CDC, FX_CLIENTS, FX_CONCEPTS, FX_MAP,
                                          FX_OPERATIONS, Fixtures)
 
@@ -427,3 +432,93 @@ def history_since_text(spark, sf_dir):
     rows = Fixtures.of(spark, sf_dir).view("fx_text_operations")
     return promote.history_since(rows, "inserted", CLIENT_HISTORY_START).withColumn(
         "inserted", F.col("inserted").cast("timestamp_ntz"))
+
+
+# --- tables -----------------------------------------------------------------
+# These write tables in the shared folder and read them back.
+
+def _folder(spark, name: str) -> str:
+    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_DATED = partitioned.dated(C.INSERT_DATE, "month")
+
+
+def _restamped_table(spark, fx: Fixtures) -> str:
+    """The ledger as a table in monthly folders, then its reprocessed entries
+    merged into the folders that hold them (and that they move to)."""
+    path = _folder(spark, "ledger")
+    ledger = materialise(_ledger(fx))
+    partitioned.upsert_partitions(spark, path, ledger, C.LEDGER_KEY, _DATED)
+    again = materialise(L.reprocess_candidates(ledger, _unmapped_v1(fx), AS_OF))
+    partitioned.upsert_partitions(spark, path, again, C.LEDGER_KEY, _DATED)
+    for frame in (ledger, again):
+        discard(frame)
+    return path
+
+
+@query
+def upsert_touched_partitions(spark, sf_dir):
+    """Reprocessed entries merged into a stored ledger; only folders with rows
+    of their keys are rewritten, and the source keys are checked."""
+    return read_table(spark, _restamped_table(spark, Fixtures.of(spark, sf_dir)))
+
+
+@query
+def delete_touched_partitions(spark, sf_dir):
+    """Unmapped rows that the ledger now holds, deleted from a stored table;
+    the doomed keys' range and Bloom filter skip rows in the scan."""
+    fx = Fixtures.of(spark, sf_dir)
+    path, old = _folder(spark, "unmapped"), materialise(_unmapped_v1(fx))
+    partitioned.upsert_partitions(spark, path, old, C.UNMAPPED_KEY, _DATED)
+    gone = materialise(L.matching_rows(old, _ledger(fx)))
+    partitioned.delete_from_partitions(spark, path, gone, C.UNMAPPED_KEY, _DATED)
+    for frame in (old, gone):
+        discard(frame)
+    return read_table(spark, path)
+
+
+@query
+def merge_key_buckets(spark, sf_dir):
+    """The versioned feed merged batch by batch, the newest changes first, into
+    a bronze table in key buckets."""
+    feed, path = Fixtures.of(spark, sf_dir).view("fx_cdc_versions"), _folder(spark, "bronze")
+    for n in (1, 2, 3):
+        merge_batch(spark, feed.where(F.col("batch") == n).drop("batch"), path, FX_CDC, buckets=16, epoch=("feed", n))
+    merge_batch(spark, feed.where("batch = 2").drop("batch"), path, FX_CDC, buckets=16, epoch=("feed", 2))     # replayed: skipped
+    return read_bronze(spark, path, FX_CDC)
+
+
+@query
+def since_yesterday_pruned(spark, sf_dir):
+    """Yesterday's rows of a stored ledger, restamped ones among them; folders
+    of earlier months are not read."""
+    table = partitioned.read_with_layout(spark, _restamped_table(spark, Fixtures.of(spark, sf_dir)))
+    return promote.since(table, C.INSERT_DATE, AS_OF)
+
+
+@query
+def incremental_since_pruned(spark, sf_dir):
+    fx = Fixtures.of(spark, sf_dir)
+    table = partitioned.read_with_layout(spark, _restamped_table(spark, fx))
+    return promote.newer_than(table, _gold_ledger(fx), C.INSERT_DATE)
+
+
+@query
+def history_transactions_pruned(spark, sf_dir):
+    table = partitioned.read_with_layout(spark, _restamped_table(spark, Fixtures.of(spark, sf_dir)))
+    return promote.history_since(table, C.INSERT_DATE)
+
+
+@query
+def incremental_ledger(spark, sf_dir):
+    """The ledger job twice: transactions inserted before the cut under the old
+    mapping, then all under the new one.  The second run posts only rows
+    inserted since and rows of codes whose mapping changed."""
+    fx, base = Fixtures.of(spark, sf_dir), _folder(spark, "jobs")
+    tables = jobs.Tables(f"{base}/silver", f"{base}/gold", f"{base}/reports", unit="month")
+    specs = {"operations_spec": FX_OPERATIONS, "concepts_spec": FX_CONCEPTS, "map_spec": FX_MAP, "region": F.col("country")}
+    early = [df.where(F.col("insert_date") < F.lit(GOLD_TX_BEFORE).cast("timestamp_ntz")) for df in (fx.operations, fx.concepts)]
+    jobs.build_ledger(spark, *early, fx.concept_map_v1, tables, AS_OF, **specs)
+    jobs.build_ledger(spark, fx.operations, fx.concepts, fx.concept_map, tables, AS_OF, **specs)
+    return read_table(spark, tables.silver_table(jobs.TRANSACTIONS))

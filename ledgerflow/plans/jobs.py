@@ -107,9 +107,11 @@ def load_sheet(spark: SparkSession, csv_path: str, target_path: str, as_of: AsOf
 # --- silver -----------------------------------------------------------------
 
 def _size(spark: SparkSession, *inputs: Sources) -> None:
-    """Raise the session's shuffle partitions to what the inputs need."""
+    """Raise the session's shuffle partitions to what the inputs need (inputs
+    whose size the planner does not know count nothing)."""
     frames = [f for x in inputs for f in (x.values() if isinstance(x, Mapping) else [x])]
-    size_shuffle_partitions(spark, sum(estimated_bytes(f) for f in frames))
+    unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(1 << 62)))
+    size_shuffle_partitions(spark, sum(n for n in map(estimated_bytes, frames) if n < min(unknown, 1 << 60)))
 
 
 def build_active_clients(spark: SparkSession, companies: Sources, tables: Tables,

@@ -127,6 +127,7 @@ SELECT {_TX_COLS}, amount_c AS amount_d, amount_d AS amount_c, year, month, day
     "o_sheet_latest_concat": _latest_map("fx_sheet_history", _CAT),
     **_ledger_steps("", "o_map"),
     **_ledger_steps("_concat", "o_map_concat"),
+    **_ledger_steps("_v1", "o_map_v1"),
     **_unmapped_steps("o_unmapped", "o_map"),
     **_unmapped_steps("o_unmapped_v1", "o_map_v1"),
     "o_classified": """
@@ -150,6 +151,11 @@ SELECT {_TX_COLS.replace('insert_date', _YESTERDAY_TS + " AS insert_date")},
 FROM {{o_ledger}} l
 WHERE EXISTS (SELECT 1 FROM {{o_unmapped_v1}} u WHERE u.uuid = l.uuid AND u.invoice = l.invoice)
   AND l.date > TIMESTAMP '2023-01-01 00:00:00'""",
+    "o_restamped_ledger": """
+SELECT * FROM {o_ledger} t
+WHERE NOT EXISTS (SELECT 1 FROM {o_reprocessed} s WHERE s.uuid = t.uuid AND s.account_id = t.account_id)
+UNION ALL
+SELECT * FROM {o_reprocessed}""",
     "o_invoices": f"""
 SELECT DISTINCT invoice, type, substring(id_client, 1, 2) AS country, normal_correctora
 FROM (SELECT *, 'Normal' AS normal_correctora FROM {{o_unmapped}} WHERE amount_d >= 0 OR amount_c >= 0
@@ -299,6 +305,24 @@ WHERE TRY_CAST(inserted AS TIMESTAMP) >= TIMESTAMP '{Q.CLIENT_HISTORY_START}'"""
 SELECT * FROM {o_ledger} WHERE insert_date >= TIMESTAMP '2023-01-01 00:00:00.000'""",
 }
 
+FINAL |= {
+    "upsert_touched_partitions": "SELECT * FROM {o_restamped_ledger}",
+    "delete_touched_partitions": FINAL["reprocess_delete"],
+    "merge_key_buckets": FINAL["apply_changes_out_of_order"],
+    "since_yesterday_pruned": f"""
+SELECT {_TX_COLS}, normal_correctora, amount_d, amount_c, account_id FROM {{o_restamped_ledger}}
+WHERE insert_date >= DATE '{Q.AS_OF}' - INTERVAL 1 DAY""",
+    "incremental_since_pruned": """
+SELECT * FROM {o_restamped_ledger} WHERE insert_date > (SELECT max(insert_date) FROM {o_gold_ledger})""",
+    "history_transactions_pruned": "SELECT * FROM {o_restamped_ledger} WHERE insert_date >= TIMESTAMP '2023-01-01 00:00:00.000'",
+    "incremental_ledger": f"""
+SELECT * FROM {{o_ledger_v1}} t
+WHERE insert_date < TIMESTAMP '{Q.GOLD_TX_BEFORE}'
+  AND NOT EXISTS (SELECT 1 FROM {{o_ledger}} s WHERE s.uuid = t.uuid AND s.account_id = t.account_id)
+UNION ALL
+SELECT * FROM {{o_ledger}}""",
+}
+
 
 def build(final: str) -> str:
     """One DuckDB statement: the CTEs ``final`` needs, in dependency order."""
