@@ -22,10 +22,12 @@ closing marks with no white space after them, and every character is cut and
 hashed as a word of its own; ``MIN_WORDS`` counts two such characters as one
 word, so that a name of some 20 characters is no run.
 
-Work: one scan writes (hash, id, place) once per distinct run and document; a
-minimum per hash, with map-side combining, finds first occurrences; a join on
+Work: one scan writes (hash, id, place) of every run, marked if the same run
+came before in the text; a minimum per hash, with map-side combining, finds
+first occurrences; a join on
 the hash (no aggregation above it, so adaptive execution splits a hot run)
-gives the places to remove; one join on the id brings them to the texts.
+gives the places to remove, and one join on the id brings them to the texts.
+Only texts that lose something are cut again.
 
 Defined results: null text stays null and counts as empty; rows sharing a
 doc_id are one document (what repeats between them stays, what they repeat
@@ -105,14 +107,19 @@ def sentences(text: str) -> list[str]:
     return out
 
 
-def runs(parts: list[str], run: int = RUN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, stop) of the run that begins at every sentence, as far as
-    the text has enough sentences and words after it."""
+def spans(parts: list[str], run: int = RUN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+    """(start, stop) of the run that begins at every sentence, as far as the
+    text has enough sentences and words after it; and the words."""
     plain, halves = zip(*(_words(p.lower()) for p in parts)) if parts else ((), ())
     total = np.concatenate(([0], np.cumsum(halves))).astype(np.int64)
     starts = np.arange(max(0, len(parts) - run + 1))
     stops = np.maximum(starts + run, np.searchsorted(total, total[starts] + 2 * min_words))
-    starts, stops = starts[stops <= len(parts)], stops[stops <= len(parts)]
+    return starts[stops <= len(parts)], stops[stops <= len(parts)], plain
+
+
+def runs(parts: list[str], run: int = RUN, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, stop) of every run of ``spans``."""
+    starts, stops, plain = spans(parts, run, min_words)
     joined = [" ".join(w) for w in plain]
     hashed = xxhash.xxh64_intdigest
     codes = np.fromiter((hashed(" ".join(joined[i:j]).encode("utf-8", "surrogatepass")) for i, j in zip(starts.tolist(), stops.tolist())),
@@ -121,21 +128,14 @@ def runs(parts: list[str], run: int = RUN, min_words: int = MIN_WORDS) -> tuple[
 
 
 def _remainder(text: str | None, removed: list[int] | None, run: int, min_words: int) -> str | None:
-    """The text without the runs at ``removed`` and without its own repeats."""
-    if text is None:
-        return None
-    parts = sentences(text)
-    codes, starts, stops = runs(parts, run, min_words)
-    first = np.zeros(len(codes), dtype=bool)
-    first[np.unique(codes, return_index=True)[1]] = True
-    gone = set(starts[~first].tolist())
-    if removed is not None:
-        gone.update(removed)
-    if not gone:
+    """The text without the runs that begin at the sentences ``removed``."""
+    if text is None or removed is None:
         return text
+    parts = sentences(text)
+    starts, stops, _ = spans(parts, run, min_words)
     covered = np.zeros(len(parts), dtype=bool)
     end = dict(zip(starts.tolist(), stops.tolist()))
-    for at in gone:
+    for at in removed:
         covered[at:end.get(at, at)] = True
     return "".join(p for p, c in zip(parts, covered) if not c)
 
@@ -146,28 +146,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id_type = docs.schema[id_col].dataType.simpleString()
     mark = F.pmod(F.coalesce(F.xxhash64(text_col), F.lit(0)), F.lit(1 << 31))
 
-    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def places_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, rows, places = [], [], []
+            hashes, rows, places, again = [], [], [], []
             for i, (text, own) in enumerate(zip(batch.column("text").to_pylist(), batch.column("mark").to_pylist())):
                 if not text:
                     continue
                 codes, starts, _ = runs(sentences(text), run, min_words)
-                codes, at = np.unique(codes, return_index=True)
+                repeat = np.ones(len(codes), dtype=bool)
+                repeat[np.unique(codes, return_index=True)[1]] = False
                 hashes.append(codes)
-                places.append((own << 32) + starts[at])
+                places.append((own << 32) + starts)
                 rows.append(np.full(len(codes), i))
+                again.append(repeat)
             if hashes:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(hashes)), batch.column("id").take(pa.array(np.concatenate(rows))),
-                     pa.array(np.concatenate(places))], names=["h", "id", "place"])
+                     pa.array(np.concatenate(places)), pa.array(np.concatenate(again))], names=["h", "id", "place", "again"])
 
     places = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), mark.alias("mark"))
-                   .mapInArrow(spans, f"h long, id {id_type}, place long"), "sentence-runs")
-    firsts = (places.groupBy("h").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+                   .mapInArrow(places_of, f"h long, id {id_type}, place long, again boolean"), "sentence-runs")
+    distinct = places.where("not again")
+    firsts = (distinct.groupBy("h").agg(F.min("id").alias("first"), F.count("*").alias("n"))
               .where("n > 1 and first is not null").select(F.col("h").alias("rh"), "first"))
-    repeats = (places.join(firsts, F.col("h") == F.col("rh"))
+    repeats = (distinct.join(firsts, F.col("h") == F.col("rh"))
                .where(F.col("id").isNull() | (F.col("id") != F.col("first"))).select("id", "place"))
+    repeats = repeats.unionByName(places.where("again").select("id", "place"))
     names = docs.columns
     rid, rmark, at, own = (fresh(n, names) for n in ("removed_id", "removed_mark", "removed_at", "own_mark"))
     removed = (repeats.groupBy(F.col("id").alias(rid), F.shiftright("place", 32).alias(rmark))
@@ -179,4 +183,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     marked = docs.withColumn(own, mark)
     joined = marked.join(removed, F.col(id_col).eqNullSafe(F.col(rid)) & (F.col(own) == F.col(rmark)), "left")
-    return joined.select(*[remainder(F.col(c), F.col(at)).alias(c) if c == text_col else F.col(c) for c in names])
+    # texts with nothing to remove do not pass through Python again
+    cut = F.when(F.col(at).isNull(), F.col(text_col)).otherwise(remainder(F.when(F.col(at).isNotNull(), F.col(text_col)), F.col(at)))
+    return joined.select(*[cut.alias(c) if c == text_col else F.col(c) for c in names])
