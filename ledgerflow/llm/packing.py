@@ -66,6 +66,10 @@ class Packer:
         size = len(ids) - at
         if not size:
             return
+        if at:
+            ids, start = ids[at:].copy(), at             # the filled windows' ids need not be held
+        else:
+            start = 0
         level = self.best_level(size)
         if level:
             pieces = self.open[level].pop()
@@ -73,7 +77,7 @@ class Packer:
             self.n_open -= 1
         else:
             pieces = []
-        pieces.append((doc, at, ids[at:]))
+        pieces.append((doc, start, ids))
         if level + size == self.window:
             self.done.append(pieces)
         else:

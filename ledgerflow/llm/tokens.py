@@ -16,10 +16,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words that an encoder keeps; when full, it starts anew (memory bound).
-CACHE_WORDS = 1_000_000
-#: Characters encoded at once (memory bound of a batch).
-STEP_BYTES = 8_000_000
+#: Words that an encoder keeps (some 75 MB); when full, it starts anew.
+CACHE_WORDS = 250_000
+#: Bytes of text encoded at once (memory bound of a batch).
+STEP_BYTES = 2_000_000
 _TAIL = ".,;:!?"
 
 
@@ -76,7 +76,8 @@ class WordEncoder:
         """A word as (stem, closing punctuation) where the tokenizer cuts there
         too, Latin stems in lower case as it would make them."""
         stem = word.rstrip(_TAIL)
-        if stem and stem[-1] < "ɐ" and (stem[-1].isalpha() or "0" <= stem[-1] <= "9") and "<|" not in word:
+        # (not after İ: its lower case ends in a mark, which joins the punctuation)
+        if stem and stem[-1] < "ɐ" and stem[-1] != "İ" and (stem[-1].isalpha() or "0" <= stem[-1] <= "9") and "<|" not in word:
             return (stem.lower() if max(stem) < "ɐ" and "İ" not in stem else stem), word[len(stem):]
         return word, ""
 
@@ -142,3 +143,4 @@ def encode_batches(batches: Iterator[pa.RecordBatch], text: str, path: str) -> I
             part = batch.slice(a, b - a)
             ids, offsets = enc.encode(part.column(text))
             yield part, ids, offsets
+        pa.default_memory_pool().release_unused()
