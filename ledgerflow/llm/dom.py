@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -12,7 +13,8 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^>]*)>", re.S)
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 # Fixed values of HTML: elements without end tags, raw-text elements, elements
-# that never show text, block elements, and what a start tag closes.
+# that never show text, block elements, those of running text, and what a start
+# tag closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
 FOREIGN = frozenset(("svg", "math"))     # these may be self-closing
@@ -21,6 +23,7 @@ HIDDEN = RAW | frozenset("head select option button object canvas datalist audio
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hgroup hr li main menu nav ol p pre section summary table caption tbody thead tfoot tr td th ul".split())
+FLOW = frozenset("p li dt dd h1 h2 h3 h4 h5 h6 blockquote pre td th caption figcaption summary address".split())
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "tbody": ({"tbody", "thead", "tfoot"}, {"table"}), "option": ({"option"}, {"select"})}
@@ -67,6 +70,8 @@ class Page:
         self.tag, self.parent, self.depth, self.attrs = ["html"], [-1], [0], [""]
         self.items: list[tuple[int, str | None]] = []
         self._stack = [0]
+        self._open_p = [0]              # p elements open in the scope of each open element
+        self._n_open: Counter[str] = Counter()
         self._parse(source)
 
     def _open(self, tag: str, attrs: str) -> None:
@@ -76,11 +81,15 @@ class Page:
         self.depth.append(self.depth[self._stack[-1]] + 1)
         self.attrs.append(attrs)
         self._stack.append(own)
+        self._open_p.append((0 if tag in _SCOPE else self._open_p[-1]) + (tag == "p"))
+        self._n_open[tag] += 1
 
     def _pop_to(self, place: int) -> None:
         if any(self.tag[n] in BLOCK for n in self._stack[place:]):
             self.items.append((self._stack[place], None))
-        del self._stack[place:]
+        for n in self._stack[place:]:
+            self._n_open[self.tag[n]] -= 1
+        del self._stack[place:], self._open_p[place:]
 
     def _close(self, names: set[str] | frozenset[str], bounds: set[str] | frozenset[str]) -> None:
         for place in range(len(self._stack) - 1, 0, -1):
@@ -121,7 +130,8 @@ class Page:
                 if tag in ("html", "body") and self._stack[0] == 0 and tag == "html":
                     self.attrs[0] += attrs
                     continue
-                self._close({"p"}, _SCOPE)
+                if self._open_p[-1]:
+                    self._close({"p"}, _SCOPE)
                 if tag in CLOSES:
                     self._close(*CLOSES[tag])
                 if tag == "body":
@@ -134,6 +144,8 @@ class Page:
             self._open(tag, attrs)
 
     def _end(self, tag: str) -> None:
+        if not self._n_open[tag]:
+            return
         for place in range(len(self._stack) - 1, 0, -1):
             own = self.tag[self._stack[place]]
             if own == tag:
@@ -145,8 +157,22 @@ class Page:
     # -- what the classifier sees -----------------------------------------------
 
     def nodes(self) -> np.ndarray:
-        """The classified elements: blocks, and others with a class, id or role."""
-        return np.array([i for i, (t, a) in enumerate(zip(self.tag, self.attrs)) if t in BLOCK or ("class" in a or "id" in a or "role" in a) and t not in HIDDEN], dtype=np.int64)
+        """The classified elements: blocks, and others with a class, id or role
+        that are no part of running text (a link or emphasis in a paragraph, or
+        beside text of its parent, belongs to that text)."""
+        beside = {i for i, text in self.items if text and text.strip()}
+        flow = [False] * len(self.tag)
+        out = []
+        for i, (t, a) in enumerate(zip(self.tag, self.attrs)):
+            p = self.parent[i]
+            if t in BLOCK:
+                flow[i] = t in FLOW
+                out.append(i)
+                continue
+            flow[i] = flow[p] or p in beside
+            if not flow[i] and t not in HIDDEN and any(m[1].lower() in ("class", "id", "role") for m in _ATTR.finditer(a)):
+                out.append(i)
+        return np.array(out, dtype=np.int64)
 
     def hidden(self) -> np.ndarray:
         """True for elements that show no text."""
@@ -215,19 +241,26 @@ class Page:
             if self.tag[p] in _IN:
                 inside[i, _IN.index(self.tag[p])] = True
             shut[i] |= shut[p]
+        place, alike, largest = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64), np.zeros(n)
+        for around in children:
+            kinds = Counter(self.tag[x] for x in around)
+            most = max((chars[x] for x in around), default=0)
+            for k, x in enumerate(around):
+                place[x], alike[x], largest[x] = k, kinds[self.tag[x]], most
+        alike[0], largest[0] = 1, chars[0]
         out = np.zeros((len(nodes), len(FEATURES)), dtype=np.float32)
         total = max(run, 1)
         for r, i in enumerate(nodes.tolist()):
             p = self.parent[i]
             around = children[p] if p >= 0 else [i]
-            at = around.index(i) if len(around) < 200 else 100
+            at = int(place[i])
             c = chars[i]
             out[r, :len(NUMERIC)] = (
                 min(self.depth[i], 20), np.log1p(c), c / total, links[i] / max(c, 1), np.log1p(words[i]), c / max(blocks[i], 1),
                 100 * tags[i] / max(c, 1), ps[i] / max(tags[i], 1), lis[i] / max(tags[i], 1), stops[i] / max(words[i], 1), min(at, 50),
-                min(len(around), 50), c / max(chars[p], 1) if p >= 0 else 1, sum(self.tag[x] == self.tag[i] for x in around[:50]) / min(len(around), 50),
+                min(len(around), 50), c / max(chars[p], 1) if p >= 0 else 1, alike[i] / len(around),
                 at > 0 and self.tag[around[at - 1]] in ("h1", "h2", "h3"), min(first[i], total) / total, last[i] / total,
-                c / max(max(chars[x] for x in around[:50]), 1), own_chars[i] / max(c, 1), legal[i])
+                c / max(largest[i], 1), own_chars[i] / max(c, 1), legal[i])
             tag = _TAG_OF.get(self.tag[i], self.tag[i])
             out[r, len(NUMERIC) + _TAG_NO.get(tag, _TAG_NO["div" if self.tag[i] in BLOCK else "inline"])] = 1
             base = len(NUMERIC) + len(TAGS)
