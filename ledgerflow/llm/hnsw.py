@@ -288,8 +288,11 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_
                 kept = np.arange(len(rq)) - np.searchsorted(rq, rq) < k
                 yield pa.RecordBatch.from_arrays([pa.array(qids[rq[kept]]), pa.array(ri[kept]), pa.array(rs[kept])], names=["query_id", "vec_id", "score"])
 
+    # every shard is in one slot and every block of queries goes to all slots
     n = max(1, shards.count())
-    met = (shards.repartition(n).crossJoin(asked).where("dim = qdim")
+    slots = shards.withColumn("slot", F.pmod(F.xxhash64("shard"), F.lit(n))).repartition(n, "slot")
+    everywhere = asked.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("qslot"))
+    met = (slots.hint("merge").join(everywhere, F.col("slot") == F.col("qslot")).where("dim = qdim")
            .mapInArrow(meet, "query_id long, vec_id long, score double")
            .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
