@@ -137,8 +137,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     total = known.count()
     share = min(1.0, train_rows / total) if total else 1.0
     order = F.xxhash64(F.col(id_col), F.lit(11))
-    # as many ids as the bound, by hash: a share of the hash range, then exactly
-    picked = known.where(F.pmod(order, F.lit(1_000_000)) < int(share * 1_050_000) + 1).limit(train_rows)
+    # as many ids as the bound, by hash: a share of the hash range, then exactly (the same in every run)
+    low = F.pmod(order, F.lit(1_000_000))
+    picked = known.where(low < int(share * 1_050_000) + 1).orderBy(low, id_col).limit(train_rows)
     sample = (docs.select(id_col, text_col).join(F.broadcast(picked), id_col)
               .select(order.alias("o"), F.col(text_col).alias("t"), "y"))
 
