@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow import config as C
 from ledgerflow.functions.dates import with_date_parts, with_load_date, yesterday
-from ledgerflow.functions.privacy import pseudonymise
+from ledgerflow.functions.privacy import pseudonymise, pseudonymise_keyed
 from ledgerflow.operators import changes, ledger as L, promote
 from ledgerflow.operators.conform import (active_companies, conform_clients,
                                           conform_transactions, union_regions)
@@ -23,7 +23,7 @@ from ledgerflow.operators.reports import unmapped_invoices
 from ledgerflow.plans import jobs, silver
 from ledgerflow.session import shared_base
 from ledgerflow.sources import partitioned
-from ledgerflow.sources.tables import discard, materialise, read_table
+from ledgerflow.sources.tables import BAD_LINE, discard, materialise, read_landing_split, read_table
 from ledgerflow.streaming.ingest import merge_batch, read_bronze
 from ledgerflow.sources.fixtures import (FX_CDC, FX_CLIENTS, FX_CONCEPTS, FX_MAP,
                                          FX_OPERATIONS, Fixtures)
@@ -124,6 +124,13 @@ def pseudonymise_q(spark, sf_dir):
     return pseudonymise(Fixtures.of(spark, sf_dir).companies, ["legal_name", "tax_id"], SECRET)
 
 
+@query
+def pseudonymise_keyed_q(spark, sf_dir):
+    """Keyed pseudonyms (HMAC-SHA256) that name their key's version."""
+    return pseudonymise_keyed(Fixtures.of(spark, sf_dir).companies, ["legal_name", "tax_id", "customer_id"],
+                              {"k1": "retired", "k2": SECRET}, "k2")
+
+
 @query
 def ingest_changes(spark, sf_dir):
     """Bronze CDC job on one batch: fill, newest per key, pseudonymise,
@@ -522,3 +529,19 @@ def incremental_ledger(spark, sf_dir):
     jobs.build_ledger(spark, *early, fx.concept_map_v1, tables, AS_OF, **specs)
     jobs.build_ledger(spark, fx.operations, fx.concepts, fx.concept_map, tables, AS_OF, **specs)
     return read_table(spark, tables.silver_table(jobs.TRANSACTIONS))
+
+
+@query
+def quarantine_landing(spark, sf_dir):
+    """Landing lines made of the parts table, some with a field too many, some
+    with one too few, some with a size that is no number: good rows and, as
+    they stand, bad lines."""
+    path, size = _folder(spark, "landing"), F.col("p_size").cast("string")
+    fields = [F.col("p_partkey").cast("string"), F.col("p_brand"), size]
+    kind = F.col("p_size") % 10
+    line = (F.when(kind == 1, F.concat_ws(",", *fields, F.lit("more"))).when(kind == 2, F.concat_ws(",", *fields[:2]))
+            .when(kind == 3, F.concat_ws(",", *fields[:2], F.concat(F.lit("n"), size))).otherwise(F.concat_ws(",", *fields)))
+    spark.read.parquet(f"{sf_dir}/part.parquet").select(line.alias("value")).write.text(path)
+    schema = spark.createDataFrame([], "partkey long, brand string, size int").schema
+    good, bad = read_landing_split(spark, path, schema, header=False)
+    return good.unionByName(bad.select(F.col(BAD_LINE).alias("bad_line")), allowMissingColumns=True)

@@ -30,8 +30,8 @@ from ledgerflow.session import size_shuffle_partitions
 from ledgerflow.sources.partitioned import (Layout, dated, delete_from_partitions, read_with_layout, rows_of_keys,
                                             table_state, upsert_partitions)
 from ledgerflow.sources.tables import (committed_versions, discard, latest_version, materialise, read_at,
-                                       read_if_exists, read_landing_csv, read_table, upsert_table,
-                                       version_path, write_snapshot)
+                                       read_if_exists, read_landing_csv, read_landing_split, read_table,
+                                       read_version_or_empty, upsert_table, version_path, write_snapshot)
 from ledgerflow.streaming.ingest import ingest_available_now, merge_batch
 
 Sources = Union[DataFrame, Mapping[str, DataFrame]]
@@ -89,15 +89,22 @@ def ingest_changes_batch(spark: SparkSession, changes: DataFrame, target_path: s
 
 
 def load_sheet(spark: SparkSession, csv_path: str, target_path: str, as_of: AsOf = None,
-               schema: Optional[T.StructType] = None) -> bool:
+               schema: Optional[T.StructType] = None, quarantine: Optional[str] = None) -> bool:
     """PIP-2: CSV landing file to a full-load table stamped with the load date;
     a missing or empty file is no data.
 
-    Each load is a new snapshot version (partitioned by the load date parts),
+    With ``quarantine`` (a table path) malformed lines are kept there, stamped
+    with the load date, and only whole rows are loaded.  Each load is a new snapshot version (partitioned by the load date parts),
     so a failed load never leaves the table missing or half written."""
     if read_if_exists(spark, csv_path, "text") is None:
         return False
-    df = read_landing_csv(spark, csv_path, schema)
+    if quarantine is None:
+        df = read_landing_csv(spark, csv_path, schema)
+    else:
+        df, bad = read_landing_split(spark, csv_path, schema)
+        if not bad.isEmpty():
+            kept, base = read_version_or_empty(spark, quarantine, with_load_date(bad, as_of).schema)
+            write_snapshot(kept.unionByName(with_load_date(bad, as_of)), quarantine, base=base)
     if df.isEmpty():
         return False
     write_snapshot(with_load_date(df, as_of), target_path, partition_by=C.DATE_PARTS)

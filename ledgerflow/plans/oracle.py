@@ -305,7 +305,25 @@ WHERE TRY_CAST(inserted AS TIMESTAMP) >= TIMESTAMP '{Q.CLIENT_HISTORY_START}'"""
 SELECT * FROM {o_ledger} WHERE insert_date >= TIMESTAMP '2023-01-01 00:00:00.000'""",
 }
 
+_BLOCK = Q.SECRET.encode().ljust(64, b"\0")
+_IPAD, _OPAD = (bytes(b ^ pad for b in _BLOCK).hex() for pad in (0x36, 0x5C))
+
+
+def _mac(text: str) -> str:
+    return f"'k2:' || sha256(unhex('{_OPAD}') || unhex(sha256(unhex('{_IPAD}') || encode({text}))))"
+
+
 FINAL |= {
+    "pseudonymise_keyed": f"""
+SELECT country, {_mac("CAST(customer_id AS VARCHAR)")} AS customer_id, contract_id, {_mac("coalesce(legal_name, '')")} AS legal_name,
+       {_mac("coalesce(tax_id, '')")} AS tax_id, status, start_operation
+FROM {{fx_companies}}""",
+    "quarantine_landing": """
+SELECT CASE WHEN p_size % 10 NOT IN (1, 2, 3) THEN p_partkey END AS partkey, CASE WHEN p_size % 10 NOT IN (1, 2, 3) THEN p_brand END AS brand,
+       CASE WHEN p_size % 10 NOT IN (1, 2, 3) THEN CAST(p_size AS INTEGER) END AS size,
+       CASE p_size % 10 WHEN 1 THEN p_partkey || ',' || p_brand || ',' || p_size || ',more' WHEN 2 THEN p_partkey || ',' || p_brand
+            WHEN 3 THEN p_partkey || ',' || p_brand || ',n' || p_size END AS bad_line
+FROM part""",
     "upsert_touched_partitions": "SELECT * FROM {o_restamped_ledger}",
     "delete_touched_partitions": FINAL["reprocess_delete"],
     "merge_key_buckets": FINAL["apply_changes_out_of_order"],

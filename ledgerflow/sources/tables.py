@@ -24,6 +24,7 @@ from typing import Optional, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow import config as C
@@ -265,6 +266,36 @@ def read_landing_csv(spark: SparkSession, path: str,
     return reader.csv(path)
 
 
+BAD_LINE = "_bad_line"
+
+
+def read_landing_split(spark: SparkSession, path: str, schema: Optional[T.StructType] = None,
+                       header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """CSV landing files as (good rows, bad lines): a line with too many or too
+    few fields, or with a value that is not of its column's type, goes to the
+    second frame as it stands (column ``_bad_line`` and the file's name) instead
+    of being cut, padded with nulls or dropped.
+
+    Without a ``schema`` every column of the header is text.  Both frames are
+    one scan each and parse whole lines (pruned columns would hide bad lines);
+    a quote within a quoted field is doubled.
+    """
+    if schema is None:
+        if not header:
+            raise ValueError("files without a header need a schema")
+        names = spark.read.option("header", True).csv(path).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    whole = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    lines = (spark.read.schema(whole).option("header", header).option("mode", "PERMISSIVE")
+             .option("escape", '"').option("columnNameOfCorruptRecord", BAD_LINE).csv(path))
+    # always true, but needs every field: a reader that prunes columns would not
+    # notice the faults of the others
+    read = F.length(F.concat_ws("", *[F.col(f"`{n}`").cast("string") for n in schema.names])) >= 0
+    lines = lines.select("*", F.col("_metadata.file_name").alias("_landing_file")).where(read)
+    bad = lines.where(F.col(BAD_LINE).isNotNull()).select(F.col("_landing_file").alias("file"), BAD_LINE)
+    return lines.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE, "_landing_file"), bad
+
+
 def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet",
                    schema: Optional[T.StructType] = None) -> Optional[DataFrame]:
     """Frame at ``path``, or ``None`` when the path does not exist.  Only a
