@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -124,9 +124,11 @@ class Packer:
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, id_col: str = "doc_id",
-         text_col: str = "text", with_ids: bool = True) -> DataFrame:
+         text_col: str = "text", with_ids: bool = True, memory: Mapping[str, int] | None = None) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens,
-    sequence_id, offset and, if asked for, ids (array of int)."""
+    sequence_id, offset and, if asked for, ids (array of int).  ``memory`` sets
+    the bounds of ``tokens.encode_batches``; the ids do not depend on them."""
+    bounds_of = dict(memory or {})
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = (f"`{id_col}` {id_type}, start long, length long, ids_crc32 long, doc_tokens long, "
               "sequence_id long, `offset` long" + (", ids array<int>" if with_ids else ""))
@@ -159,7 +161,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, i
 
         labels = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
         id_arrow = None
-        for part, ids, offsets in encode_batches(batches, text_col, tokenizer):
+        for part, ids, offsets in encode_batches(batches, text_col, tokenizer, **bounds_of):
             id_arrow = part.column(id_col).type
             for i, name in enumerate(part.column(id_col).to_pylist()):
                 own = np.append(ids[offsets[i]:offsets[i + 1]], np.uint32(end_id)).astype("<u4")

@@ -16,10 +16,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words that an encoder keeps (some 75 MB); when full, it starts anew.
-CACHE_WORDS = 250_000
+#: Words that an encoder keeps (some 285 MB); when full, it starts anew.
+CACHE_WORDS = 1_000_000
 #: Bytes of text encoded at once (memory bound of a batch).
-STEP_BYTES = 2_000_000
+STEP_BYTES = 8_000_000
+#: The same for jobs whose Python workers also serve other stages: some 75 MB
+#: of words and small steps, for about half as much more CPU time.
+SMALL = {"cache_words": 250_000, "step_bytes": 2_000_000}
 _TAIL = ".,;:!?"
 
 
@@ -44,6 +47,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.vocab_size = self.tokenizer.get_vocab_size()
+        self.cache_words = CACHE_WORDS
         self._reset()
 
     def _reset(self) -> None:
@@ -83,7 +87,7 @@ class WordEncoder:
 
     def _slots(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts = [self._parts(w) for w in words]
-        if len(self.slot) > CACHE_WORDS:
+        if len(self.slot) > self.cache_words:
             self._reset()
         missing = list(dict.fromkeys(x for pair in parts for x in pair if x not in self.slot))
         if missing:
@@ -129,15 +133,17 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def encode_batches(batches: Iterator[pa.RecordBatch], text: str, path: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, ids, offsets) for slices of at most ``STEP_BYTES`` of text (one
+def encode_batches(batches: Iterator[pa.RecordBatch], text: str, path: str, step_bytes: int = STEP_BYTES,
+                   cache_words: int = CACHE_WORDS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, ids, offsets) for slices of at most ``step_bytes`` of text (one
     longer text is a slice of its own)."""
     enc = encoder(path)
+    enc.cache_words = cache_words
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        step = (np.cumsum(sizes) // STEP_BYTES).astype(np.int64)
+        step = (np.cumsum(sizes) // step_bytes).astype(np.int64)
         cuts = [0, *(np.nonzero(np.diff(step))[0] + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             part = batch.slice(a, b - a)

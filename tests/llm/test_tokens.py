@@ -37,9 +37,9 @@ def test_turkish_and_random_texts(library):
     assert differing(library, texts) == []
 
 
-def test_a_full_cache_starts_anew(library, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+def test_a_full_cache_starts_anew(library):
     encoder, rng = tokens.WordEncoder(tokenizer_path()), random.Random(1)
+    encoder.cache_words = 50
     for _ in range(20):
         texts = [" ".join(f"word{rng.randrange(300)}" for _ in range(30))]
         ids, _ = encoder.encode(pa.array(texts))
