@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import packing, simhash, substring, toxicity
+from ledgerflow.llm import packing, simhash, substring, tokens, toxicity
 from ledgerflow.llm.common import stage, table
 from ledgerflow.llm.queries import tokenizer_path
 
@@ -33,7 +33,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing (operator 2): sequences of at most 4096 tokens."""
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), memory=tokens.SMALL)
 
 
 STAGES = [
