@@ -439,4 +439,4 @@ def test_pipeline_equals_brute_force(spark):
 
 
 def test_one_query_for_each_operator():
-    assert [int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES] == list(range(1, 14))
