@@ -2,22 +2,25 @@
 
 Equal vectors of a label are one node with a count.  The filters are the
 directions of random product codes: after a random rotation a vector is cut
-into two blocks; a direction takes one of ``code`` random unit vectors in
-each, ``code`` growing with the square root of the nodes.  A vector passes all
+into two blocks (three from ``THREE_BLOCKS`` nodes on); a direction takes one
+of ``code`` random unit vectors in each, so many that the directions grow in
+proportion to the nodes and buckets stay small.  A vector passes all
 filters whose direction it exceeds ``alpha`` with; ``list_decode`` finds them
 block by block, without trying them all.  ``alpha`` lets a random vector pass
 ``FILTERS`` filters of a code on average.  The number a vector passes varies,
-so ``ROTATIONS`` independent codes are used: measured on random pairs at
-cosine 0.98, one code misses 9 % of them, two 0.7 %, four fewer than 1 in
-10,000.
+so several independent codes are used (``ROTATIONS``): measured on random
+pairs at cosine 0.98, one code of two blocks misses 9 to 13 % of them, two
+about 1 %, four none of 1,000; of three blocks one misses 31 to 41 %, four 1 to
+2 %, eight none of 1,000 (for 262,145 and for a billion nodes).
 
 Nodes join on (label, filter); filters that only one node passes are dropped
 before any vector is moved, and candidates are verified by their cosine in
 double precision.  A pair that meets in several filters is verified and counted in
-the smallest one it shares, so counts add up without listing pairs.  A task sends
+the smallest one it shares, so counts add up without listing pairs; a row
+carries only the shared filters below its own, all that this needs.  A task sends
 on, for each node, its count and its root in a spanning forest.  A bucket
 larger than ``BUCKET`` nodes is cut into (block, block) tasks, all of which
-run; small buckets share tasks of about ``TASK_ROWS`` rows.
+run; small buckets share tasks of about ``TASK_BYTES``.
 
 Defined results: unusable vectors (null, zero, or with null or non-finite
 components) and rows without a label have no links and are components of
@@ -40,50 +43,57 @@ from .common import stage
 from .components import components, forest
 from .vectors import cosine, dtype_of, matrices, unit, usable
 
-BLOCKS = 2
-ROTATIONS = 4
+#: Independent codes, by blocks.
+ROTATIONS = {2: 4, 3: 8}
 FILTERS = 18
 BUCKET = 2048
-TASK_ROWS = 30_000
+TASK_BYTES = 16 << 20
+THREE_BLOCKS = 1 << 18
 #: Buckets up to this size are compared pair by pair, larger ones by blocks.
 SMALL = 24
 SEED = 8
 
 
-def code_size(nodes: int) -> int:
-    """Code vectors in a block: about sqrt(16 n), a power of two, 64 to 2048."""
-    return int(min(2048, max(64, 2 ** int(np.ceil(np.log2(max(1, 16 * nodes)) / 2)))))
+def code_size(nodes: int) -> tuple[int, int]:
+    """(blocks, code vectors in a block): about 16 directions a node."""
+    if nodes <= THREE_BLOCKS:
+        return 2, int(max(64, 2 ** int(np.ceil(np.log2(max(1, 16 * nodes)) / 2))))
+    return 3, int(np.ceil(np.cbrt(16 * nodes)))
 
 
 @lru_cache(maxsize=16)
-def _code(dim: int, code: int, rotation_no: int) -> tuple[np.ndarray, list[np.ndarray], list[slice], float]:
+def _code(dim: int, size: tuple[int, int], rotation_no: int) -> tuple[np.ndarray, list[np.ndarray], list[slice], float]:
     """Rotation, code vectors by block, the blocks, and alpha: the value that
     random vectors exceed in ``FILTERS`` directions on average."""
     rng = np.random.default_rng([SEED, dim, rotation_no])
     rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
-    cuts = np.linspace(0, dim, min(BLOCKS, dim) + 1).astype(int)
+    cuts = np.linspace(0, dim, min(size[0], dim) + 1).astype(int)
     blocks = [slice(a, b) for a, b in zip(cuts, cuts[1:])]
     codes = []
     for block in blocks:
-        c = rng.standard_normal((code, block.stop - block.start))
+        c = rng.standard_normal((size[1], block.stop - block.start))
         codes.append(c / np.linalg.norm(c, axis=1, keepdims=True) / np.sqrt(len(blocks)))
+
+    def top(values: np.ndarray) -> np.ndarray:
+        kept = min(len(values), 20 * FILTERS)
+        return np.partition(values, len(values) - kept)[len(values) - kept:]
+
     best, probes = [], unit(rng.standard_normal((32, dim))) @ rotation
     for probe in probes:
-        sums = np.zeros(1)
+        sums = np.zeros(1)   # the largest sums come from the largest parts
         for block, c in zip(blocks, codes):
-            sums = (sums[:, None] + c @ probe[block]).ravel()
-        top = min(len(sums), 20 * FILTERS)
-        best.append(np.partition(sums, len(sums) - top)[len(sums) - top:])
+            sums = top((sums[:, None] + top(c @ probe[block])).ravel())
+        best.append(sums)
     every = np.sort(np.concatenate(best))
     return rotation, codes, blocks, float(every[-min(len(every), FILTERS * len(probes))])
 
 
-def list_decode(x: np.ndarray, code: int) -> list[np.ndarray]:
+def list_decode(x: np.ndarray, size: tuple[int, int]) -> list[np.ndarray]:
     """For each unit vector, the sorted numbers of all filters that it exceeds
     alpha with (and, for each code, always that of the nearest direction)."""
     found: list[list[np.ndarray]] = [[] for _ in range(len(x))]
-    for number in range(ROTATIONS):
-        rotation, codes, blocks, alpha = _code(x.shape[1], code, number)
+    for number in range(ROTATIONS[size[0]]):
+        rotation, codes, blocks, alpha = _code(x.shape[1], size, number)
         turned = x @ rotation
         parts = [turned[:, block] @ c.T for block, c in zip(blocks, codes)]
         orders = [np.argsort(-p, axis=1) for p in parts]
@@ -98,12 +108,12 @@ def list_decode(x: np.ndarray, code: int) -> list[np.ndarray]:
                     counts[sums.argmax()] = 1
                 prefix = np.repeat(np.arange(len(sums)), counts)
                 place = np.arange(len(prefix)) - np.repeat(np.cumsum(counts) - counts, counts)
-                sums, numbers = sums[prefix] + ranked[place], numbers[prefix] * code + orders[k][i][place]
+                sums, numbers = sums[prefix] + ranked[place], numbers[prefix] * size[1] + orders[k][i][place]
             found[i].append(numbers)
-    return [np.sort(np.concatenate(f)).astype(np.int32) for f in found]
+    return [np.sort(np.concatenate(f)) for f in found]
 
 
-def _with_filters(nodes: DataFrame, code: int) -> DataFrame:
+def _with_filters(nodes: DataFrame, size: tuple[int, int]) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
@@ -112,33 +122,61 @@ def _with_filters(nodes: DataFrame, code: int) -> DataFrame:
                 lists: list = [None] * batch.num_rows
                 for rows, x in matrices(batch.column("vector")):
                     dims[rows] = x.shape[1]
-                    for r, found in zip(rows.tolist(), list_decode(unit(x), code)):
+                    for r, found in zip(rows.tolist(), list_decode(unit(x), size)):
                         lists[r] = found
-                yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(dims), pa.array(lists, pa.list_(pa.int32()))],
+                yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(dims), pa.array(lists, pa.list_(pa.int64()))],
                                                  names=batch.schema.names + ["dim", "filters"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema)
-    return nodes.mapInArrow(decode, f"{fields}, dim int, filters array<int>")
-
-
-def _shared_before(lists: np.ndarray, here: int) -> np.ndarray:
-    """Whether each two rows of one bucket share a filter smaller than
-    ``here``: products of membership matrices, a few thousand filters at a time."""
-    known, counts = np.unique(lists[(lists >= 0) & (lists < here)], return_counts=True)
-    known = known[counts > 1]
-    shared = np.zeros((len(lists), len(lists)), dtype=bool)
-    for at in range(0, len(known), 4096):
-        part = known[at:at + 4096]
-        place = np.minimum(np.searchsorted(part, lists), len(part) - 1)
-        row, column = np.nonzero(part[place] == lists)
-        member = np.zeros((len(lists), len(part)), dtype=np.float32)
-        member[row, place[row, column]] = 1.0
-        shared |= member @ member.T > 0
-    return shared
-
-
-def _pairs(bucket: np.ndarray, own: np.ndarray, same: np.ndarray, x: np.ndarray, u: np.ndarray, filters: np.ndarray,
-           here: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    return nodes.mapInArrow(decode, f"{fields}, dim int, filters array<long>")
+
+
+class _Lists:
+    """The smaller shared filters of each row, as one flat array."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        self.size = np.array([len(f) for f in lists], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.concatenate(lists).astype(np.int64)
+
+    def _of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``rows``, filter) of every entry of these rows."""
+        size = self.size[rows]
+        owner = np.repeat(np.arange(len(rows)), size)
+        within = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+        return owner, self.flat[self.start[rows][owner] + within]
+
+    def meet(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether row a[i] and row b[i] have a filter in common."""
+        found = np.zeros(len(a), dtype=bool)
+        for k in range(0, len(a), 2000):
+            (pa_, fa), (pb, fb) = self._of(a[k:k + 2000]), self._of(b[k:k + 2000])
+            names, place = np.unique(np.concatenate((fa, fb)), return_inverse=True)
+            keys = np.sort(np.concatenate((pa_, pb)) * max(1, len(names)) + place)
+            found[k + keys[1:][keys[1:] == keys[:-1]] // max(1, len(names))] = True
+        return found
+
+    def meet_all(self, start: int, end: int) -> np.ndarray:
+        """``meet`` of every two rows of a bucket: products of membership
+        matrices, a few thousand filters at a time."""
+        n = end - start
+        row, names = self._of(np.arange(start, end))
+        known, counts = np.unique(names, return_counts=True)
+        known = known[counts > 1]
+        shared = np.zeros((n, n), dtype=bool)
+        for at in range(0, len(known), 4096):
+            part = known[at:at + 4096]
+            place = np.minimum(np.searchsorted(part, names), len(part) - 1)
+            here = part[place] == names
+            member = np.zeros((n, len(part)), dtype=np.float32)
+            member[row[here], place[here]] = 1.0
+            for top in range(0, n, 256):
+                shared[top:top + 256] |= member[top:top + 256] @ member.T > 0
+        return shared
+
+
+def _pairs(bucket: np.ndarray, own: np.ndarray, same: np.ndarray, x: np.ndarray, u: np.ndarray, before: _Lists,
+           threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows that link and that their bucket owns (no smaller filter
     holds both), so every link is found in one bucket only and verified once.
     Rows are sorted by bucket; where ``same`` is False only pairs of different
@@ -160,13 +198,10 @@ def _pairs(bucket: np.ndarray, own: np.ndarray, same: np.ndarray, x: np.ndarray,
         b = a + step
         good = (same[a] | (own[a] != own[b])) & (np.einsum("nd,nd->n", u[a], u[b]) >= threshold - 1e-6)
         a, b = a[good], b[good]
-        for k in range(0, len(a), 2000):
-            p, q = a[k:k + 2000], b[k:k + 2000]
-            earlier = (filters[p] >= 0) & (filters[p] < here[p][:, None])
-            shared = ((filters[p][:, :, None] == filters[q][:, None, :]) & earlier[:, :, None]).any(axis=(1, 2))
-            yield from verified(p[~shared], q[~shared])
+        shared = before.meet(a, b)
+        yield from verified(a[~shared], b[~shared])
     for start, end in zip(starts[ends - starts > SMALL], ends[ends - starts > SMALL]):
-        shared = _shared_before(filters[start:end], int(here[start]))
+        shared = before.meet_all(start, end)
         for at in range(start, end, 256):
             to = min(end, at + 256)
             a, b = np.nonzero((u[at:to] @ u[at:end].T >= threshold - 1e-6) & ~shared[at - start:to - start, at - start:])
@@ -184,14 +219,10 @@ def _links_of_task(rows: pd.DataFrame, dtype: str, threshold: float) -> pd.DataF
         part = rows[rows["dim"] == dim]
         node, copies = part["node"].to_numpy(dtype=np.int64), part["copies"].to_numpy(dtype=np.int64)
         x = np.stack(part["vector"].to_list()).astype(dtype)
-        lists = part["filters"].to_list()
-        lengths = np.array([len(f) for f in lists])
-        padded = np.full((len(lists), int(lengths.max())), -1, dtype=np.int32)
-        padded[np.arange(padded.shape[1]) < lengths[:, None]] = np.concatenate(lists)
         ids, local = np.unique(node, return_inverse=True)
         counts, ta, tb, held = np.zeros(len(ids), dtype=np.int64), [], [], 0
         for a, b in _pairs(part["bucket"].to_numpy(), part["own"].to_numpy(), (part["i"] == part["j"]).to_numpy(), x, unit(x),
-                                  padded, part["filter"].to_numpy(), threshold):
+                           _Lists(part["before"].to_list()), threshold):
             counts += np.bincount(local[a], weights=copies[b], minlength=len(ids)).astype(np.int64)
             counts += np.bincount(local[b], weights=copies[a], minlength=len(ids)).astype(np.int64)
             ta.append(local[a])
@@ -222,16 +253,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     passed = nodes.select("node", "label", "dim", F.explode("filters").alias("filter"))
     keys = ["label", "dim", "filter"]
     met = stage(passed.groupBy(keys).agg(F.count("*").alias("size")).where("size > 1"), "cap-buckets")
-    n_tasks = max(1, -(-(met.agg(F.sum("size")).first()[0] or 0) // TASK_ROWS))
+    # a node's filters that another node passes too, in order
+    shared = (passed.join(met, keys).groupBy("node")
+              .agg(F.array_sort(F.collect_list(F.struct("filter", "size"))).alias("shared")))
+    rows_in = stage(nodes.join(shared.withColumnRenamed("node", "member"), F.col("node") == F.col("member"))
+                    .select("node", "copies", "vector", "label", "dim", "shared"), "cap-shared")
+    width = F.col("dim") * (4 if dtype == "<f4" else 8) + F.size("shared") * 4 + 64
+    n_tasks = max(1, -(-(rows_in.agg(F.sum(width * F.size("shared"))).first()[0] or 0) // TASK_BYTES))
     blocks = F.ceil(F.col("size") / BUCKET).cast("int")
-    tasks = (passed.join(met, keys)
+    whole = (rows_in.select("*", F.posexplode("shared").alias("place", "entry"))
+             .withColumns({"filter": F.col("entry.filter"), "size": F.col("entry.size"),
+                           "before": F.slice("shared.filter", 1, F.col("place"))})
              .withColumn("own", F.pmod(F.xxhash64("node", "filter"), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
              .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
              .withColumn("bucket", F.xxhash64("label", "dim", "filter", "i", "j"))
              .withColumn("task", F.when(F.col("size") > BUCKET // 4, F.col("bucket")).otherwise(F.pmod("bucket", F.lit(n_tasks))))
-             .select("task", "bucket", "filter", "dim", "own", "i", "j", F.col("node").alias("member")))
-    whole = tasks.join(nodes.select("node", "copies", "vector", "filters"), F.col("member") == F.col("node")).drop("member")
+             .select("task", "bucket", "dim", "own", "i", "j", "node", "copies", "vector", "before"))
     found = stage(whole.groupBy("task").applyInPandas(lambda rows: _links_of_task(rows, dtype, threshold), "node long, root long, links long"), "cap-links")
     counts = found.groupBy(F.col("node").alias("cn")).agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))

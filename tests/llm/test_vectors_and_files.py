@@ -124,24 +124,65 @@ def test_caps_empty(spark):
     assert caps.near_duplicates(vectors(spark, ODD).where("false")).count() == 0
 
 
-def test_list_decode_equals_trying_all_directions():
+@pytest.mark.parametrize("size", [(2, 64), (3, 17)])
+def test_list_decode_equals_trying_all_directions(size):
     x = np.random.default_rng(3).standard_normal((20, 16))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    code = 64
-    got = caps.list_decode(x, code)
+    got = caps.list_decode(x, size)
     for i in range(len(x)):
         want = []
-        for number in range(caps.ROTATIONS):
-            rotation, codes, blocks, alpha = caps._code(16, code, number)
-            parts = [codes[b] @ (x[i] @ rotation)[s] for b, s in enumerate(blocks)]
-            sums = parts[0][:, None] + parts[1][None, :]
+        for number in range(caps.ROTATIONS[size[0]]):
+            rotation, codes, blocks, alpha = caps._code(16, size, number)
+            assert len(blocks) == size[0]
+            sums = np.zeros(())
+            for b, block in enumerate(blocks):
+                sums = sums[..., None] + codes[b] @ (x[i] @ rotation)[block]
             own = np.argwhere(sums >= alpha)
             if not len(own):
                 own = np.argwhere(sums == sums.max())
-            want += [(number * code + a) * code + b for a, b in own.tolist()]
+            for place in own.tolist():
+                found = number
+                for part in place:
+                    found = found * size[1] + part
+                want.append(found)
         assert got[i].tolist() == sorted(want)
 
 
+def test_alpha_lets_the_stated_number_pass():
+    x = np.random.default_rng(9).standard_normal((300, 64))
+    for nodes in (10_000, caps.THREE_BLOCKS, 5_000_000):
+        found = np.mean([len(f) for f in caps.list_decode(x / np.linalg.norm(x, axis=1, keepdims=True), caps.code_size(nodes))])
+        assert 0.7 < found / (caps.ROTATIONS[caps.code_size(nodes)[0]] * caps.FILTERS) < 1.4
+
+
+@pytest.mark.parametrize("nodes", [10_000, caps.THREE_BLOCKS, caps.THREE_BLOCKS + 1, 5_000_000, 1_000_000_000])
+def test_caps_recall_at_every_code_size(nodes):
+    """Pairs at cosine 0.9801 share a filter, whatever the table's size."""
+    rng = np.random.default_rng(12)
+    x, other = rng.standard_normal((2, 400, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other -= (other * x).sum(axis=1, keepdims=True) * x
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    y = 0.9801 * x + np.sqrt(1 - 0.9801 ** 2) * other
+    size = caps.code_size(nodes)
+    assert size[1] ** size[0] >= 16 * nodes
+    met = [bool(np.intersect1d(p, q).size) for p, q in zip(caps.list_decode(x, size), caps.list_decode(y, size))]
+    assert np.mean(met) >= 0.995
+
+
+def test_rows_that_share_a_smaller_filter():
+    rng = np.random.default_rng(4)
+    lists = [np.unique(rng.integers(0, 60, size=int(n))) for n in rng.integers(0, 9, size=70)]
+    held = caps._Lists(lists)
+    a, b = (g.ravel() for g in np.meshgrid(np.arange(70), np.arange(70)))
+    want = np.array([bool(set(lists[p].tolist()) & set(lists[q].tolist())) for p, q in zip(a, b)])
+    assert (held.meet(a[a != b], b[a != b]) == want[a != b]).all()
+    full = held.meet_all(10, 60)
+    for p in range(50):
+        for q in range(50):
+            assert p == q or full[p, q] == bool(set(lists[p + 10].tolist()) & set(lists[q + 10].tolist()))
+
+
 # -- WARC -------------------------------------------------------------------------
 
 def test_archives_round_trip(spark):
