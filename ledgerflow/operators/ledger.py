@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ledgerflow import config as C
 from ledgerflow.functions.postings import class_labels, class_of
-from ledgerflow.operators.joins import bounded_broadcast
+from ledgerflow.operators.joins import bounded_broadcast, sized_join
 
 # Internal names of the normalised mapping columns (kept distinct from the
 # transaction columns so joins need no aliasing).
@@ -123,8 +123,7 @@ def map_concepts(df: DataFrame, mapping: DataFrame,
     The mapping's description replaces the transaction's and its posting class
     and both accounts are added.
     """
-    m = bounded_broadcast(normalise_map(mapping, spec), force=broadcast)
-    joined = df.join(m, (F.col(C.INVOICE) == F.col(M_CODE)) & (F.col(C.TYPE) == F.col(M_TYPE)))
+    joined = sized_join(df, normalise_map(mapping, spec), [(C.INVOICE, M_CODE), (C.TYPE, M_TYPE)], force=broadcast)
     parts = [c for c in C.DATE_PARTS if c in df.columns]
     return joined.select(
         *[F.col(M_DESCRIPTION).alias(c) if c == C.INVOICE_DESCRIPTION else F.col(c)
@@ -225,10 +224,8 @@ def post_ledger(df: DataFrame, mapping: DataFrame,
 
 def post_normalised(df: DataFrame, mapping: DataFrame, broadcast: Optional[bool] = None) -> DataFrame:
     """``post_ledger`` with a mapping that has ``normalise_map``'s columns."""
-    m = bounded_broadcast(mapping, force=broadcast)
-    cond = ((F.col(C.INVOICE) == F.col(M_CODE)) & (F.col(C.TYPE) == F.col(M_TYPE))
-            & (F.col(_ENTRY_CLASS) == F.col(M_CLASS)))
-    posted = _entries(df).join(m, cond).select(
+    on = [(C.INVOICE, M_CODE), (C.TYPE, M_TYPE), (_ENTRY_CLASS, M_CLASS)]
+    posted = sized_join(_entries(df), mapping, on, force=broadcast).select(
         *[F.col(M_DESCRIPTION).alias(c) if c == C.INVOICE_DESCRIPTION else F.col(c)
           for c in C.TRANSACTION_COLUMNS],
         F.col(M_CLASS).alias(C.POSTING_CLASS),
@@ -256,12 +253,10 @@ def unmapped(df: DataFrame, mapping: DataFrame,
     """Transactions with no mapping row of their (code, type, class): rows of
     each class anti-joined against that class's mapping rows.  A row with sides
     of both classes is tested for each (and can appear twice)."""
-    m = bounded_broadcast(normalise_map(mapping, spec).select(M_CODE, M_TYPE, M_CLASS),
-                          force=broadcast)
-    cond = ((F.col(C.INVOICE) == F.col(M_CODE)) & (F.col(C.TYPE) == F.col(M_TYPE))
-            & (F.col(C.POSTING_CLASS) == F.col(M_CLASS)))
+    m = normalise_map(mapping, spec).select(M_CODE, M_TYPE, M_CLASS)
+    on = [(C.INVOICE, M_CODE), (C.TYPE, M_TYPE), (C.POSTING_CLASS, M_CLASS)]
     cols = [c for c in C.UNMAPPED_COLUMNS if c in df.columns]
-    return classify(df).join(m, cond, "left_anti").select(*cols)
+    return sized_join(classify(df), m, on, "left_anti", broadcast).select(*cols)
 
 
 def unmapped_class(df: DataFrame, mapping: DataFrame, posting_class: str,
@@ -270,10 +265,8 @@ def unmapped_class(df: DataFrame, mapping: DataFrame, posting_class: str,
     """``unmapped`` for one posting class only."""
     rows = classify(df).where(F.col(C.POSTING_CLASS) == posting_class).drop(C.POSTING_CLASS)
     m = normalise_map(mapping, spec).where(F.col(M_CLASS) == posting_class).select(M_CODE, M_TYPE)
-    m = bounded_broadcast(m, force=broadcast)
-    cond = (F.col(C.INVOICE) == F.col(M_CODE)) & (F.col(C.TYPE) == F.col(M_TYPE))
     cols = [c for c in C.UNMAPPED_COLUMNS if c in df.columns]
-    return rows.join(m, cond, "left_anti").select(*cols)
+    return sized_join(rows, m, [(C.INVOICE, M_CODE), (C.TYPE, M_TYPE)], "left_anti", broadcast).select(*cols)
 
 
 # ---------------------------------------------------------------------------

@@ -22,6 +22,7 @@ from ledgerflow.operators.conform import (active_companies, conform_clients,
 from ledgerflow.operators.reports import unmapped_invoices
 from ledgerflow.plans import jobs, silver
 from ledgerflow.session import shared_base
+from ledgerflow.sinks.reports import of_countries
 from ledgerflow.sources import partitioned
 from ledgerflow.sources.tables import BAD_LINE, discard, materialise, read_landing_split, read_table
 from ledgerflow.streaming.ingest import merge_batch, read_bronze
@@ -169,7 +170,7 @@ def upsert_by_key(spark, sf_dir):
     """A client snapshot upserted with an increment: shared keys change, each
     side has keys of its own, null keys never match."""
     fx = Fixtures.of(spark, sf_dir)
-    return changes.upsert(fx.view("fx_upsert_target"), fx.view("fx_upsert_source"), "contract_id", check_unique=False)
+    return changes.upsert(fx.view("fx_upsert_target"), fx.view("fx_upsert_source"), "contract_id")
 
 
 @query
@@ -300,6 +301,20 @@ def post_ledger(spark, sf_dir):
     return _ledger(Fixtures.of(spark, sf_dir))
 
 
+@query
+def post_ledger_split(spark, sf_dir):
+    """The ledger with a mapping sheet taken as too large to broadcast: rows of
+    hot codes are dealt over all partitions of a shuffled join."""
+    fx = Fixtures.of(spark, sf_dir)
+    return L.post_ledger(_tx(fx), _map(fx), FX_MAP, broadcast=False)
+
+
+@query
+def unmapped_entries_split(spark, sf_dir):
+    fx = Fixtures.of(spark, sf_dir)
+    return L.unmapped(_tx(fx), _map(fx), FX_MAP, broadcast=False)
+
+
 @query
 def post_ledger_concat_key(spark, sf_dir):
     """The ledger under the legacy concatenated snapshot key."""
@@ -366,7 +381,7 @@ def report_by_country(spark, sf_dir):
     inv = unmapped_invoices(_unmapped(Fixtures.of(spark, sf_dir)), AS_OF)
     inv = inv.unionByName(inv.withColumn(C.COUNTRY, F.lit("PE"))).unionByName(
         inv.withColumn(C.COUNTRY, F.lit(None).cast("string")))
-    return inv.where(F.col(C.COUNTRY).isin(*C.REGIONS))
+    return of_countries(inv)
 
 
 @query
@@ -511,6 +526,18 @@ def incremental_since_pruned(spark, sf_dir):
     return promote.newer_than(table, _gold_ledger(fx), C.INSERT_DATE)
 
 
+@query
+def incremental_since_newest_folder(spark, sf_dir):
+    """Stored silver rows newer than a stored gold ledger, of which only the
+    newest folder is read for the mark."""
+    fx, gold = Fixtures.of(spark, sf_dir), _folder(spark, "gold")
+    rows = materialise(_gold_ledger(fx))
+    partitioned.upsert_partitions(spark, gold, rows, C.LEDGER_KEY, _DATED)
+    discard(rows)
+    table = partitioned.read_with_layout(spark, _restamped_table(spark, fx))
+    return promote.newer_than(table, partitioned.read_newest(spark, gold), C.INSERT_DATE)
+
+
 @query
 def history_transactions_pruned(spark, sf_dir):
     table = partitioned.read_with_layout(spark, _restamped_table(spark, Fixtures.of(spark, sf_dir)))

@@ -27,7 +27,7 @@ from ledgerflow.plans import silver
 from ledgerflow.sinks.reports import write_report, write_report_by_country
 from ledgerflow.operators.joins import estimated_bytes
 from ledgerflow.session import size_shuffle_partitions
-from ledgerflow.sources.partitioned import (Layout, dated, delete_from_partitions, read_with_layout, rows_of_keys,
+from ledgerflow.sources.partitioned import (Layout, dated, delete_from_partitions, read_newest, read_with_layout, rows_of_keys,
                                             table_state, upsert_partitions)
 from ledgerflow.sources.tables import (committed_versions, discard, latest_version, materialise, read_at,
                                        read_if_exists, read_landing_csv, read_landing_split, read_table,
@@ -312,13 +312,21 @@ def _gold(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
         return spark.createDataFrame([], like.schema).drop(*C.PERIODS.values())
 
 
+def _newest_gold(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    try:
+        return read_newest(spark, path)
+    except FileNotFoundError:
+        return _gold(spark, path, like)
+
+
 def _promote_new(spark: SparkSession, tables: Tables, name: str, column: str,
                  keys: Sequence[str]) -> DataFrame:
     """Merge silver rows newer than gold's newest into gold; returns gold with
-    its layout.  Silver folders of earlier days are not read."""
+    its layout.  Silver folders of earlier days are not read, and of gold only
+    its newest folder is."""
     current = read_with_layout(spark, tables.silver_table(name))
     gold_path = tables.gold_table(name)
-    _merge(spark, gold_path, newer_than(current, _gold(spark, gold_path, current), column), keys, dated(column, tables.unit))
+    _merge(spark, gold_path, newer_than(current, _newest_gold(spark, gold_path, current), column), keys, dated(column, tables.unit))
     return read_with_layout(spark, gold_path)
 
 

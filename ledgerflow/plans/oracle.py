@@ -325,6 +325,10 @@ SELECT CASE WHEN p_size % 10 NOT IN (1, 2, 3) THEN p_partkey END AS partkey, CAS
             WHEN 3 THEN p_partkey || ',' || p_brand || ',n' || p_size END AS bad_line
 FROM part""",
     "upsert_touched_partitions": "SELECT * FROM {o_restamped_ledger}",
+    "post_ledger_split": "SELECT * FROM {o_ledger}",
+    "unmapped_entries_split": "SELECT * FROM {o_unmapped}",
+    "incremental_since_newest_folder": """
+SELECT * FROM {o_restamped_ledger} WHERE insert_date > (SELECT max(insert_date) FROM {o_gold_ledger})""",
     "delete_touched_partitions": FINAL["reprocess_delete"],
     "merge_key_buckets": FINAL["apply_changes_out_of_order"],
     "since_yesterday_pruned": f"""

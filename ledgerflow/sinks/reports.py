@@ -6,21 +6,42 @@ never funnelled through a single task or the driver.
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerflow import config as C
+from ledgerflow.sources.tables import _fs
 
 
 def write_report(df: DataFrame, path: str) -> bool:
     """CSV with a header at ``path``; nothing is written for an empty frame.
-    Returns whether a report was written."""
-    if df.isEmpty():
-        return False
-    df.write.mode("overwrite").option("header", True).csv(path)
-    return True
+    Returns whether a report was written.
+
+    The frame is computed once: its rows are counted while they are written to
+    a folder beside ``path``, which then replaces the earlier report, or goes
+    if it has none.  A failed run leaves the earlier report as it was."""
+    spark, seen = df.sparkSession, Observation()
+    pending = f"{path.rstrip('/')}.pending-{uuid.uuid4().hex}"
+    fs, new, jvm = _fs(spark, pending)
+    try:
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.option("header", True).csv(pending)
+        if not seen.get["n"]:
+            return False
+        final = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+        fs.delete(final, True)
+        if not fs.rename(new, final):
+            raise OSError(f"could not publish the report {path}")
+        return True
+    finally:
+        fs.delete(new, True)
+
+
+def of_countries(df: DataFrame, column: str = C.COUNTRY, countries: Sequence[str] = C.REGIONS) -> DataFrame:
+    """Rows of the listed countries (null is none of them)."""
+    return df.where(F.col(column).isin(*countries))
 
 
 def write_report_by_country(df: DataFrame, path: str, column: str = C.COUNTRY,
@@ -29,7 +50,7 @@ def write_report_by_country(df: DataFrame, path: str, column: str = C.COUNTRY,
     in a single pass.  The files keep the country column; a listed country
     without rows keeps its earlier report, unlisted ones (null included) are
     dropped."""
-    listed = df.where(F.col(column).isin(*countries))
+    listed = of_countries(df, column, countries)
     (listed.withColumn(f"report_{column}", F.col(column)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("header", True)
      .partitionBy(f"report_{column}").csv(path))

@@ -30,6 +30,7 @@ import json
 import math
 import uuid
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 from functools import reduce
 from typing import Callable, Mapping, Optional, Sequence
 from urllib.parse import unquote
@@ -147,6 +148,32 @@ def read_with_layout(spark: SparkSession, path: str) -> DataFrame:
     return load(spark, path, version, held, True) if held else TB.read_table(spark, path)
 
 
+def read_newest(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a ``dated`` table that decide its newest timestamp: those of
+    its newest folder, found in the version's list without reading a row.
+
+    Empty only if the table is.  Rows without a timestamp count where there are
+    no others.  A zoned timestamp may lie a day off (the zone of the session
+    that wrote it), so folders that reach into the day before are read too.
+    Tables of other layouts are read whole."""
+    version = TB.latest_version(spark, path)
+    if not version:
+        raise TB.TableNotFound(path)
+    held = read_held(spark, path, version)
+    if held is None or not held.layout.startswith("dated:"):
+        return TB.read_table(spark, path)
+    column, _, unit = held.layout.removeprefix("dated:").rpartition(":")
+    periods = {f: held.values(f)[0] for f in held.folders}
+    dates = [date.fromisoformat(p) for p in periods.values() if p is not None]
+    if not dates:
+        return load(spark, path, version, held)
+    zoned = isinstance(held.schema[column].dataType, T.TimestampType)
+    first = max(dates) - timedelta(days=1 if zoned else 0)
+    first = first.replace(day=1) if unit == "month" else first
+    wanted = [f for f, p in periods.items() if p is not None and date.fromisoformat(p) >= first]
+    return _frame(spark, path, held, wanted).select(*held.schema.names)
+
+
 def table_state(spark: SparkSession, path: str) -> dict:
     """What the newest version's writer recorded with it (empty for none)."""
     version = TB.latest_version(spark, path)
