@@ -5,7 +5,10 @@ Runs each headline query (and the naive plan shape it replaces) on
 every run executes the whole plan into Spark's ``noop`` sink (nothing is
 collected).  Prints one JSON line: ``value`` is the sum of the headline
 medians; ``naive`` holds the naive shapes' medians for comparison (runs of an
-operator and its naive shape are interleaved).
+operator and its naive shape are interleaved).  ``merges`` times the one job
+step that writes a table: an increment of a hundredth of the stored ledger,
+merged into the folders it touches, against the rewrite of the whole table
+(these are not part of ``value``).
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,6 +27,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from ledgerflow import config as C  # noqa: E402
 from ledgerflow.plans import catalog as Q, naive  # noqa: E402
 from ledgerflow.session import local_session  # noqa: E402
+from ledgerflow.sources import partitioned, tables  # noqa: E402
 from ledgerflow.sources.fixtures import FX_CDC, FX_MAP, Fixtures  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -52,6 +57,27 @@ def median_times(*builds) -> list[float]:
     return [round(statistics.median(t), 3) for t in times]
 
 
+def merge_times(spark, ledger) -> dict[str, float]:
+    """Median seconds of a merge of the newest hundredth of ``ledger``."""
+    ledger = tables.materialise(ledger)
+    base, layout = tempfile.mkdtemp(prefix="ledgerflow-bench-"), partitioned.dated(C.INSERT_DATE, "month")
+    cut = ledger.select(F.col(C.INSERT_DATE).cast("timestamp").cast("double").alias("s")).approxQuantile("s", [0.99], 0.001)[0]
+    newest = tables.materialise(ledger.where(F.col(C.INSERT_DATE).cast("timestamp").cast("double") >= cut))
+    partitioned.upsert_partitions(spark, f"{base}/touched", ledger, C.LEDGER_KEY, layout)
+    tables.write_snapshot(ledger, f"{base}/whole")
+    shapes = {"touched_folders": lambda: partitioned.upsert_partitions(spark, f"{base}/touched", newest, C.LEDGER_KEY, layout),
+              "whole_rewrite": lambda: tables.upsert_table(spark, f"{base}/whole", newest, C.LEDGER_KEY)}
+    times: dict[str, list[float]] = {name: [] for name in shapes}
+    for _ in range(RUNS + 1):
+        for name, run in shapes.items():
+            t0 = time.perf_counter()
+            run()
+            times[name].append(time.perf_counter() - t0)
+    for frame in (ledger, newest):
+        tables.discard(frame)
+    return {name: round(statistics.median(t[1:]), 3) for name, t in times.items()}   # the first run warms up
+
+
 def main() -> None:
     spark = local_session(cores=CPUS)
     fx = Fixtures.of(spark, SF_DIR)
@@ -87,6 +113,7 @@ def main() -> None:
             results[name], naive_results[name] = median_times(fn, naive_shapes[name])
         else:
             results[name], = median_times(fn)
+    merges = merge_times(spark, Q.post_ledger(spark, SF_DIR))
     sf = os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_operators_total_median",
@@ -94,6 +121,7 @@ def main() -> None:
         "unit": "sec",
         "queries": results,
         "naive": naive_results,
+        "merges": merges,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": CPUS,
         "runs": RUNS,
