@@ -67,7 +67,8 @@ def split_join(large: DataFrame, small: DataFrame, on: Sequence[tuple[str, str]]
     the session's shuffle partitions), its rows in ``small`` are repeated for
     every number, and the number joins with the key: each row of ``large``
     still meets every match once.  Only the rows of at most ``HOT_SHARE`` keys
-    are repeated and nothing is broadcast, so ``small`` may be of any size.
+    are repeated, and the join is a sort-merge join whatever the planner's
+    estimate, so ``small`` may be of any size.
     The number is made of the row and its task, so a retried task deals alike.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -86,7 +87,7 @@ def split_join(large: DataFrame, small: DataFrame, on: Sequence[tuple[str, str]]
     every = F.when(is_hot(right), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
     repeated = small.withColumn(_SMALL_SPLIT, F.explode(every))
     cond = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in on]) & (F.col(_SPLIT) == F.col(_SMALL_SPLIT))
-    return dealt.join(repeated, cond, how).drop(_SPLIT, _SMALL_SPLIT)
+    return dealt.join(repeated.hint("merge"), cond, how).drop(_SPLIT, _SMALL_SPLIT)
 
 
 def sized_join(large: DataFrame, small: DataFrame, on: Sequence[tuple[str, str]], how: str = "inner",
