@@ -6,15 +6,19 @@ weights.  FTRL-proximal keeps a learning rate per weight and drives rare and
 useless weights to zero (L1), so the model that is sent to the executors is a
 few thousand weights, and never more than ``BUCKETS``.
 
-The model is fitted in one task on at most about ``TRAIN_ROWS`` labelled rows,
-chosen by the hash of their id; scoring covers every row and the whole text,
-in the tasks that scan the documents, without a shuffle.
+The model is fitted in one task on at most ``TRAIN_ROWS`` labelled rows, taken
+in the order of the hash of their id up to ``TRAIN_BYTES`` of text (texts over
+``TRAIN_TEXT`` bytes are not learned from); scoring covers every row and the
+whole text, however long, in the tasks that scan the documents, without a
+shuffle.
 
 Defined results: null text is scored as empty; repeated label rows count as
-toxic if any says so; null labels or ids in the label table are ignored; a
-null doc_id is scored and not held out; without any usable label the score is
-the prior 0 (nothing is predicted toxic); other columns are kept by
-``keep_clean`` and ignored by ``score``.
+toxic if any says so; null labels or ids in the label table are ignored; each
+row of a repeated doc_id is scored, and one of its texts (that of smallest
+hash) is learned from; a null doc_id is scored and not held out; without any
+usable label the score is the prior 0 (nothing is predicted toxic); other
+columns are kept by ``keep_clean`` and ignored by ``score``; an empty table
+gives none.
 """
 
 from __future__ import annotations
@@ -26,12 +30,14 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType
 
 BUCKETS = 1 << 20
 #: Bound on the labelled rows the classifier is fitted on.
 TRAIN_ROWS = 16_000
+#: Bounds on their texts in UTF-8 bytes: all of them, and a single one.
+TRAIN_BYTES, TRAIN_TEXT = 64_000_000, 1_000_000
 EPOCHS = 3
 #: FTRL-proximal: learning rate, its smoothing, L1 and L2.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
@@ -129,7 +135,7 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> Model:
+          label_col: str = "toxic", train_rows: int = TRAIN_ROWS, train_bytes: int = TRAIN_BYTES) -> Model:
     """Fit on a bounded sample of the labelled rows outside the held-out fold."""
     spark = docs.sparkSession
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (fold(id_col) != 0))
@@ -140,8 +146,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # as many ids as the bound, by hash: a share of the hash range, then exactly (the same in every run)
     low = F.pmod(order, F.lit(1_000_000))
     picked = known.where(low < int(share * 1_050_000) + 1).orderBy(low, id_col).limit(train_rows)
-    sample = (docs.select(id_col, text_col).join(F.broadcast(picked), id_col)
-              .select(order.alias("o"), F.col(text_col).alias("t"), "y"))
+    texts = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("t")).where(F.octet_length("t") <= TRAIN_TEXT)
+    # one text an id, chosen before the shuffle, so a repeated id sends one row a task
+    one = (texts.join(F.broadcast(picked), id_col).groupBy(id_col, "y")
+           .agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("first"))
+           .select(order.alias("o"), F.col(id_col).alias("i"), "first.t", "y"))
+    # at most train_rows rows are left for the one task that learns
+    so_far = F.sum(F.octet_length("t")).over(Window.orderBy("o", "i").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sample = one.withColumn("bytes", so_far).where(F.col("bytes") <= train_bytes).select("t", "y")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
@@ -153,8 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 kept, w, bias = fit(texts, y)
                 yield pa.RecordBatch.from_arrays([pa.array(np.append(kept, -1)), pa.array(np.append(w, bias))], names=["bucket", "weight"])
 
-    fitted = (sample.repartition(1).sortWithinPartitions("o", "t").select("t", "y")
-              .mapInArrow(learn, "bucket long, weight double").collect())
+    fitted = sample.mapInArrow(learn, "bucket long, weight double").collect()
     if not fitted:
         return Model(np.zeros(0, np.int64), np.zeros(0), -30.0)
     bucket = np.array([r[0] for r in fitted], dtype=np.int64)
