@@ -6,12 +6,15 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_MADE: ContextVar[list[str] | None] = ContextVar("made folders", default=None)
 
 
 def ship(spark: SparkSession) -> None:
@@ -52,7 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _MADE.get() is not None:
+        _MADE.get().append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -70,10 +76,32 @@ def drop_stage(df: DataFrame) -> None:
     """Delete a staged table that no later step reads."""
     path = getattr(df, "_staged_path", None)
     if path:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Delete, on leaving, every folder that operators made within, except those
+    of staged frames put in the list: frames computed here that read another
+    folder must be staged before the end."""
+    kept: list[DataFrame] = []
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield kept
+    finally:
+        _MADE.reset(token)
+        stay = {getattr(df, "_staged_path", None) for df in kept}
+        for path in made:
+            if path not in stay:
+                _delete(spark, path)
+        if _MADE.get() is not None:
+            _MADE.get().extend(p for p in made if p in stay)
 
 
 def fresh(name: str, taken: Iterable[str]) -> str:

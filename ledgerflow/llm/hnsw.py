@@ -1,7 +1,7 @@
 """Approximate nearest neighbours: a small-world graph hierarchy per shard.
 
-Every partition is read as a stream and cut into shards of ``SHARD`` rows; a
-shard's graph is built in memory and stored as one row of flat arrays (ids,
+Every partition is read as a stream and cut into shards of ``shard_rows`` rows
+(more in larger tables, as far as a task's memory allows); a shard's graph is built in memory and stored as one row of flat arrays (ids,
 vectors, and for each layer its members, offsets and neighbours).  A node is a
 distinct vector with the ids of its rows, so copies cannot fill a
 neighbourhood.  A node's layers are drawn geometrically; in each layer it is
@@ -14,8 +14,8 @@ shard returns each query's nearest ids by the exact cosine of the original
 vectors, and the shard results are merged per query.
 
 Defined results: rows with a null id or an unusable vector take no part, nor do
-vectors of another length than the query's; a row never finds its own id; if
-an id repeats, it is returned once with its best score, and a repeated query id
+vectors of another length than the query's; a row never finds its own id;
+equal scores are ranked by the smaller id; if an id repeats, it is returned once with its best score, and a repeated query id
 stands for the smallest of its vectors; an empty table gives none; other
 columns are ignored.
 """
@@ -34,6 +34,9 @@ from .components import forest
 from .vectors import cosine, dtype_of, matrices, unit, usable
 
 SHARD = 4096
+#: Shards grow with the table up to these, so that searches (every block of
+#: queries against every shard) grow less than the table's square.
+MAX_SHARD, SHARD_BYTES = 32_768, 1 << 25
 QUERIES = 512
 M = 16
 CANDIDATES = 64
@@ -75,13 +78,14 @@ def _layer(x: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
     width = min(CANDIDATES, n - 1)
     near = np.empty((n, width), dtype=np.int32)
     sims = np.empty((n, width), dtype=x.dtype)
-    for at in range(0, n, 512):
-        s = x[at:at + 512] @ x.T
+    step = max(16, min(512, (1 << 21) // n))
+    for at in range(0, n, step):
+        s = x[at:at + step] @ x.T
         s[np.arange(len(s)), np.arange(at, at + len(s))] = -3.0
         top = np.argpartition(-s, width - 1, axis=1)[:, :width]
         value = np.take_along_axis(s, top, axis=1)
         order = np.argsort(-value, axis=1, kind="stable")
-        near[at:at + 512], sims[at:at + 512] = np.take_along_axis(top, order, axis=1), np.take_along_axis(value, order, axis=1)
+        near[at:at + step], sims[at:at + step] = np.take_along_axis(top, order, axis=1), np.take_along_axis(value, order, axis=1)
     picked = _diverse(x, near, sims, cap // 2)
     a = np.repeat(np.arange(n), picked.shape[1])[picked.ravel() >= 0]
     b = picked.ravel()[picked.ravel() >= 0].astype(np.int64)
@@ -92,10 +96,14 @@ def _layer(x: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
         main = roots[np.argmax([np.count_nonzero(label == r) for r in roots])]
         for r in roots[roots != main]:
             inside, outside = np.nonzero(label == r)[0], np.nonzero(label != r)[0]
-            s = x[inside[:256]] @ x[outside].T
-            i, j = np.unravel_index(int(s.argmax()), s.shape)
-            extra_a.append(inside[i])
-            extra_b.append(outside[j])
+            closest = -np.inf
+            for at in range(0, len(inside), step):
+                s = x[inside[at:at + step]] @ x[outside].T
+                i, j = np.unravel_index(int(s.argmax()), s.shape)
+                if s[i, j] > closest:
+                    closest, link = s[i, j], (inside[at + i], outside[j])
+            extra_a.append(link[0])
+            extra_b.append(link[1])
         a, b = np.concatenate((a, extra_a)), np.concatenate((b, extra_b))
         label = forest(a, b, n)
         roots = np.unique(label)
@@ -136,7 +144,7 @@ def _beam(x: np.ndarray, offsets: np.ndarray, links: np.ndarray, q: np.ndarray,
     n = len(x)
     degree = np.diff(offsets)
     wide = int(degree.max()) if n > 1 else 1
-    padded = np.full((n, wide), n, dtype=np.int64)
+    padded = np.full((n + 1, wide), n, dtype=np.int32)       # its last row leads nowhere
     rows = np.repeat(np.arange(n), degree)
     padded[rows, np.arange(len(links)) - np.repeat(offsets[:-1], degree)] = links
     size = min(size, n)
@@ -178,8 +186,7 @@ def _beam(x: np.ndarray, offsets: np.ndarray, links: np.ndarray, q: np.ndarray,
         flags = open_[who]
         np.put_along_axis(flags, best, False, axis=1)
         open_[who] = flags
-        reach = np.vstack((padded, np.full((1, wide), n, dtype=np.int64)))[nodes].reshape(len(who), -1)
-        offer(who, reach)
+        offer(who, padded[nodes].reshape(len(who), -1))
     order = np.argsort(-sims, axis=1, kind="stable")
     ids = np.take_along_axis(ids, order, axis=1)
     return np.where(np.take_along_axis(sims, order, axis=1) > -4.0, ids, -1)
@@ -201,9 +208,15 @@ def search(vectors: np.ndarray, graph: np.ndarray, queries: np.ndarray, beam: in
 
 # -- tables -------------------------------------------------------------------
 
-def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD) -> DataFrame:
+def shard_rows(n: int) -> int:
+    """Rows of a shard for a table of ``n`` rows."""
+    return min(MAX_SHARD, max(SHARD, n // 128))
+
+
+def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", shard: int | None = None) -> DataFrame:
     """The index, staged: a row per shard with all its rows' ids."""
     dtype = dtype_of(vectors, vector_col)
+    most = shard or shard_rows(vectors.count())
     rows = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
             .where(F.col("id").isNotNull() & usable("vector")))
 
@@ -227,6 +240,7 @@ def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             ids = batch.column("id").to_numpy()
             for at, x in matrices(batch.column("vector")):
                 dim = x.shape[1]
+                shard = max(1, min(most, SHARD_BYTES // x[:1].nbytes))
                 parts = held.setdefault(dim, [])
                 for begin in range(0, len(at), shard):
                     parts.append((ids[at[begin:begin + shard]], x[begin:begin + shard]))
@@ -241,7 +255,7 @@ def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-            shard: int = SHARD, beam: int = BEAM) -> DataFrame:
+            shard: int | None = None, beam: int = BEAM) -> DataFrame:
     """The k nearest rows of each row that ``queries`` selects: query_id, rank,
     vec_id, score."""
     dtype = dtype_of(vectors, vector_col)

@@ -2,6 +2,7 @@
 force, on defined edge cases, and on planted documents."""
 
 import collections
+import os
 import random
 import re
 import textwrap
@@ -14,6 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import packing, simhash, substring, toxicity
+from ledgerflow.llm.common import scratch, shared_dir, stage
 from ledgerflow.llm.components import components, forest
 from ledgerflow.llm.queries import QUERIES, tokenizer_path
 from ledgerflow.llm.tokens import WordEncoder
@@ -47,6 +49,24 @@ def test_components_equal_local_forest(spark, links):
     assert got == {i: int(label[i]) for i in range(n) if label[i] != i}
 
 
+# -- staged tables --------------------------------------------------------------
+
+def test_scratch_deletes_what_was_staged_but_the_kept(spark):
+    root = shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    with scratch(spark) as outer:
+        with scratch(spark) as kept:
+            stage(spark.range(3), "gone")
+            inner = stage(spark.range(4), "stays")
+            kept.append(inner)
+        assert inner.count() == 4 and len(set(os.listdir(root)) - before) == 1
+    assert set(os.listdir(root)) == before
+    with pytest.raises(ValueError), scratch(spark):
+        stage(spark.range(3), "gone")
+        raise ValueError
+    assert set(os.listdir(root)) == before
+
+
 # -- SimHash ------------------------------------------------------------------
 
 def slow_fingerprint(text):
@@ -383,6 +403,67 @@ def test_toxicity_edges(spark):
     assert toxicity.score(docs.where("false"), none).count() == 0
 
 
+def plain_ftrl(texts, labels):
+    """FTRL-proximal feature by feature, in dictionaries."""
+    def bucket_set(text):
+        codes = [xxhash.xxh64_intdigest(w.strip(toxicity._TRIM)) for w in text.lower().split() if w.strip(toxicity._TRIM)]
+        found = {c % toxicity.BUCKETS for c in codes}
+        for gap in (1, 2, 3):
+            found |= {((a * 0x9E3779B97F4A7C15 + b * (2 * gap + 1)) % 2 ** 64 >> 17) % toxicity.BUCKETS for a, b in zip(codes, codes[gap:])}
+        return found
+
+    sets = [bucket_set(t) for t in texts]
+    seen = collections.Counter(f for s in sets for f in s)
+    rows = [sorted(f for f in s if seen[f] > 1) + ["bias"] for s in sets]
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(f):
+        l1 = 0.0 if f == "bias" else toxicity.L1
+        if abs(z[f]) <= l1:
+            return 0.0
+        return (np.sign(z[f]) * l1 - z[f]) / ((toxicity.BETA + n[f] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for features, y in zip(rows, labels):
+            own = {f: weight(f) for f in features}
+            g = 1 / (1 + np.exp(-np.clip(sum(own.values()), -30, 30))) - y
+            for f, w in own.items():
+                z[f] += g - ((n[f] + g * g) ** 0.5 - n[f] ** 0.5) / toxicity.ALPHA * w
+                n[f] += g * g
+    return {f: weight(f) for f in list(z) if weight(f)}
+
+
+def test_fit_equals_plain_ftrl():
+    rng = random.Random(8)
+    # few words, so that many n-grams come often enough to pass L1
+    vocabulary = [prose(rng, 1) for _ in range(12)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 25))) + " (!) Vile," * (i % 4 == 0) for i in range(300)]
+    labels = np.array([float("Vile" in t) for t in texts])
+    labels[::37] = 1 - labels[::37]
+    kept, weights, bias = toxicity.fit(pa.array(texts, pa.large_string()), labels)
+    want = plain_ftrl(texts, labels)
+    assert len(kept) > 20 and bias == pytest.approx(want.pop("bias"), rel=1e-9)
+    assert dict(zip(kept.tolist(), weights.tolist())) == pytest.approx(want, rel=1e-7)
+
+
+def test_toxicity_learns_from_bounded_texts_whatever_repeats(spark):
+    rows, labels = planted(spark, 300)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(documents(spark, rows), table)
+
+    def same(other):
+        return np.array_equal(other.buckets, model.buckets) and np.array_equal(other.weights, model.weights) and other.bias == model.bias
+
+    assert same(toxicity.train(documents(spark, rows * 3).repartition(7), table))
+    # rows after the bound on bytes, and very long texts, are not learned from but scored
+    half = toxicity.train(documents(spark, rows), table, train_bytes=sum(len(t) for _, t in rows) // 3)
+    assert not same(half)
+    long = documents(spark, rows + [(10_002, "vile rotten scoundrel " * 60_000)])
+    labelled = spark.createDataFrame(labels + [(10_002, 0)], "doc_id long, toxic int")
+    assert zlib.crc32(b"10002") % 5 and same(toxicity.train(long, labelled))
+    assert toxicity.score(long, model).where("doc_id = 10002").first().predicted == 1
+
+
 # -- the pipeline -----------------------------------------------------------------
 
 def test_pipeline_stages_keep_the_columns_and_do_their_work(spark):
@@ -438,5 +519,42 @@ def test_pipeline_equals_brute_force(spark):
     assert {i: [x for _, ids in sorted(parts) for x in ids] for i, parts in got.items()} == want
 
 
+def test_pipeline_edges_and_cleared_stages(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    def run(rows, labels, name):
+        folder = tmp_path / name
+        documents(spark, rows).write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame(labels, "doc_id long, toxic int, text string, y int, lang string").write.parquet(str(folder / "labels.parquet"))
+        return corpus_pipeline.run(spark, str(folder))
+
+    assert run([], [], "empty").collect() == []
+
+    rng = random.Random(5)
+    rows, labels = planted(spark, 300)
+    labels = [(i, y, "x", 1, None) for i, y in labels] + [(None, 1, None, None, None), (3, None, None, None, None)]
+    # few words: a hundred thousand different n-grams would hit weights by their hash
+    words = [prose(rng, 1) for _ in range(30)]
+    kept_text = sentences_of(rng, 9)
+    long_text = " ".join(" ".join(rng.choices(words, k=rng.randint(4, 9))).capitalize() + "." for _ in range(6000))
+    odd = [(None, sentences_of(rng, 8)), (1000, None), (1001, ""), (1002, " \n "), (1003, kept_text), (1003, kept_text),
+           (1004, kept_text), (1005, long_text), (1006, "vile scoundrel rotten"), (None, "vile rotten scoundrel")]
+    before = set(os.listdir(shared_dir(spark).removeprefix("file://")))
+    pieces = run(rows + odd, labels, "odd").collect()
+    made = set(os.listdir(shared_dir(spark).removeprefix("file://"))) - before
+    assert [m.rsplit("-", 1)[0] for m in made] == ["substring_dedup"]     # what the result is read from
+
+    got = collections.defaultdict(list)
+    for p in pieces:
+        got[p.doc_id].append((p.start, p.ids))
+    texts = {i: [x for _, ids in sorted(parts) for x in ids] for i, parts in got.items()}
+    library = Tokenizer.from_file(tokenizer_path())
+    encoded = {t: library.encode(t, add_special_tokens=False).ids + [2] for t in (odd[0][1], kept_text, long_text)}
+    # one of the repeated rows stays, of texts without words the smallest id, toxic ones go
+    assert texts[None] == encoded[odd[0][1]] and texts[1003] == encoded[kept_text] and texts[1005] == encoded[long_text]
+    assert texts[1000] == [2] and not {1001, 1002, 1004, 1006} & texts.keys()
+
+
 def test_one_query_for_each_operator():
     assert [int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES] == list(range(1, 14))

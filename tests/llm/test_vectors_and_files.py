@@ -78,6 +78,16 @@ def test_search_few_rows_repeats_and_empty(spark):
     assert hnsw.nearest(vectors(spark, rows[:1]), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_shards_grow_with_the_table_and_large_ones_find_the_same():
+    assert [hnsw.shard_rows(n) for n in (0, 10_000, 524_288, 1_000_000, 10 ** 12)] == [4096, 4096, 4096, 7812, 32_768]
+    x = np.random.default_rng(4).standard_normal((9000, 48)).astype(np.float32)
+    q = x[:9000:50]
+    found = hnsw.search(x, hnsw.build(x), q)[:, :6]
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = np.argsort(-(u[:9000:50] @ u.T), axis=1)[:, :6]
+    assert np.mean([len(set(a) & set(b)) / 6 for a, b in zip(found.tolist(), true.tolist())]) >= 0.97
+
+
 def test_every_node_of_a_layer_is_reachable():
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.standard_normal((60, 8)) * 0.01 + 10 * rng.standard_normal(8) for _ in range(6)]).astype(np.float32)
