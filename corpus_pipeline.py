@@ -3,7 +3,15 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir),
 works on every row its predecessor kept and returns a DataFrame.  All but the
 last return the columns of ``documents``; between stages the rows are written
-as Parquet in the shared folder and read again.
+as Parquet in the shared folder and read again.  A stage's working tables and
+its input are deleted once its output is written; the last stage's input stays,
+for the returned frame reads it.
+
+Defined results: a null or empty text is kept like any other (the texts without
+words are one near-duplicate group) and packs as its end id; a null doc_id is
+kept unless it is toxic or a near-duplicate of a document with an id; of equal
+rows one stays; very long texts are worked on whole; ties go to the smallest
+doc_id; empty tables give no rows; other columns of any name are carried along.
 """
 
 from __future__ import annotations
@@ -11,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.llm import packing, simhash, substring, tokens, toxicity
-from ledgerflow.llm.common import stage, table
+from ledgerflow.llm.common import drop_stage, scratch, stage, table
 from ledgerflow.llm.queries import tokenizer_path
 
 
@@ -51,5 +59,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
+        with scratch(spark) as kept:
+            following = stage(function(spark, docs, sf_dir), name)
+            kept.append(following)
+        drop_stage(docs)
+        docs = following
     return STAGES[-1][1](spark, docs, sf_dir)
