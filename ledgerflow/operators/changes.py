@@ -18,7 +18,7 @@ Scale notes
 from __future__ import annotations
 
 from functools import reduce
-from typing import Iterable, Optional, Sequence
+from typing import Callable, Iterable, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +30,10 @@ from ledgerflow.functions.privacy import pseudonymise
 from ledgerflow.operators.joins import bounded_broadcast
 
 
+#: Spreads rows over tasks: (rows with a column of their place, its name).
+Deal = Callable[[DataFrame], tuple[DataFrame, str]]
+
+
 def _keys(keys: Sequence[str] | str) -> list[str]:
     if isinstance(keys, str):
         keys = [k.strip() for k in keys.split(",")]
@@ -48,6 +52,17 @@ def fill_op(df: DataFrame, op: str = "Op", value: str = C.FULL_LOAD_OP) -> DataF
     return df.withColumn(op, F.coalesce(F.col(op), F.lit(value)))
 
 
+def newest_first(df: DataFrame, keys: Sequence[str], sequence: str, tie_break: Sequence[str] = (),
+                 leave: Sequence[str] = ()) -> list[Column]:
+    """The total order of one key's rows, newest first: by ``sequence``, then by
+    ``tie_break``, then by all other orderable columns but ``leave``."""
+    orderable = {f.name for f in df.schema.fields
+                 if not isinstance(f.dataType, (T.MapType, T.VariantType))}
+    rest = [c for c in df.columns
+            if c not in keys and c != sequence and c not in tie_break and c in orderable and c not in leave]
+    return [F.col(sequence).desc(), *[F.col(c).desc_nulls_last() for c in (*tie_break, *rest)]]
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], sequence: str,
                   ties: str = "keep", tie_break: Sequence[str] = (),
                   drop_sequence: bool = True, strategy: str = "rank") -> DataFrame:
@@ -97,12 +112,7 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], sequence: str,
                 & (F.col(sequence) == F.col("_latest_seq")))
         out = live.join(newest, cond, "left_semi")
     elif ties == "one":
-        orderable = {f.name for f in df.schema.fields
-                     if not isinstance(f.dataType, (T.MapType, T.VariantType))}
-        rest = [c for c in df.columns
-                if c not in keys and c != sequence and c not in tie_break and c in orderable]
-        w = Window.partitionBy(*keys).orderBy(
-            F.col(sequence).desc(), *[F.col(c).desc_nulls_last() for c in (*tie_break, *rest)])
+        w = Window.partitionBy(*keys).orderBy(*newest_first(df, keys, sequence, tie_break))
         out = live.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     else:
         raise ValueError(f"ties must be 'keep' or 'one', not {ties!r}")
@@ -229,6 +239,28 @@ def prepare_changes(changes: DataFrame, spec: C.ChangeFeedSpec,
     return with_date_parts(out, spec.timestamp, padded=True)
 
 
+def state_rows(changes: DataFrame, spec: C.ChangeFeedSpec) -> DataFrame:
+    """The rows of a change feed that ``prepare_changes`` chooses from, as it
+    would store them: every change that has a sequence."""
+    live = fill_op(changes, spec.op).where(F.col(spec.sequence).isNotNull())
+    return with_date_parts(live, spec.timestamp, padded=True)
+
+
+def thin_hot_keys(rows: DataFrame, spec: C.ChangeFeedSpec, hot: Sequence[int]) -> DataFrame:
+    """``rows`` with one row, the newest, of each key whose ``key_hash`` is in
+    ``hot``; rows of other keys pass without a shuffle."""
+    if not hot:
+        return rows
+    found = F.coalesce(key_hash(spec.keys).isin(*hot), F.lit(False))
+    newest = latest_by_key(rows.where(found), spec.keys, spec.sequence, ties="one",
+                           tie_break=spec.tie_break, drop_sequence=False)
+    return rows.where(~found).unionByName(newest)
+
+
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
 def apply_changes(target: DataFrame, changes: DataFrame, spec: C.ChangeFeedSpec,
                   deletes: str = "apply", pseudonymise_columns: Sequence[str] = (),
                   secret: Optional[str] = None) -> DataFrame:
@@ -237,7 +269,8 @@ def apply_changes(target: DataFrame, changes: DataFrame, spec: C.ChangeFeedSpec,
     return merge_changes(target, latest, spec.keys, spec.op, deletes)
 
 
-def merge_newest(target: DataFrame, latest: DataFrame, spec: C.ChangeFeedSpec) -> DataFrame:
+def merge_newest(target: DataFrame, latest: DataFrame, spec: C.ChangeFeedSpec,
+                 deal: Optional[Deal] = None) -> DataFrame:
     """Next state of a bronze table that keeps its sequence: for every key the
     newest change of ``target`` and ``latest`` (one row per key each), deletes
     included as tombstones.
@@ -246,18 +279,25 @@ def merge_newest(target: DataFrame, latest: DataFrame, spec: C.ChangeFeedSpec) -
     the stored rows, so the state after any number of batches does not depend
     on how the changes were cut into batches, on the batches' order, or on a
     batch being merged twice.  Null key parts match each other here, or a
-    repeated batch would add their rows again.  Only keys that occur in
-    ``latest`` are compared; the rest of the target passes one anti join.
+    repeated batch would add their rows again.  Rows of the target whose key
+    does not occur in ``latest`` stay as they are, whatever they hold.
+
+    Both sides meet in one key window: every row is shuffled and sorted once,
+    and a side that is dealt by key already (a window's result) is not shuffled
+    again.  ``latest`` may hold a key several times (``thin_hot_keys`` bounds
+    how often).  ``deal`` spreads the rows over tasks in the caller's way: by a
+    column that it adds, which a row's key must determine.
     """
-    keys = list(spec.keys)
-    names = {k: f"_key_{i}" for i, k in enumerate(keys)}
-    changed = latest.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
-    untouched = target.join(changed, same, "left_anti")
-    touched = target.join(changed, same, "left_semi")
-    newest = latest_by_key(touched.unionByName(latest, allowMissingColumns=True), keys, spec.sequence,
-                           ties="one", tie_break=spec.tie_break, drop_sequence=False)
-    return untouched.unionByName(newest, allowMissingColumns=True).select(*_merge_columns(target, latest))
+    keys, new, first, within = list(spec.keys), "_is_new", "_first", []
+    rows = target.withColumn(new, F.lit(False)).unionByName(latest.withColumn(new, F.lit(True)), allowMissingColumns=True)
+    if deal is not None:
+        rows, place = deal(rows)
+        within = [place]
+    w = Window.partitionBy(*within, *keys).orderBy(*newest_first(rows, keys, spec.sequence, spec.tie_break, (new, *within)))
+    changed = F.max(new).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    wins = (F.col(first) == 1) & F.col(spec.sequence).isNotNull()
+    return (rows.select("*", F.row_number().over(w).alias(first), changed.alias("_changed"))
+            .where(~F.col("_changed") | wins).select(*_merge_columns(target, latest)))
 
 
 def live_rows(bronze: DataFrame, spec: C.ChangeFeedSpec, deletes: str = "apply") -> DataFrame:

@@ -128,3 +128,15 @@ def test_latest_by_key_window_strategy_matches(feed):
     assert rows(fast, "k1", "k2", "payload") == rows(win, "k1", "k2", "payload")
     with pytest.raises(ValueError):
         changes.latest_by_key(feed, ["k1"], "seq", strategy="nope")
+
+
+def test_merge_newest_shuffles_every_row_once(spark):
+    spec = C.ChangeFeedSpec(keys=("k", "l"), sequence="seq", op="op", timestamp="ts", tie_break=("op",))
+    schema = "k int, l string, seq int, op string, ts timestamp, v string"
+    old = [(1, "a", 1, "I", None, "x"), (1, "b", 5, "I", None, "y"), (None, "a", 2, "I", None, "z"), (7, "c", None, "I", None, "kept"), (7, "c", 3, "I", None, "kept")]
+    new = [(1, "a", 2, "D", None, "x2"), (1, "b", 4, "U", None, "late"), (None, "a", 3, "U", None, "z2"), (9, None, 1, "I", None, "n"), (8, "q", None, "I", None, "no sequence")]
+    got = changes.merge_newest(spark.createDataFrame(old, schema), spark.createDataFrame(new, schema), spec)
+    assert sorted(r.v for r in got.collect()) == ["kept", "kept", "n", "x2", "y", "z2"]
+    sides = [changes.prepare_changes(spark.createDataFrame(x, schema), spec, drop_sequence=False) for x in (old, new)]
+    plan = changes.merge_newest(*sides, spec)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange ") == 2
