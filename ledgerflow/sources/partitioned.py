@@ -41,7 +41,8 @@ from pyspark.sql import types as T
 
 from ledgerflow import config as C
 from ledgerflow.functions.dates import parse_timestamp
-from ledgerflow.operators.changes import all_not_null, delete_by_key, upsert
+from ledgerflow.operators.changes import Deal, all_not_null, delete_by_key, upsert
+from ledgerflow.operators.joins import estimated_bytes
 from ledgerflow.sources import tables as TB
 
 BUCKET = "bucket"
@@ -52,6 +53,9 @@ _NULL = "__HIVE_DEFAULT_PARTITION__"
 MAX_WRITES = 8
 #: Cells of a key filter: at least, and at most (one byte each).
 MIN_CELLS, MAX_CELLS = 1 << 12, 1 << 20
+#: What one task of a bucket merge takes at most: rows of the batch, bytes of stored files.
+TASK_ROWS, TASK_BYTES = 500_000, 16 << 20
+_PLACE = "_place"
 
 
 # --- layouts ----------------------------------------------------------------
@@ -261,12 +265,15 @@ def _commit(spark: SparkSession, path: str, held: Held, base: int) -> str:
     return TB.commit_version(spark, path, str(pending), base)
 
 
-def _write(spark: SparkSession, path: str, df: DataFrame, layout: Layout) -> tuple[str, list[str]]:
-    """Write rows below a new write id: (id, partition folders)."""
+def _write(spark: SparkSession, path: str, df: DataFrame, layout: Layout, dealt: bool = False) -> tuple[str, list[str]]:
+    """Write rows below a new write id: (id, partition folders).  ``dealt``: the
+    rows of a folder lie in few tasks already."""
     write = uuid.uuid4().hex
     root = f"{path.rstrip('/')}/data/{_WRITE}={write}"
     fs, folder, _ = TB._fs(spark, root)
-    spread = layout.apply(df).hint("rebalance", *[F.col(c) for c in layout.columns])
+    spread = layout.apply(df)
+    if not dealt:
+        spread = spread.hint("rebalance", *[F.col(c) for c in layout.columns])
     try:
         spread.write.mode("errorifexists").partitionBy(*layout.columns).parquet(root)
         return write, _written(fs, folder, len(layout.columns))
@@ -294,7 +301,8 @@ Combine = Callable[[DataFrame, DataFrame], DataFrame]
 
 
 def merge(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], layout: Layout, combine: Combine,
-          state: Optional[Mapping[str, object]] = None, touched: Optional[Callable[[Held], set[str]]] = None) -> str:
+          state: Optional[Mapping[str, object]] = None, touched: Optional[Callable[[Held], set[str]]] = None,
+          dealt: bool = False) -> str:
     """Commit the version that ``combine(old rows, source)`` makes of the table.
 
     ``combine`` gets the rows of the touched folders only and returns what
@@ -302,6 +310,8 @@ def merge(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]
     are.  ``source`` is read several times: pass a materialised frame.
     ``state`` is recorded with the version (missing entries are kept).  A table
     of another layout, or a plain snapshot, is rewritten once as a whole.
+    ``dealt`` says that ``combine`` deals its rows by folder, so that the write
+    need not shuffle them.
     """
     base = TB.latest_version(spark, path)
     held = read_held(spark, path, base) if base else None
@@ -320,7 +330,11 @@ def merge(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]
         changed = [f.name for f in schema.fields if f.name in stored and stored[f.name] != f.dataType]
         if changed or set(stored) - set(schema.names):
             raise ValueError(f"{path}: columns {changed or sorted(set(stored) - set(schema.names))} would change type or vanish")
-    write, folders = _write(spark, path, rows, layout)
+    write, folders = _write(spark, path, rows, layout, dealt)
+    if touched and set(folders) & set(stay):        # a key could lie in two writes of its folder
+        fs, folder, _ = TB._fs(spark, f"{path.rstrip('/')}/data/{_WRITE}={write}")
+        fs.delete(folder, True)
+        raise ValueError(f"{path}: the source gave other rows when it was read again")
     now = {**stay, **{f: (*stay.get(f, ()), write) for f in folders}}
     known = dict(held.state) if held else {}
     try:
@@ -346,12 +360,42 @@ def delete_from_partitions(spark: SparkSession, path: str, keys_df: DataFrame, k
     return merge(spark, path, keys_df, keys, layout, lambda old, gone: delete_by_key(old, gone, keys))
 
 
-def merge_buckets(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], layout: Layout, combine: Combine,
-                  state: Optional[Mapping[str, object]] = None) -> str:
+def merge_buckets(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], layout: Layout,
+                  combine: Callable[[DataFrame, DataFrame, Optional[Deal]], DataFrame],
+                  state: Optional[Mapping[str, object]] = None, found: Optional[tuple[int, set[str]]] = None) -> str:
     """``merge`` into a ``bucketed`` table: the source's own buckets are the
-    touched ones (null key parts included), so the table is not searched."""
+    touched ones (null key parts included), so the table is not searched.
+
+    ``found`` is what ``rows_and_buckets`` says of the source, if known.
+    ``combine`` also gets a function that deals rows over tasks: every task has
+    rows of one bucket, and a bucket with many rows has several tasks, by
+    another hash of the key.  So the one shuffle in which keys meet is also the
+    one by which the buckets are written.
+    """
+    n, wanted = found if found is not None else rows_and_buckets(source, layout)
+    buckets = int(layout.name.rpartition(":")[2])
+
     def own(held: Held) -> set[str]:
-        wanted = {r[0] for r in layout.apply(source).select(BUCKET).distinct().collect()}
         return {f for f in held.folders if held.values(f)[0] in wanted}
 
-    return merge(spark, path, source, keys, layout, combine, state, own)
+    def whole(old: DataFrame, new: DataFrame) -> DataFrame:
+        stored = estimated_bytes(old)
+        stored = 0 if stored >= 1 << 60 else stored         # no estimate: an empty table
+        cells = max(1, math.ceil(max(n / TASK_ROWS, stored / TASK_BYTES) / max(1, len(wanted))))
+
+        def deal(rows: DataFrame) -> tuple[DataFrame, str]:
+            cell = F.pmod(F.xxhash64(F.lit(1), *[F.col(k).cast("string") for k in keys]), F.lit(cells))
+            placed = layout.apply(rows).withColumn(_PLACE, (F.col(BUCKET).cast("int") * cells + cell).cast("int"))
+            return placed.drop(BUCKET).repartitionById(buckets * cells, F.col(_PLACE)), _PLACE
+
+        return combine(old, new, deal if dealt else None)
+
+    # the text of a float tells 0.0 from -0.0, which are one key: such keys meet by value
+    dealt = not any(t in source.schema[k].dataType.simpleString() for k in keys for t in ("float", "double"))
+    return merge(spark, path, source, keys, layout, whole, state, own, dealt)
+
+
+def rows_and_buckets(source: DataFrame, layout: Layout) -> tuple[int, set[str]]:
+    """How many rows a source of a ``bucketed`` table has, and in which buckets."""
+    n, found = layout.apply(source).agg(F.count(F.lit(1)), F.collect_set(BUCKET)).first()
+    return n, set(found)

@@ -22,17 +22,24 @@ import posixpath
 from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerflow import config as C
-from ledgerflow.operators.changes import live_rows, merge_newest, prepare_changes
+from ledgerflow.operators.changes import (Deal, key_hash, latest_by_key, live_rows, merge_newest,
+                                          prepare_changes, state_rows, thin_hot_keys)
+from ledgerflow.operators.joins import HOT_SHARE, SKETCH_ITEMS
 from ledgerflow.session import durable_base
-from ledgerflow.sources.partitioned import bucketed, merge_buckets, table_state
+from ledgerflow.sources.partitioned import BUCKET, Layout, bucketed, merge_buckets, table_state
 from ledgerflow.sources.tables import (discard, materialise, read_if_exists, read_table,
                                        read_version_or_empty, write_snapshot)
 
 
+# Rows of one key up to which a batch is merged without reducing the key first.
+HOT_ROWS = 10_000
+
+
 def read_bronze(spark: SparkSession, path: str, spec: C.ChangeFeedSpec, deletes: str = "apply") -> DataFrame:
     """Live rows of a bronze table: no sequence and, if deletes apply, no
     tombstones."""
@@ -56,7 +63,9 @@ def merge_batch(spark: SparkSession, batch: DataFrame, target_path: str,
     version's folder (``None`` for an empty batch, or one merged before).
 
     The table lies in ``buckets`` folders by a hash of the key, and only the
-    buckets of the batch are read and rewritten.  ``epoch`` (stream id, batch
+    buckets of the batch are read and rewritten.  Batch and stored rows are
+    shuffled once.  The batch is read several times (for its buckets and hot
+    keys, then whole): pass a frame that gives the same rows each time.  ``epoch`` (stream id, batch
     number) is recorded with the version in the same commit: a batch that is
     replayed after it was committed is skipped.  ``partition_by`` keeps a table
     in folders of these columns instead, rewritten as a whole.
@@ -66,18 +75,44 @@ def merge_batch(spark: SparkSession, batch: DataFrame, target_path: str,
         return None
     if batch.isEmpty():
         return None
-    # The de-duplicated batch is read several times by the merge (its buckets,
-    # its keys, the compared rows): compute it once into the shared folder.
-    latest = materialise(prepare_changes(batch, spec, pseudonymise_columns, secret, drop_sequence=False))
+    if partition_by:
+        latest = prepare_changes(batch, spec, pseudonymise_columns, secret, drop_sequence=False)
+        target, base = read_version_or_empty(spark, target_path, latest.schema)
+        return write_snapshot(merge_newest(target, latest, spec), target_path, partition_by, base)
+    layout, staged = bucketed(spec.keys, buckets), None
+    if pseudonymise_columns:
+        # The newest change is chosen by the values that came, not by pseudonyms:
+        # before the merge, which reads it twice.
+        rows = staged = materialise(prepare_changes(batch, spec, pseudonymise_columns, secret, drop_sequence=False))
+    else:
+        rows = state_rows(batch, spec)
+    state = {"epochs": {**done, epoch[0]: epoch[1]}} if epoch else None
     try:
-        if partition_by:
-            target, base = read_version_or_empty(spark, target_path, latest.schema)
-            return write_snapshot(merge_newest(target, latest, spec), target_path, partition_by, base)
-        state = {"epochs": {**done, epoch[0]: epoch[1]}} if epoch else None
-        return merge_buckets(spark, target_path, latest, spec.keys, bucketed(spec.keys, buckets),
-                             lambda old, new: merge_newest(old, new, spec), state)
+        n, wanted, hot = _survey(rows, layout, spec)
+
+        def combine(old: DataFrame, new: DataFrame, deal: Optional[Deal]) -> DataFrame:
+            if staged is None and [c for c in dict.fromkeys((*old.columns, *new.columns)) if c in new.columns] != new.columns:
+                # ties are broken by the columns' order in the batch, then by that in the table
+                new = latest_by_key(new, spec.keys, spec.sequence, ties="one", tie_break=spec.tie_break, drop_sequence=False)
+            elif staged is None:
+                new = thin_hot_keys(new, spec, hot)
+            return merge_newest(old, new, spec, deal)
+
+        return merge_buckets(spark, target_path, rows, spec.keys, layout, combine, state, (n, wanted))
     finally:
-        discard(latest)
+        if staged is not None:
+            discard(staged)
+
+
+def _survey(rows: DataFrame, layout: Layout, spec: C.ChangeFeedSpec) -> tuple[int, set[str], list[int]]:
+    """One pass over a batch's keys: its rows, its buckets, and the hashes of
+    the keys that hold at least one in ``HOT_SHARE`` of its rows (by a sketch
+    merged from one per task; see ``joins.hot_keys``)."""
+    hashed = layout.apply(rows).select(BUCKET, key_hash(spec.keys).alias("_hash"))
+    found = hashed.agg(F.count(F.lit(1)).alias("n"), F.collect_set(BUCKET).alias("buckets"),
+                       F.expr(f"approx_top_k(_hash, {HOT_SHARE}, {SKETCH_ITEMS})").alias("top")).first()
+    hot = [t["item"] for t in found["top"] or [] if t["count"] * HOT_SHARE >= found["n"] and t["count"] > HOT_ROWS]
+    return found["n"], set(found["buckets"]), hot
 
 
 def ingest_available_now(spark: SparkSession, source_path: str, schema: T.StructType,

@@ -246,6 +246,44 @@ def test_replayed_batch_of_a_killed_run_adds_no_version(spark, scratch, monkeypa
     assert TB.committed_versions(spark, path) == [1, 2]
 
 
+def test_bucket_merge_shuffles_every_row_once(spark, scratch, monkeypatch):
+    path, write, plans = scratch + "/t", PT._write, []
+
+    def seen(spark_, at, df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(spark_, at, df, *more)
+
+    monkeypatch.setattr(PT, "_write", seen)
+    monkeypatch.setattr(PT, "TASK_ROWS", 30)
+    rows_ = [(i % 40, i % 7, "UID"[i % 3], dt.datetime(2024, 1, 1 + i % 9), "abc"[i % 3]) for i in range(200)]
+    for i in (0, 100):
+        ingest.merge_batch(spark, spark.createDataFrame(rows_[i:i + 100], FEED), path, SPEC, buckets=2)
+    assert ["ENSURE_REQUIREMENTS" in p for p in plans] == [False, False]
+    assert [p.count("REPARTITION_BY_NUM") for p in plans] == [1, 1]
+    want = changes.latest_by_key(changes.state_rows(spark.createDataFrame(rows_, FEED), SPEC), ["id"], "seq", ties="one",
+                                 tie_break=SPEC.tie_break, drop_sequence=False)
+    assert content(TB.read_table(spark, path)) == content(want)
+    assert len(files(path)) > 4      # a bucket is written by several tasks
+
+
+def test_hot_key_of_a_batch_is_reduced_before_the_merge(spark, scratch, monkeypatch):
+    monkeypatch.setattr(ingest, "HOT_ROWS", 10)
+    merge, sizes = ingest.merge_newest, []
+    monkeypatch.setattr(ingest, "merge_newest", lambda old, new, *more: sizes.append(new.count()) or merge(old, new, *more))
+    batch = spark.createDataFrame([(3, i, "U", dt.datetime(2024, 1, 1), "h") for i in range(300)] + [(k, 1, "I", dt.datetime(2024, 1, 2), "x") for k in range(20)], FEED)
+    ingest.merge_batch(spark, batch, scratch + "/t", SPEC, buckets=2)
+    assert sizes == [20] and sorted((r.id, r.seq) for r in TB.read_table(spark, scratch + "/t").collect()) == [(k, 299 if k == 3 else 1) for k in range(20)]
+
+
+def test_batch_that_changes_between_reads_is_refused(spark, scratch):
+    layout = PT.bucketed(["id"], 8)
+    batch = spark.createDataFrame([(i, 1, "I", dt.datetime(2024, 1, 1), "a") for i in range(40)], FEED)
+    ingest.merge_batch(spark, batch, scratch + "/t", SPEC, buckets=8)
+    with pytest.raises(ValueError, match="read again"):
+        PT.merge_buckets(spark, scratch + "/t", TB.read_table(spark, scratch + "/t"), ["id"], layout, lambda old, new, deal: new, found=(1, {"1"}))
+    assert TB.committed_versions(spark, scratch + "/t") == [1]
+
+
 # --- incremental posting --------------------------------------------------------
 
 OPS = ("insert_date timestamp_ntz, uuid string, invoice_date timestamp_ntz, accounting_operation_date timestamp_ntz, invoice_type string, "
