@@ -8,7 +8,7 @@ tables.  ``ledgerflow.plans.oracle`` holds the matching DuckDB SQL.
 from __future__ import annotations
 
 import uuid
-from typing import Callable
+from typing import Callable, Optional
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,8 +76,8 @@ def _clients(fx: Fixtures) -> DataFrame:
     return silver.active_clients(fx.companies, FX_CLIENTS, region=F.col("country"))
 
 
-def _gold_ledger(fx: Fixtures) -> DataFrame:
-    led = _ledger(fx)
+def _gold_ledger(fx: Fixtures, ledger: Optional[DataFrame] = None) -> DataFrame:
+    led = _ledger(fx) if ledger is None else ledger
     return led.where(F.col(C.INSERT_DATE) < F.lit(GOLD_TX_BEFORE).cast("timestamp_ntz"))
 
 
@@ -466,11 +466,12 @@ def _folder(spark, name: str) -> str:
 _DATED = partitioned.dated(C.INSERT_DATE, "month")
 
 
-def _restamped_table(spark, fx: Fixtures) -> str:
-    """The ledger as a table in monthly folders, then its reprocessed entries
-    merged into the folders that hold them (and that they move to)."""
+def _restamped_table(spark, fx: Fixtures, ledger: Optional[DataFrame] = None) -> str:
+    """The ledger (a materialised frame of it, if given, is discarded) as a
+    table in monthly folders, then its reprocessed entries merged into the
+    folders that hold them (and that they move to)."""
     path = _folder(spark, "ledger")
-    ledger = materialise(_ledger(fx))
+    ledger = materialise(_ledger(fx)) if ledger is None else ledger
     partitioned.upsert_partitions(spark, path, ledger, C.LEDGER_KEY, _DATED)
     again = materialise(L.reprocess_candidates(ledger, _unmapped_v1(fx), AS_OF))
     partitioned.upsert_partitions(spark, path, again, C.LEDGER_KEY, _DATED)
@@ -531,10 +532,9 @@ def incremental_since_newest_folder(spark, sf_dir):
     """Stored silver rows newer than a stored gold ledger, of which only the
     newest folder is read for the mark."""
     fx, gold = Fixtures.of(spark, sf_dir), _folder(spark, "gold")
-    rows = materialise(_gold_ledger(fx))
-    partitioned.upsert_partitions(spark, gold, rows, C.LEDGER_KEY, _DATED)
-    discard(rows)
-    table = partitioned.read_with_layout(spark, _restamped_table(spark, fx))
+    ledger = materialise(_ledger(fx))
+    partitioned.upsert_partitions(spark, gold, _gold_ledger(fx, ledger), C.LEDGER_KEY, _DATED)
+    table = partitioned.read_with_layout(spark, _restamped_table(spark, fx, ledger))
     return promote.newer_than(table, partitioned.read_newest(spark, gold), C.INSERT_DATE)
 
 

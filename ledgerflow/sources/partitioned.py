@@ -53,6 +53,8 @@ _NULL = "__HIVE_DEFAULT_PARTITION__"
 MAX_WRITES = 8
 #: Cells of a key filter: at least, and at most (one byte each).
 MIN_CELLS, MAX_CELLS = 1 << 12, 1 << 20
+#: Keys beyond which so many cells let most rows through: the filter is the ranges alone.
+MAX_KEYS = MAX_CELLS // 2
 #: What one task of a bucket merge takes at most: rows of the batch, bytes of stored files.
 TASK_ROWS, TASK_BYTES = 500_000, 16 << 20
 _PLACE = "_place"
@@ -194,12 +196,20 @@ def key_filter(keys_df: DataFrame, keys: Sequence[str]) -> Optional[Column]:
     Ranges of the key columns (pushed to the scan: whole row groups are
     skipped) and a Bloom filter of two hashes.  Only the ranges and at most
     ``MAX_CELLS`` cells come to the driver; beyond some 100,000 keys the filter
-    lets more rows through and costs nothing else.
+    lets more rows through, and beyond ``MAX_KEYS`` it is left out.
     """
     doomed = keys_df.where(all_not_null(keys)).select(*keys)
     found = doomed.agg(F.count("*").alias("n"), *[f(k).alias(f"{a}{i}") for i, k in enumerate(keys) for f, a in ((F.min, "l"), (F.max, "h"))]).first()
     if not found["n"]:
         return None
+    types = dict(doomed.dtypes)
+
+    def literal(value, key: str) -> Column:
+        return F.lit(value).cast(types[key])
+
+    ranges = [(F.col(k) >= literal(found[f"l{i}"], k)) & (F.col(k) <= literal(found[f"h{i}"], k)) for i, k in enumerate(keys)]
+    if found["n"] > MAX_KEYS:
+        return reduce(lambda a, b: a & b, ranges)
     cells = min(MAX_CELLS, max(MIN_CELLS, 1 << math.ceil(math.log2(16 * found["n"]))))
 
     def places() -> list[Column]:
@@ -209,12 +219,6 @@ def key_filter(keys_df: DataFrame, keys: Sequence[str]) -> Optional[Column]:
     for row in doomed.select(F.explode(F.array(*places())).alias("p")).distinct().collect():
         held[row["p"]] = 1
     bits = F.lit(bytes(held))
-    types = dict(doomed.dtypes)
-
-    def literal(value, key: str) -> Column:
-        return F.lit(value).cast(types[key])
-
-    ranges = [(F.col(k) >= literal(found[f"l{i}"], k)) & (F.col(k) <= literal(found[f"h{i}"], k)) for i, k in enumerate(keys)]
     tests = [F.substring(bits, p + 1, F.lit(1)) == F.lit(b"\x01") for p in places()]
     return reduce(lambda a, b: a & b, [*ranges, *tests])
 

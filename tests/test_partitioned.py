@@ -94,6 +94,13 @@ def test_key_filter_never_loses_a_key(spark):
             assert content(PT.rows_of_keys(table, keys, columns)) == content(want)
 
 
+def test_key_filter_of_many_keys_is_their_range(spark, monkeypatch):
+    monkeypatch.setattr(PT, "MAX_KEYS", 20)
+    table, keys = spark.range(1000).toDF("k"), spark.range(100, 400, 3).toDF("k")
+    assert "substring" not in str(PT.key_filter(keys, ["k"])) and "substring" in str(PT.key_filter(keys.limit(20), ["k"]))
+    assert [r.k for r in PT.rows_of_keys(table, keys, ["k"]).orderBy("k").collect()] == list(range(100, 400, 3))
+
+
 def test_folders_of_many_writes_are_compacted_and_old_writes_retired(spark, scratch, monkeypatch):
     path = scratch + "/t"
     monkeypatch.setattr(PT, "MAX_WRITES", 3)
